@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustlake.llm import flac, forest, mixing, sentencepiece_codec, token_files, toxicity
+from trustlake.llm import flac, forest, line_dedup, mixing, sentencepiece_codec, substring_dedup, suffix_dedup, token_files, toxicity
 from trustlake.llm.common import table
 
 
@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines every document has and loses."""
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "chars_removed")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Every document's ids as the token files hold them."""
     return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer or tokenizer_path("word_bpe_49k.json"), end_id=1, n_vocab=49408)
@@ -33,11 +38,23 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None
     return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), model or tokenizer_path("piece_bpe_32k.model"), keep_ids=False)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that stand twice."""
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     return mixing.mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 13 words that stand in earlier ones."""
+    out = substring_dedup.without_copied_passages(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     return forest.neighbours(table(spark, sf_dir, "embeddings"))
@@ -48,9 +65,26 @@ def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_digests(flac.media_column(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op2_token_files": op2_token_files, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op6_mixing": op6_mixing, "op8_forest": op8_forest, "op10_flac": op10_flac}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_token_files": op2_token_files, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_substring_dedup": op7_substring_dedup, "op8_forest": op8_forest, "op10_flac": op10_flac}
 
 ORACLE = {
+    "op1_line_dedup": r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+placed AS (SELECT *, length(line) AS n, {'d': doc_id, 'p': pos} AS place FROM lines),
+firsts AS (SELECT line, n, min(place) AS place FROM placed WHERE n >= 16 GROUP BY line, n),
+halves AS (
+  SELECT line, n, place, b, side, CASE side WHEN 0 THEN left(line, CAST(b // 2 AS INT)) ELSE right(line, CAST(b - b // 2 AS INT)) END AS half
+  FROM firsts, (VALUES (0), (1)) s(side), (VALUES (0), (1)) l(less), LATERAL (SELECT n - less AS b)),
+alike AS (
+  SELECT DISTINCT x.line AS later, y.line AS earlier
+  FROM halves x JOIN halves y ON x.half = y.half AND x.b = y.b AND x.side = y.side AND y.place < x.place AND abs(x.n - y.n) <= 1),
+near AS (SELECT DISTINCT later AS line FROM alike WHERE levenshtein(later, earlier) <= 1),
+marked AS (
+  SELECT p.doc_id, p.n, p.n >= 16 AND (f.place < p.place OR near.line IS NOT NULL) AS gone
+  FROM placed p LEFT JOIN firsts f USING (line) LEFT JOIN near USING (line))
+SELECT d.doc_id, count(m.n) AS n_lines, CAST(coalesce(sum(CAST(m.gone AS BIGINT)), 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(sum(CASE WHEN m.gone THEN m.n ELSE 0 END), 0) AS BIGINT) AS chars_removed
+FROM documents d LEFT JOIN marked m USING (doc_id) GROUP BY d.doc_id""",
     "op6_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
