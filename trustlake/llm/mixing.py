@@ -19,6 +19,12 @@ def word_count(name: str = "text") -> Column:
     return F.coalesce(n, F.lit(0)).cast("long")
 
 
+def document_key(seed: int = 0) -> Column:
+    """A random key of 60 bits hashed from doc_id and text."""
+    told = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}:"), text_or_empty())
+    return F.conv(F.substring(F.md5(told), 1, 15), 16, 10).cast("long")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2) -> DataFrame:
     """source, source_size, target for a frame of source and size.
 
@@ -46,7 +52,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target, taken of each document.
+    """doc_id, source, key, size, source_size, target, taken of each document.
 
     ``size`` is the number of words (a null text has none). Within a source, documents stand in the order of a random
     key hashed from doc_id and text; each is taken whole as often as the target holds the source's whole size, and
@@ -57,9 +63,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share:
     are not read. A source of any size spreads over ``RANGES`` key ranges: their sums are aggregated before the
     shuffle, added up per source, and only then are running sums taken inside each range.
     """
-    told = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}:"), text_or_empty())
-    key = F.conv(F.substring(F.md5(told), 1, 15), 16, 10).cast("long")
-    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), key.alias("key")), "sizes")
+    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), document_key(seed).alias("key")), "sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("size")), weights, share, epochs)
     ranged = sized.withColumn("range", F.floor(F.col("key") / ((1 << 60) // RANGES)))
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
@@ -72,10 +76,22 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share:
     whole = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.floor("target").cast("long") - whole * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), rest - F.col("base") - F.col("ahead")))
-    return both.select("doc_id", "d.source", "size", "source_size", "target", (whole * F.col("size") + part).alias("taken"))
+    return both.select("doc_id", "d.source", "key", "size", "source_size", "target", (whole * F.col("size") + part).alias("taken"))
+
 
+def mixed_documents(docs: DataFrame, size_column: str = "n_chars", **options) -> DataFrame:
+    """The mix itself: each document's row, with its columns, as often as the mix takes it.
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, each at least in part, with the columns they have; repeats are not spelt out."""
-    taken = mix_documents(docs, **options).where("taken > 0").select("doc_id").distinct()
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"]), "left_semi")
+    What is taken of a document beyond whole copies is a row with its first words, joined by single spaces; ``size_column``,
+    where there is one, is counted anew there. Documents without words take no part.
+    """
+    plan = mix_documents(docs, **options).where("taken > 0").select("key", "size", "taken")
+    keyed = docs.withColumn("mix key", document_key(options.get("seed", 0))).dropDuplicates(["mix key"])
+    both = keyed.join(plan, keyed["mix key"] == plan["key"])
+    whole = F.floor(F.col("taken") / F.col("size"))
+    copies = both.withColumn("rest", F.col("taken") % F.col("size")).withColumn("copy", F.explode(F.sequence(F.lit(1), (whole + (F.col("rest") > 0).cast("int")).cast("int"))))
+    cut = F.col("copy") > whole
+    first = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("rest").cast("int")), " ")
+    text = F.when(cut, first).otherwise(F.col("text"))
+    shown = [text.alias("text") if c == "text" else F.when(cut, F.length(text)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == size_column else keyed[c] for c in docs.columns]
+    return copies.select(*shown)

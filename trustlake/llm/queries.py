@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustlake.llm import flac, forest, line_dedup, mixing, sentencepiece_codec, substring_dedup, suffix_dedup, token_files, toxicity
+from trustlake.llm import flac, forest, line_dedup, mixing, ngram_join, sentencepiece_codec, substring_dedup, suffix_dedup, token_files, toxicity
 from trustlake.llm.common import table
 
 
@@ -60,12 +60,17 @@ def op8_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of similar texts and the number of its links."""
+    return ngram_join.similar_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text as a FLAC stream, read back and described."""
     return flac.media_digests(flac.media_column(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_token_files": op2_token_files, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_substring_dedup": op7_substring_dedup, "op8_forest": op8_forest, "op10_flac": op10_flac}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_token_files": op2_token_files, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_substring_dedup": op7_substring_dedup, "op8_forest": op8_forest, "op9_ngram_join": op9_ngram_join, "op10_flac": op10_flac}
 
 ORACLE = {
     "op1_line_dedup": r"""

@@ -95,7 +95,7 @@ def document_features(docs: DataFrame, model: ToxicityModel, extra: list[str]) -
         if "found" not in state:
             state["found"] = automaton(model)
         out = []
-        for t in part.column("text").to_pylist():
+        for t in part.column("whole text").to_pylist():
             folded = fold(t)
             total, n = hits(state["found"], folded)
             out.append((*features(total, folded.count(" ") - 1), n))
@@ -103,9 +103,9 @@ def document_features(docs: DataFrame, model: ToxicityModel, extra: list[str]) -
         cols = {c: part.column(c) for c in extra}
         yield pa.RecordBatch.from_pydict(cols | {"x1": pa.array(x[:, 0]), "x2": pa.array(x[:, 1]), "hits": pa.array(x[:, 2].astype(np.int64))})
 
-    kept = docs.select(*extra, text_or_empty().alias("text"))
+    kept = docs.select(*extra, text_or_empty().alias("whole text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in extra)
-    return map_arrow(kept, run, f"{schema}, x1 double, x2 double, hits long", "text")
+    return map_arrow(kept, run, f"{schema}, x1 double, x2 double, hits long", "whole text")
 
 
 def entry_counts(sample: DataFrame, lengths: tuple[int, ...] = (4, 5, 6, 7)) -> DataFrame:
@@ -202,6 +202,13 @@ def scored(docs: DataFrame, model: ToxicityModel, extra: list[str]) -> DataFrame
     return document_features(docs, model, extra).select(*extra, score.alias("score"), "hits")
 
 
+def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, with their columns, that score below ``threshold``."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    told = scored(docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")])), model, names)
+    return told.where(F.col("score") < threshold).select(*names).toDF(*docs.columns)
+
+
 def held_out():
     """Whether a row belongs to the fold that no model learns from."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
