@@ -146,7 +146,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries
     if not all(sum(sizes.get((h, y), 0) for h in (0, 1)) for y in (0, 1)):
         return ToxicityModel({}, exceptions, -20.0, 0.0, 0.0)
     clean, toxic = (sizes.get((0, y), 0) + sizes.get((1, y), 0) for y in (0, 1))
-    least = 1 if toxic < 100 else 2 if toxic < 400 else 3
+    least = 1 if toxic < 100 else 2 if toxic < 400 else 3 if toxic < 1000 else 5
     seen = F.col("n1") + F.col("n3")
     weight = F.log((seen + 0.5) / (toxic + 1.0)) - F.log((F.col("n0") + F.col("n2") + 0.5) / (clean + 1.0))
     halves = [F.col(t) >= 4 * F.col(c) + least for c, t in (("n0", "n1"), ("n2", "n3"))]
