@@ -1,4 +1,6 @@
 """Queries over the driver's tables."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from trustlake.plans.oracle import ORACLE
+from trustlake.plans.queries import QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
