@@ -22,7 +22,7 @@ def deleted_ids(events: DataFrame) -> DataFrame:
 
 def deleted_addresses(events: DataFrame) -> DataFrame:
     """kind, pubkey, d and the time up to which a deletion by address holds."""
-    parts = events.where(F.col("kind") == DELETION).select("pubkey", "created_at", F.split(F.explode(tag_values(F.col("tags"), "a")), ":", 3).alias("a"))
+    parts = events.where(F.col("kind") == DELETION).select("pubkey", "created_at", F.explode(F.transform(tag_values(F.col("tags"), "a"), lambda a: F.split(a, ":", 3))).alias("a"))
     named = parts.where(F.size("a") == 3).select(F.col("a")[0].try_cast("int").alias("kind"), F.col("a")[1].alias("owner"), F.col("a")[2].alias("d"), "pubkey", "created_at").where("owner = pubkey")
     return named.groupBy("kind", "pubkey", "d").agg(F.max("created_at").alias("until"))
 
