@@ -10,10 +10,15 @@ import numpy as np
 LONGEST, CACHED = 64, 400_000
 
 
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
+
+
 class ChunkCache(dict):
-    """Maps a chunk to its row in a flat table of ids. ``encode`` gives the ids of a list of new chunks."""
+    """Maps a chunk to its row in a flat table of ids. ``encode`` gives the ids of a list of new chunks, and how many each has."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         super().__init__()
         self.encode, self.fresh = encode, []
         self.reset()
@@ -36,9 +41,8 @@ class ChunkCache(dict):
         rows = np.fromiter((get(c) for t in texts for c in t), np.int64)
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         if self.fresh:
-            new = self.encode(self.fresh)
-            sizes = np.fromiter(map(len, new), np.int64, len(new))
-            self.flat = np.concatenate([self.flat, np.fromiter((i for x in new for i in x), np.uint32, int(sizes.sum()))])
+            new, sizes = self.encode(self.fresh)
+            self.flat = np.concatenate([self.flat, new])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
             for c in self.fresh:
                 if len(c) > LONGEST:

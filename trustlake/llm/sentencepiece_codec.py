@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustlake.llm.chunk_cache import ChunkCache
+from trustlake.llm.chunk_cache import ChunkCache, flattened
 from trustlake.llm.common import map_arrow, text_or_empty
 
 MARK = "▁"
@@ -139,7 +139,7 @@ class Codec:
                 held = ""
         return out + [held] * bool(held)
 
-    def _encode(self, new: list[str]) -> list[list[int]]:
+    def _encode(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         mine = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
         if not self.model["charsmap"] and not self.model["squeeze"] and self.model["dummy_prefix"]:
             if len(self.bad) > 100_000:
@@ -148,7 +148,7 @@ class Codec:
             marked = [(c, i) for c, i in zip(new, mine) if c[0] == MARK]
             theirs = self.own.encode([c[1:].replace(MARK, " ") for c, _ in marked], num_threads=1)
             self.bad.update(c for (c, i), j in zip(marked, theirs) if i != j and len(c) > 1)
-        return mine
+        return flattened(mine)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
         cut = [self.chunks(t) for t in texts]

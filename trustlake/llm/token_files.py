@@ -8,6 +8,7 @@ each other in ascending doc_id order, so a shard's base in the whole stream is t
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -18,15 +19,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustlake.llm.chunk_cache import ChunkCache
+from trustlake.llm.chunk_cache import ChunkCache, flattened
 from trustlake.llm.common import shared_dir, slices, text_or_empty
 
 NULL_ID = np.iinfo(np.int64).min
 
 
+#: A stop or comma behind a Latin letter and before white space is a pre-token of its own.
+_STOP = re.compile(r"(?<=[A-Za-z])[.,](?=[ \n]|$)")
+#: Stands between chunks that are encoded in one call; chunks that hold it, or may hold a special token, go alone.
+SEPARATOR = "~"
+
+
 def _chunked(texts: list[str]) -> list[list[str]]:
-    # A line feed and a space both end a pre-token and are dropped, so what stands between them is encoded alone.
-    return [[c for c in t.replace("\n", " ").split(" ") if c] for t in texts]
+    """Texts cut where a line feed or a space ends a pre-token and is dropped, so that each chunk is encoded alone.
+
+    Texts in ASCII are put in lower case, as the tokenizer does it, unless that could make a special token.
+    """
+    out = []
+    for t in texts:
+        if t.isascii() and "<|" not in t:
+            t = t.lower()
+        out.append([c for c in _STOP.sub(_apart, t).replace("\n", " ").split(" ") if c])
+    return out
+
+
+def _apart(m: re.Match) -> str:
+    return " " + m[0]
 
 
 _CACHES: dict[str, ChunkCache] = {}
@@ -37,7 +56,26 @@ def _cache(tokenizer_path: str) -> ChunkCache:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(tokenizer_path)
-        _CACHES[tokenizer_path] = ChunkCache(lambda new: [e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)])
+        mark = tok.encode(SEPARATOR, add_special_tokens=False).ids
+
+        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            alone = [i for i, c in enumerate(new) if SEPARATOR in c or "<|" in c] if len(mark) == 1 else list(range(len(new)))
+            if len(alone) == len(new):
+                return flattened([e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)])
+            skip = set(alone)
+            text = f" {SEPARATOR} ".join("" if i in skip else c for i, c in enumerate(new))
+            ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            cut = np.flatnonzero(ids == mark[0])
+            sizes = np.diff(cut, prepend=-1, append=len(ids)) - 1
+            ids = np.delete(ids, cut)
+            if alone:
+                parts = np.split(ids, np.cumsum(sizes)[:-1])
+                for i in alone:
+                    parts[i] = np.array(tok.encode(new[i], add_special_tokens=False).ids, np.uint32)
+                ids, sizes = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+            return ids, sizes
+
+        _CACHES[tokenizer_path] = ChunkCache(encode)
     return _CACHES[tokenizer_path]
 
 
