@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handled in pieces of about so many bytes, so a worker's memory does not follow the batch size.
 PIECE_BYTES = 4 << 20
+#: Less where texts become lists of Python strings, which take many times their bytes.
+STRING_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,12 +132,12 @@ def word_hashes(flat: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return span_hash(running(BYTE_VALUE[flat]), s, e)
 
 
-def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, by: str) -> DataFrame:
-    """``mapInArrow`` with ``f`` on slices of each batch that hold a bounded number of bytes of ``by``."""
+def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, by: str, most: int = STRING_BYTES) -> DataFrame:
+    """``mapInArrow`` with ``f`` on slices of each batch that hold about ``most`` bytes of ``by``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, by):
+            for part in slices(batch, by, most):
                 yield from f(part)
 
     return df.mapInArrow(run, schema)

@@ -132,9 +132,12 @@ def verified(rows: DataFrame, n: int, threshold: Fraction) -> DataFrame:
         label, i, j = (table.column(c)[0].as_py() for c in ("label", "i", "j"))
         tids, side = table.column("tid").to_pylist(), table.column("side").to_numpy()
         z = zstandard.ZstdDecompressor()
-        texts = [z.decompress(t) for t in table.column("packed").to_pylist()]
-        shingles, off = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), n)
-        links = linked([np.unique(shingles[a:b]) for a, b in pairwise(off.tolist())], threshold)
+        texts = pa.RecordBatch.from_pydict({"text": pa.array([z.decompress(t) for t in table.column("packed").to_pylist()], pa.binary())})
+        sets = []
+        for part in slices(texts, "text", PIECE):
+            shingles, off = shingle_sets(*joined_bytes(part.column("text")), n)
+            sets += [np.unique(shingles[a:b]) for a, b in pairwise(off.tolist())]
+        links = linked(sets, threshold)
         if i != j:
             links &= side[:, None] != side[None, :]
         if not links.any():
