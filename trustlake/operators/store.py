@@ -69,6 +69,13 @@ def stale(held: DataFrame, served: DataFrame, complete: bool, key: str = "id", m
     return gone
 
 
+def absent_everywhere(held: DataFrame, replicas: list[DataFrame], key: str = "id") -> DataFrame:
+    """Held rows that no replica serves."""
+    for served in replicas:
+        held = held.join(served.select(key), key, "left_anti")
+    return held
+
+
 def ledger_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """A keyed upsert in which a missing new field leaves the old one; what comes later overwrites, even with less."""
     both = old.alias("o").join(new.alias("n"), "pubkey", "full_outer")

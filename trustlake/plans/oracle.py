@@ -22,11 +22,11 @@ ORACLE = {
     "orphan_scores": f"WITH {EDGES} SELECT l_suppkey AS service, count(*) AS n FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM edges WHERE service = l_suppkey) GROUP BY 1",
     "scores_attributed_total": f"WITH {EDGES}, k AS (SELECT l_suppkey IN (SELECT service FROM edges) AS known FROM lineitem) SELECT count(*) AS total, count(*) FILTER (known) AS attributed, count(*) FILTER (NOT known) AS orphaned FROM k",
     "scores_per_observer": f"WITH {EDGES}, c AS (SELECT observer, (SELECT count(*) FROM lineitem WHERE l_suppkey IN (SELECT service FROM edges f WHERE f.observer = e.observer)) AS n FROM (SELECT DISTINCT observer FROM edges) e) SELECT * FROM c WHERE n > 0 OR observer = 0",
-    "observer_names": f"WITH {EDGES} SELECT DISTINCT observer, CASE WHEN observer % 3 <> 0 THEN n_name ELSE '(no profile)' END AS name FROM edges JOIN nation ON observer = n_nationkey",
-    "observer_roster": f"WITH {EDGES} SELECT DISTINCT observer, l_partkey AS subject FROM edges JOIN lineitem ON service = l_suppkey WHERE observer < 3",
+    "observer_names": f"WITH {EDGES} SELECT DISTINCT observer, CASE WHEN n_regionkey <> 2 THEN n_name ELSE '(no profile)' END AS name FROM edges JOIN nation ON observer = n_nationkey",
+    "observer_roster": f"WITH {EDGES} SELECT DISTINCT observer, l_partkey AS subject FROM edges JOIN lineitem ON service = l_suppkey",
     "observer_coverage": f"WITH {EDGES}, {LEDGER}, r AS (SELECT DISTINCT observer, l_partkey AS subject FROM edges JOIN lineitem ON service = l_suppkey), f AS (SELECT observer, count(*) AS roster, count(*) FILTER (subject IN (SELECT c_custkey FROM customer)) AS with_own_outbox, count(*) FILTER (content_synced_at >= 1) AS synced, count(*) FILTER (coalesce(content_synced_at, 0) < 1 AND coalesce(outbox_checked_at, 0) = 0) AS unreached FROM r LEFT JOIN ledger ON subject = pubkey GROUP BY 1), p AS (SELECT observer, count(DISTINCT service) AS providers FROM edges GROUP BY 1) SELECT p.observer, providers, coalesce(roster, 0) AS roster, coalesce(with_own_outbox, 0) AS with_own_outbox, coalesce(synced, 0) AS synced, coalesce(unreached, 0) AS unreached, greatest(coalesce(roster - synced, 0), 0) AS pending, greatest(greatest(coalesce(roster - synced, 0), 0) - coalesce(unreached, 0), 0) AS attempted FROM p LEFT JOIN f USING (observer)",
     "stale_ids_absence_delete": "WITH h AS (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem WHERE l_linenumber <= 3) SELECT l_suppkey AS service, count(*) AS n FROM h WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_quantity > 5 AND l.l_orderkey = h.l_orderkey AND l.l_linenumber = h.l_linenumber AND l.l_suppkey = h.l_suppkey AND l.l_partkey = h.l_partkey) GROUP BY 1",
-    "need_have_diff": "SELECT CASE WHEN o_orderkey % 5 <> 0 THEN 'need' ELSE 'have' END AS side, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders WHERE (o_orderkey % 5 <> 0) <> (o_orderkey % 3 <> 0) GROUP BY 1",
+    "need_have_diff": "SELECT CASE WHEN o_orderstatus = 'P' THEN 'need' ELSE 'have' END AS side, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders WHERE (o_orderstatus <> 'P') <> (o_orderpriority <> '5-LOW') GROUP BY 1",
     "missing_identity": "WITH r AS (SELECT o_custkey AS author FROM orders UNION SELECT c_custkey FROM customer) SELECT author, 'profile' AS missing FROM r WHERE author NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT author, 'relay list' FROM r WHERE author NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",
     "content_routing": f"WITH l AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS author, 'r' || CAST(o_orderkey % 7 AS VARCHAR) AS relay FROM orders WHERE o_orderpriority = '1-URGENT'), k AS (SELECT author, relay FROM l QUALIFY row_number() OVER (PARTITION BY author ORDER BY relay) <= 4), c AS (SELECT CAST(c_custkey AS VARCHAR) AS author FROM customer) SELECT k.author, relay FROM k JOIN c USING (author) UNION ALL SELECT author, 'fallback' || CAST(({HASH.format('author')} % 8 + i) % 8 AS VARCHAR) FROM c, (VALUES (0), (1)) v(i) WHERE author NOT IN (SELECT author FROM l)",
     "fallback_hash_spread": f"SELECT page_id, CAST({HASH.format('url')} % 8 AS BIGINT) AS slot FROM pages",
@@ -34,8 +34,8 @@ ORACLE = {
     "author_batches_500": "WITH n AS (SELECT c_nationkey AS relay, c_custkey AS author, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 50 AS batch FROM customer) SELECT relay, batch, count(*) AS n, min(author) AS first, max(author) AS last FROM n GROUP BY 1, 2",
     "refresh_slice": f"WITH {LEDGER} SELECT pubkey, content_synced_at FROM ledger WHERE content_synced_at BETWEEN 1 AND 20000 ORDER BY 2, 1 LIMIT 40",
     "ttl_backlog_ranked": f"WITH {LEDGER} SELECT p_partkey AS subject, coalesce((SELECT max(l_quantity) FROM lineitem WHERE l_partkey = p_partkey), 0.0) AS rank FROM part WHERE p_partkey NOT IN (SELECT pubkey FROM ledger WHERE content_synced_at >= 30000) ORDER BY 2 DESC, 1 LIMIT 200",
-    "ledger_upsert": f"WITH {LEDGER} SELECT pubkey, CASE WHEN pubkey % 7 = 0 THEN 5 ELSE content_synced_at END AS content_synced_at, outbox_checked_at FROM ledger",
-    "synced_rate_eta": "WITH s AS (SELECT event_id, user_id, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS c, ts FROM events WHERE user_id < 10), r AS (SELECT event_id, t - first_value(t) OVER w AS span, c - first_value(c) OVER w AS more FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), q AS (SELECT event_id, CASE WHEN span > 0 THEN round(more / span, 9) END AS rate FROM r) SELECT event_id, rate, CAST(floor(1000 / nullif(rate, 0)) AS BIGINT) AS eta FROM q",
+    "ledger_upsert": f"WITH {LEDGER} SELECT pubkey, CASE WHEN content_synced_at > 30000 THEN 5 ELSE content_synced_at END AS content_synced_at, outbox_checked_at FROM ledger",
+    "synced_rate_eta": "WITH s AS (SELECT event_id, user_id, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS c, ts FROM events), r AS (SELECT event_id, t - first_value(t) OVER w AS span, c - first_value(c) OVER w AS more FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), q AS (SELECT event_id, CASE WHEN span > 0 THEN round(more / span, 9) END AS rate FROM r) SELECT event_id, rate, CAST(floor(1000 / nullif(rate, 0)) AS BIGINT) AS eta FROM q",
     "tick_rates": "WITH b AS (SELECT date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n FROM events GROUP BY 1) SELECT day, n, n - lag(n) OVER (ORDER BY day) AS delta FROM b",
     "low_yield_streak": "WITH o AS (SELECT o_custkey AS relay, o_orderkey AS batch, o_totalprice < 100000 AS low FROM orders), i AS (SELECT *, row_number() OVER (PARTITION BY relay ORDER BY batch) - row_number() OVER (PARTITION BY relay, low ORDER BY batch) AS island FROM o), s AS (SELECT relay, island, count(*) AS streak FROM i WHERE low GROUP BY 1, 2) SELECT relay, max(streak) AS streak FROM s WHERE streak >= 2 GROUP BY 1",
     "idle_gap_sessions": "WITH s AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events) SELECT user_id, count(*) FILTER (b IS NULL OR ts > b + INTERVAL 30 MINUTE) AS sessions, count(*) AS events FROM s GROUP BY 1",
@@ -56,9 +56,16 @@ ORACLE = {
     "time_slices": "SELECT least(7, (event_id - (SELECT min(event_id) FROM events)) * 8 // ((SELECT max(event_id) - min(event_id) + 1 FROM events))) AS slice, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY 1",
     "first_success_union": "SELECT o_custkey AS author, o_orderpriority AS source, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) = 1",
     "roster_union": f"WITH {EDGES} SELECT 'p' AS what, count(DISTINCT l_partkey) AS n FROM lineitem UNION ALL SELECT 'o', count(DISTINCT observer) FROM edges UNION ALL SELECT 's', count(DISTINCT service) FROM edges",
-    "observer_frontier": f"WITH RECURSIVE {EDGES}, links AS (SELECT DISTINCT e.observer, CAST(l_partkey AS INT) AS subject FROM edges e JOIN lineitem ON service = l_suppkey WHERE l_partkey < 25 AND l_quantity > 47 AND l_partkey IN (SELECT observer FROM edges)), walk AS (SELECT 0 AS observer, 0 AS depth UNION SELECT subject, depth + 1 FROM walk JOIN links USING (observer) WHERE depth < 12) SELECT observer, min(depth) AS depth FROM walk GROUP BY 1",
+    "observer_frontier": f"WITH RECURSIVE {EDGES}, links AS (SELECT DISTINCT e.observer, CAST(l_partkey AS INT) AS subject FROM edges e JOIN lineitem ON service = l_suppkey WHERE l_quantity > 47 AND l_partkey IN (SELECT observer FROM edges)), walk AS (SELECT 0 AS observer, 0 AS depth UNION SELECT subject, depth + 1 FROM walk JOIN links USING (observer) WHERE depth < 12) SELECT observer, min(depth) AS depth FROM walk GROUP BY 1",
     "cursor_freshness": "WITH u AS (SELECT user_id, max(event_id) AS cursor, arg_max(event_type, (ts, event_id)) AS last FROM events GROUP BY 1) SELECT min(cursor) AS oldest, max(cursor) AS newest, count(*) FILTER (last = 'view') AS capable FROM u",
     "relay_work_map": f"WITH {EDGES} SELECT relay, count(DISTINCT observer) AS observers, array_to_string(list_transform(list_sort(list(DISTINCT service)), lambda x: CAST(x AS VARCHAR)), ',') AS services FROM edges GROUP BY 1",
+    "oldest_newest": "SELECT event_type, min(ts) AS oldest, max(ts) AS newest FROM events GROUP BY 1",
+    "absent_everywhere": "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority = '5-LOW' GROUP BY 1",
+    "busiest_downloads": "WITH c AS (SELECT l_suppkey AS s, count(*) AS n FROM lineitem GROUP BY 1) (SELECT 'service ' || s AS label, n FROM c ORDER BY n DESC, s LIMIT 3) UNION ALL SELECT '+' || greatest(count(*) - 3, 0) || ' more', greatest(count(*) - 3, 0) FROM c",
+    "trust_bands": "WITH b AS (SELECT l_suppkey AS service, l_partkey AS subject, max(l_quantity) AS rank FROM lineitem GROUP BY 1, 2), t AS (SELECT *, ntile(4) OVER (PARTITION BY service ORDER BY rank DESC, subject) AS band FROM b) SELECT service, band, count(*) AS n, min(rank) AS least, max(rank) AS most FROM t GROUP BY 1, 2",
+    "insert_if_missing": "SELECT c_custkey AS author, c_name AS name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    "services_covered": f"WITH {EDGES} SELECT observer, bool_and(relay < 3) AS covered FROM edges GROUP BY 1",
+    "download_labels": "SELECT user_id, event_type, concat_ws(' ', CAST(user_id AS VARCHAR), event_type, strftime(min(ts), '%m-%d') || '..' || strftime(max(ts), '%m-%d')) AS label FROM events GROUP BY 1, 2",
     "stream_dedup": "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1",
     "stream_tumbling_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_ttl_dead": "SELECT user_id, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type = 'error') >= 3 AS dead FROM events GROUP BY 1",

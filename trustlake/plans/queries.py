@@ -117,13 +117,13 @@ def scores_per_observer(spark, d):
 @query
 def observer_names(spark, d):
     n = table(spark, d, "nation")
-    out = S.edges(spark, d).select("observer").distinct().join(n.where("n_nationkey % 3 <> 0"), F.col("observer") == F.col("n_nationkey"), "left")
+    out = S.edges(spark, d).select("observer").distinct().join(n.where("n_regionkey <> 2"), F.col("observer") == F.col("n_nationkey"), "left")
     return out.select("observer", C.display_name(F.col("n_name"), F.lit(None).cast("string")).alias("name"))
 
 
 @query
 def observer_roster(spark, d):
-    return trust.rosters(S.edges(spark, d), S.scores(spark, d)).where("observer < 3")
+    return trust.rosters(S.edges(spark, d), S.scores(spark, d))
 
 
 @query
@@ -140,8 +140,9 @@ def stale_ids_absence_delete(spark, d):
 
 @query
 def need_have_diff(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
-    return store.need_have(o.where("id % 3 <> 0"), o.where("id % 5 <> 0")).groupBy("side").agg(F.count("*").alias("n"), F.sum("id").cast("long").alias("total"))
+    o = table(spark, d, "orders").withColumnRenamed("o_orderkey", "id")
+    local, remote = o.where("o_orderstatus <> 'P'").select("id"), o.where("o_orderpriority <> '5-LOW'").select("id")
+    return store.need_have(local, remote).groupBy("side").agg(F.count("*").alias("n"), F.sum("id").cast("long").alias("total"))
 
 
 @query
@@ -196,7 +197,7 @@ def ttl_backlog_ranked(spark, d):
 @query
 def ledger_upsert(spark, d):
     old = S.ledger(spark, d)
-    new = old.where("pubkey % 7 = 0").select("pubkey", F.lit(5).cast("long").alias("content_synced_at"), F.lit(None).cast("long").alias("outbox_checked_at"))
+    new = old.where("content_synced_at > 30000").select("pubkey", F.lit(5).cast("long").alias("content_synced_at"), F.lit(None).cast("long").alias("outbox_checked_at"))
     return store.ledger_merge(old, new)
 
 
@@ -205,7 +206,7 @@ def synced_rate_eta(spark, d):
     t = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-11, 0)
     seen = F.count("*").over(Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0))
-    rows = table(spark, d, "events").where("user_id < 10").withColumn("t", t).withColumn("count", seen)
+    rows = table(spark, d, "events").withColumn("t", t).withColumn("count", seen)
     span, more = F.last("t").over(w) - F.first("t").over(w), F.last("count").over(w) - F.first("count").over(w)
     rows = rows.withColumn("rate", F.when(span > 0, more / span))
     return rows.select("event_id", F.round("rate", 9).alias("rate"), F.floor(F.lit(1000) / F.nullif(F.round("rate", 9), F.lit(0.0))).alias("eta"))
@@ -353,7 +354,7 @@ def roster_union(spark, d):
 @query
 def observer_frontier(spark, d):
     edges = S.edges(spark, d)
-    scored = S.scores(spark, d).where("subject < 25 and rank > 47").select("service", F.col("subject").cast("int").alias("subject"))
+    scored = S.scores(spark, d).where("rank > 47").select("service", F.col("subject").cast("int").alias("subject"))
     return trust.frontier(edges, scored, spark.range(1).select(F.lit(0).alias("observer")), S.saver(spark))
 
 
@@ -369,6 +370,55 @@ def relay_work_map(spark, d):
     return e.groupBy("relay").agg(F.count_distinct("observer").alias("observers"), F.array_join(F.transform(F.sort_array(F.collect_set("service")), lambda x: x.cast("string")), ",").alias("services"))
 
 
+@query
+def oldest_newest(spark, d):
+    return table(spark, d, "events").groupBy("event_type").agg(F.min("ts").alias("oldest"), F.max("ts").alias("newest"))
+
+
+@query
+def absent_everywhere(spark, d):
+    o = table(spark, d, "orders").withColumnRenamed("o_orderkey", "id")
+    replicas = [o.where("o_orderstatus = 'F'"), o.where("o_orderpriority <> '5-LOW'")]
+    return store.absent_everywhere(o, replicas).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query
+def busiest_downloads(spark, d):
+    by = S.scores(spark, d).groupBy("service").agg(F.count("*").alias("n"))
+    top = by.orderBy(F.desc("n"), "service").limit(3).select(F.concat(F.lit("service "), "service").alias("label"), "n")
+    others = F.greatest(F.count("*") - 3, F.lit(0).cast("long"))
+    return top.union(by.agg(F.concat(F.lit("+"), others, F.lit(" more")), others))
+
+
+@query
+def trust_bands(spark, d):
+    best = S.scores(spark, d).groupBy("service", "subject").agg(F.max("rank").alias("rank"))
+    band = F.ntile(4).over(Window.partitionBy("service").orderBy(F.desc("rank"), "subject"))
+    return best.withColumn("band", band.cast("long")).groupBy("service", "band").agg(F.count("*").alias("n"), F.min("rank").alias("least"), F.max("rank").alias("most"))
+
+
+@query
+def insert_if_missing(spark, d):
+    held = table(spark, d, "orders").select(F.col("o_custkey").alias("author"))
+    seed = table(spark, d, "customer").select(F.col("c_custkey").alias("author"), F.col("c_name").alias("name"))
+    return S.insert_missing(held, seed, ["author"])
+
+
+@query
+def services_covered(spark, d):
+    want = S.edges(spark, d).groupBy("observer").agg(F.collect_set("service").alias("want"))
+    have = S.edges(spark, d).where("relay < 3").groupBy("observer").agg(F.collect_set("service").alias("have"))
+    none = F.array().cast("array<bigint>")
+    return want.join(have, "observer", "left").select("observer", (F.size(F.array_except("want", F.coalesce("have", none))) == 0).alias("covered"))
+
+
+@query
+def download_labels(spark, d):
+    by = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    window = F.concat(F.date_format("a", "MM-dd"), F.lit(".."), F.date_format("b", "MM-dd"))
+    return by.select("user_id", "event_type", F.concat_ws(" ", F.col("user_id").cast("string"), "event_type", window).alias("label"))
+
+
 @query
 def stream_dedup(spark, d):
     once = streams.deduplicated(streams.event_stream(spark, d))
