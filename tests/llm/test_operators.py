@@ -145,6 +145,22 @@ def test_substring_dedup(spark, docs, monkeypatch, hot):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_substring_dedup_splits_hot_grams_without_loss(spark, docs, monkeypatch):
+    from trustlake.llm import shared_windows
+
+    monkeypatch.setattr(shared_windows, "HOT", 3)
+    rows = []
+    for seed in range(60):
+        rng = random.Random(seed)
+        passage = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(13 + seed % 2)]
+        for j in range(6):
+            own = lambda k: ["".join(rng.choices("klmnop", k=8)) for _ in range(k)]
+            # at a text's start, behind one word and behind several
+            rows.append((len(rows), " ".join(own((0, 1, 4)[j % 3]) + passage + own(3)), "s"))
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.without_copied_passages(docs(rows), 13).collect()}
+    assert got == {i: 0 if i % 6 == 0 else 13 + i // 6 % 2 for i, _, _ in rows}
+
+
 def edits(a, b):
     if abs(len(a) - len(b)) > 1:
         return 2

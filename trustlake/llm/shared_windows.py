@@ -25,7 +25,7 @@ from trustlake.llm.common import BYTE_VALUE, joined_bytes, mix, running, slices,
 POSITION = np.uint64((1 << 34) - 1)
 #: Bytes of text that are hashed at a time.
 PIECE = 1 << 20
-#: Stretches of one k-gram from which it is split, and the offsets in a range of the split.
+#: Stretches of one k-gram from which it is split, and the offsets in a range of the split at most.
 HOT, RANGE = 5_000, 16
 #: Rows that are compared at a time; a k-gram's rows stay together.
 TOGETHER = 3_000
@@ -164,9 +164,10 @@ def cut_out(rows: DataFrame, docs: DataFrame, w: Windows) -> DataFrame:
                     parts = [(text[rest], a[rest], stop[rest], key[rest], wanted[rest])]
                     h = np.flatnonzero(hot)
                     own = a[h] + owner[h]
-                    for low in range(0, w.n - w.k + 1, RANGE):
+                    step = max(1, min(RANGE, (w.n - w.k) // 2))
+                    for low in range(0, w.n - w.k + 1, step):
                         # offsets low to high of the owner in a window are the windows own - high to own - low
-                        high = low + RANGE - 1
+                        high = min(low + step - 1, w.n - w.k)
                         x, y = np.maximum(a[h], own - high), np.minimum(stop[h], own - low + 1)
                         on = x < y
                         core = span_hash(sums, own[on] - low, own[on] - high + w.n)
