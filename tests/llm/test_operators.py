@@ -192,6 +192,24 @@ def test_line_dedup(spark, docs):
             assert kept.get(i) == ("\n".join(left) if left else None)
 
 
+def test_line_dedup_rows_of_one_doc_id(spark, docs):
+    line = lambda x: f"line {x} " + x * 20
+    rows = [(1, line("a"), "s"), (2, line("b") + "\n" + line("c"), "s"), (2, line("d") + "\n" + line("a"), "s")]
+    rows += [(None, f"{line('e')}\n{line('a')}", "s"), (None, f"{line('f')}\n{line('g')}", "s"), (None, f"{line('f')}\n{line('g')}", "s"), (None, None, "s")]
+    got = sorted((r["doc_id"] or 9, r["n_lines"], r["n_removed"], r["removed"], r["chars_removed"]) for r in line_dedup.removed_lines(awkward(docs, rows)).collect())
+    assert got == [(1, 1, 0, [], 0), (2, 2, 0, [], 0), (2, 2, 1, [1], 27), (9, 0, 0, [], 0), (9, 2, 0, [], 0), (9, 2, 0, [], 0), (9, 2, 1, [1], 27)]
+    kept = sorted(str(r["text"]) for r in line_dedup.without_duplicate_lines(docs(rows)).collect())
+    assert kept == sorted([rows[0][1], rows[1][1], line("d"), line("e"), rows[4][1], rows[4][1], "None"])
+
+
+def test_ngram_join_rows_of_one_doc_id(docs):
+    words = lambda x: " ".join(f"{x}{i}" for i in range(60))
+    rows = [(1, words("a"), "s"), (1, words("b"), "s"), (2, words("c"), "s"), (2, words("a"), "s")]
+    rows += [(None, words("c"), "s"), (None, words("d"), "s"), (None, words("d"), "s"), (None, words("d") + " more", "s"), (None, words("e"), "s"), (None, words("a") + " more", "s")]
+    kept = [(r["doc_id"], r["text"][0]) for r in ngram_join.one_of_each_class(awkward(docs, rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], key=repr)
+
+
 def test_ngram_join(spark, docs):
     rows = corpus(8)
     sets = {}

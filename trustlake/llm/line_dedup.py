@@ -19,10 +19,15 @@ def cut(i: int, base: str) -> str:
     return f"cast(floor({base} * {i} / {SEGMENTS}) as int)"
 
 
+def salt() -> Column:
+    """Tells rows of one doc_id apart by their text."""
+    return F.xxhash64(F.col("text").cast("string")).alias("salt")
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, line; a line ends at a line feed, a null text has none."""
+    """doc_id, salt, pos, line; a line ends at a line feed, a null text has none."""
     parts = F.posexplode(F.split(F.col("text").cast("string"), "\n"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), parts.alias("pos", "line"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), salt(), parts.alias("pos", "line"))
 
 
 def outside(i: int, longer: bool) -> Column:
@@ -71,31 +76,39 @@ def duplicate_lines(docs: DataFrame, min_chars: int = 16) -> tuple[DataFrame, Da
     return first.select("id", "n", "place"), written(near, "near-lines")
 
 
+def lost_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
+    """``removed_lines`` once for each different row: doc_id, salt (hash of the text) and the counts; rows without lines are absent."""
+    first, near = duplicate_lines(docs, min_chars)
+    rows = lines_of(docs).select("doc_id", "salt", "pos", F.length("line").alias("n"), F.xxhash64("line").alias("id"))
+    at = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("pos"))
+    goes = first.join(near.withColumn("near", F.lit(True)), "id", "left").select("id", "n", "place", F.coalesce("near", F.lit(False)).alias("near"))
+    marked = rows.where(F.col("n") >= min_chars).join(goes, ["id", "n"]).select("doc_id", "salt", "pos", "id", "n", (F.col("near") | (F.col("place") < at)).alias("gone"))
+    short = rows.where(F.col("n") < min_chars).select("doc_id", "salt", "pos", "id", "n", F.lit(False).alias("gone"))
+    # Copies of a row are grouped together; each has one line at position 0.
+    copies = F.count(F.when(F.col("pos") == 0, 1))
+    each = lambda x: (x / copies).cast("long")
+    return marked.union(short).groupBy("doc_id", "salt").agg(
+        each(F.count("*")).alias("n_lines"),
+        each(F.sum(F.col("gone").cast("long"))).alias("n_removed"),
+        F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("pos")))).alias("removed"),
+        each(F.sum(F.when(F.col("gone"), F.col("n")).otherwise(0))).alias("chars_removed"),
+        F.xxhash64(F.transform(F.sort_array(F.collect_set(F.when(~F.col("gone"), F.struct("pos", "id")))), lambda x: x["id"])).alias("kept"),
+    )
+
+
 def removed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
-    """doc_id, n_lines, n_removed, removed (positions), chars_removed, kept (hash of the kept lines' hashes in order).
+    """doc_id, n_lines, n_removed, removed (positions), chars_removed, kept (hash of the kept lines' hashes in order) of every row.
 
     Lines of at least ``min_chars`` characters take part; shorter ones always stay. A line goes if a line within one
     edit (a letter more, less or other) stands earlier, by doc_id (null last) and then position; this is judged on the
-    input, not on what is left. Lines at one place in rows of equal doc_id are not earlier than each other, and rows
-    with equal doc_id are counted together. A null text has no lines and an empty one one. Empty tables give no rows;
-    only doc_id and text are read.
+    input, not on what is left. Lines at one place in rows of equal doc_id are not earlier than each other. Rows are
+    told apart by doc_id and a hash of the text, so rows of equal or null doc_id lose their own lines only. A null text
+    has no lines and an empty one one. Empty tables give no rows; only doc_id and text are read.
     """
-    first, near = duplicate_lines(docs, min_chars)
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("pos"))
-    rows = lines_of(docs).select("doc_id", "pos", F.length("line").alias("n"), F.xxhash64("line").alias("id"), place.alias("at"))
-    goes = first.join(near.withColumn("near", F.lit(True)), "id", "left").select("id", "n", "place", F.coalesce("near", F.lit(False)).alias("near"))
-    marked = rows.where(F.col("n") >= min_chars).join(goes, ["id", "n"]).select("doc_id", "pos", "id", "n", (F.col("near") | (F.col("place") < F.col("at"))).alias("gone"))
-    short = rows.where(F.col("n") < min_chars).select("doc_id", "pos", "id", "n", F.lit(False).alias("gone"))
-    by_doc = marked.union(short).groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"),
-        F.sum(F.col("gone").cast("long")).alias("n_removed"),
-        F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("pos")))).alias("removed"),
-        F.sum(F.when(F.col("gone"), F.col("n")).otherwise(0)).cast("long").alias("chars_removed"),
-        F.xxhash64(F.transform(F.sort_array(F.collect_list(F.when(~F.col("gone"), F.struct("pos", "id")))), lambda x: x["id"])).alias("kept"),
-    )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), salt())
     zero = F.lit(0).cast("long")
-    out = ids.alias("i").join(by_doc.alias("d"), F.col("i.doc_id").eqNullSafe(F.col("d.doc_id")), "left")
+    d = lost_lines(docs, min_chars).alias("d")
+    out = rows.alias("i").join(d, F.col("i.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("i.salt") == F.col("d.salt")), "left")
     return out.select("i.doc_id", F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), F.coalesce("chars_removed", zero).alias("chars_removed"), "kept")
 
 
@@ -104,9 +117,9 @@ def without_duplicate_lines(docs: DataFrame, min_chars: int = 16, size_column: s
 
     The columns stay as they are; ``size_column``, where there is one, is counted anew for changed texts.
     """
-    gone = removed_lines(docs, min_chars).where("n_removed > 0").select(F.col("doc_id").alias("gone_id"), "removed", F.col("n_lines").alias("all_lines"))
+    gone = lost_lines(docs, min_chars).where("n_removed > 0").select(F.col("doc_id").alias("gone_id"), F.col("salt").alias("gone_salt"), "removed", F.col("n_lines").alias("all_lines"))
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i))
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left")
+    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_salt"]), "left")
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     left = F.col("removed").isNull() | F.col("text").isNull() | (F.size(kept) > 0)
     changed = [text.alias("text") if c == "text" else F.when(F.col("removed").isNull(), F.col(c)).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c) if c == size_column else docs[c] for c in docs.columns]

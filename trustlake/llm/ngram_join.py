@@ -193,20 +193,8 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, tid binary, packed binary")
 
 
-def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.99999) -> DataFrame:
-    """doc_id, tid, class_id, n_links of every document.
-
-    Texts are linked if the Jaccard similarity of their sets of ``n``-word shingles reaches ``threshold``; a pair at
-    the threshold is a candidate with probability ``target`` at least, more similar ones more surely. Words are runs of
-    anything but ASCII white space. A text of fewer words has one shingle, all its words; texts without words (null
-    counts as empty) are linked to none. ``n_links`` is the number of different texts linked to the document's own
-    (copies share one text), ``class_id`` the least doc_id of all documents that are copies or linked through any number
-    of links; it is null where none has one. Repeated rows stay; an empty table gives no rows; other columns are not
-    read.
-
-    Candidate pairs are never listed: a bucket of a tree is told by its least text, texts that share such a label are
-    compared in blocks of at most twice ``BLOCK`` texts, and a block returns one row per text.
-    """
+def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.99999) -> tuple[DataFrame, DataFrame]:
+    """(by text: tid, first (its least doc_id), root (the class's least text), class_id, n_links; by row: doc_id, tid) of ``similar_classes``."""
     depth = shortened_depth(threshold, target)
     signed = written(signatures(docs, n, depth), "signatures")
     texts = signed.groupBy("tid").agg(F.min("doc_id").alias("first"), F.max("keys").alias("keys"))
@@ -226,17 +214,33 @@ def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target:
     roots = components(found.select("tid", "root"), "tid", "root")
     told = texts.select("tid", "first").join(roots.withColumnRenamed("node", "tid"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
     least = told.groupBy("root").agg(F.min("first").alias("class_id"))
-    by_text = told.join(least, "root").join(counts, "tid", "left").select("tid", "class_id", F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
-    return signed.select("doc_id", "tid").join(by_text, "tid").select("doc_id", "tid", "class_id", "n_links")
+    by_text = told.join(least, "root").join(counts, "tid", "left").select("tid", "first", "root", "class_id", F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
+    return by_text, signed.select("doc_id", "tid")
 
 
-def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
-    """The documents of ``docs``, with their columns, that are the first of their class by doc_id; one row each.
+def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.99999) -> DataFrame:
+    """doc_id, tid, class_id, n_links of every document.
 
-    Documents without a doc_id stay if no other of their class has one, all rows of them.
+    Texts are linked if the Jaccard similarity of their sets of ``n``-word shingles reaches ``threshold``; a pair at
+    the threshold is a candidate with probability ``target`` at least, more similar ones more surely. Words are runs of
+    anything but ASCII white space. A text of fewer words has one shingle, all its words; texts without words (null
+    counts as empty) are linked to none. ``n_links`` is the number of different texts linked to the document's own
+    (copies share one text), ``class_id`` the least doc_id of all documents that are copies or linked through any number
+    of links; it is null where none has one. Repeated rows stay; an empty table gives no rows; other columns are not
+    read.
+
+    Candidate pairs are never listed: a bucket of a tree is told by its least text, texts that share such a label are
+    compared in blocks of at most twice ``BLOCK`` texts, and a block returns one row per text.
     """
-    classes = similar_classes(docs, **options)
-    first = classes.where("doc_id <=> class_id").groupBy(F.col("doc_id").alias("first_id")).agg(F.min("tid").alias("first_tid"))
-    tid = F.unhex(F.md5(text_or_empty()))
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]) & ((tid == F.col("first_tid")) | docs["doc_id"].isNull()), "left_semi")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    by_text, rows = classes(docs, n, threshold, target)
+    return rows.join(by_text, "tid").select("doc_id", "tid", "class_id", "n_links")
+
+
+def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
+    """One row of ``docs``, with its columns, of each class: the first by doc_id (null last), then by the text's hash."""
+    by_text, _ = classes(docs, **options)
+    place = F.struct(F.col("first").isNull(), F.col("first"), F.col("tid"))
+    first = by_text.groupBy("root").agg(F.min(place).alias("place")).select(F.col("place.first").alias("first id"), F.col("place.tid").alias("first tid"))
+    kept = docs.withColumn("own tid", F.unhex(F.md5(text_or_empty())))
+    kept = kept.join(first, kept["doc_id"].eqNullSafe(first["first id"]) & (kept["own tid"] == first["first tid"]), "left_semi")
+    return kept.dropDuplicates(["own tid"]).drop("own tid")

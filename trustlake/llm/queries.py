@@ -16,8 +16,8 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many lines every document has and loses."""
-    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "chars_removed")
+    """How many lines every document has and loses; rows of one doc_id are added up, as the SQL does."""
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n_lines", "n_removed", "chars_removed")])
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
