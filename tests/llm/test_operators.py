@@ -202,6 +202,16 @@ def test_line_dedup_rows_of_one_doc_id(spark, docs):
     assert kept == sorted([rows[0][1], rows[1][1], line("d"), line("e"), rows[4][1], rows[4][1], "None"])
 
 
+def test_line_dedup_exact_repeats_of_short_lines(spark, docs):
+    import corpus_pipeline
+
+    rows = [(1, "Home\n\nNews", "s"), (2, "Home\n\n \nNew", "s"), (3, "Home", "s"), (4, "Homes\nHome\n", "s"), (None, "News\nHome\nx", "s")]
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs(rows), min_exact=1).collect()}
+    assert got == {1: [], 2: [0], 3: [0], 4: [1], None: [0, 1]}
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs(rows), "").collect()}
+    assert kept == {1: rows[0][1], 2: "\n \nNew", 4: "Homes\n", None: "x"}
+
+
 def test_ngram_join_rows_of_one_doc_id(docs):
     words = lambda x: " ".join(f"{x}{i}" for i in range(60))
     rows = [(1, words("a"), "s"), (1, words("b"), "s"), (2, words("c"), "s"), (2, words("a"), "s")]

@@ -2,7 +2,8 @@
 
 A line is cut into four segments. Two lines within one edit agree outside one segment, so lines that share the hash of
 what is outside it with no other line need no look. The others emit their deletion variants of that segment as hashed
-keys; lines with an equal variant are joined, their edit distance is verified, and the earliest is kept.
+keys; lines with an equal variant are joined, their edit distance is verified, and the earliest is kept. The bound is
+one edit, as in the SQL of op1: with each further edit the variants grow by a factor of a segment's length.
 """
 
 from __future__ import annotations
@@ -76,14 +77,19 @@ def duplicate_lines(docs: DataFrame, min_chars: int = 16) -> tuple[DataFrame, Da
     return first.select("id", "n", "place"), written(near, "near-lines")
 
 
-def lost_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
+def lost_lines(docs: DataFrame, min_chars: int = 16, min_exact: int | None = None) -> DataFrame:
     """``removed_lines`` once for each different row: doc_id, salt (hash of the text) and the counts; rows without lines are absent."""
     first, near = duplicate_lines(docs, min_chars)
-    rows = lines_of(docs).select("doc_id", "salt", "pos", F.length("line").alias("n"), F.xxhash64("line").alias("id"))
+    n = F.length("line")
+    least = min_chars if min_exact is None else min(min_chars, min_exact)
+    compared = (n >= min_chars) | (n >= least) & F.col("line").rlike(r"\S")
+    rows = lines_of(docs).select("doc_id", "salt", "pos", n.alias("n"), F.xxhash64("line").alias("id"), compared.alias("compared"))
     at = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("pos"))
     goes = first.join(near.withColumn("near", F.lit(True)), "id", "left").select("id", "n", "place", F.coalesce("near", F.lit(False)).alias("near"))
-    marked = rows.where(F.col("n") >= min_chars).join(goes, ["id", "n"]).select("doc_id", "salt", "pos", "id", "n", (F.col("near") | (F.col("place") < at)).alias("gone"))
-    short = rows.where(F.col("n") < min_chars).select("doc_id", "salt", "pos", "id", "n", F.lit(False).alias("gone"))
+    if least < min_chars:
+        goes = goes.union(rows.where("compared").where(F.col("n") < min_chars).groupBy("id", "n").agg(F.min(at).alias("place"), F.lit(False).alias("near")))
+    marked = rows.where("compared").join(goes, ["id", "n"]).select("doc_id", "salt", "pos", "id", "n", (F.col("near") | (F.col("place") < at)).alias("gone"))
+    short = rows.where("not compared").select("doc_id", "salt", "pos", "id", "n", F.lit(False).alias("gone"))
     # Copies of a row are grouped together; each has one line at position 0.
     copies = F.count(F.when(F.col("pos") == 0, 1))
     each = lambda x: (x / copies).cast("long")
@@ -96,10 +102,11 @@ def lost_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     )
 
 
-def removed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int = 16, min_exact: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (positions), chars_removed, kept (hash of the kept lines' hashes in order) of every row.
 
-    Lines of at least ``min_chars`` characters take part; shorter ones always stay. A line goes if a line within one
+    Lines of at least ``min_chars`` characters take part, shorter ones from ``min_exact`` characters that are not blank
+    as exact repeats only, and others always stay (so do all shorter ones where it is None). A line goes if a line within one
     edit (a letter more, less or other) stands earlier, by doc_id (null last) and then position; this is judged on the
     input, not on what is left. Lines at one place in rows of equal doc_id are not earlier than each other. Rows are
     told apart by doc_id and a hash of the text, so rows of equal or null doc_id lose their own lines only. A null text
@@ -107,17 +114,17 @@ def removed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), salt())
     zero = F.lit(0).cast("long")
-    d = lost_lines(docs, min_chars).alias("d")
+    d = lost_lines(docs, min_chars, min_exact).alias("d")
     out = rows.alias("i").join(d, F.col("i.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("i.salt") == F.col("d.salt")), "left")
     return out.select("i.doc_id", F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), F.coalesce("chars_removed", zero).alias("chars_removed"), "kept")
 
 
-def without_duplicate_lines(docs: DataFrame, min_chars: int = 16, size_column: str = "n_chars") -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, min_chars: int = 16, size_column: str = "n_chars", min_exact: int | None = None) -> DataFrame:
     """``docs`` without the lines that ``removed_lines`` names; documents that lose every line go.
 
     The columns stay as they are; ``size_column``, where there is one, is counted anew for changed texts.
     """
-    gone = lost_lines(docs, min_chars).where("n_removed > 0").select(F.col("doc_id").alias("gone_id"), F.col("salt").alias("gone_salt"), "removed", F.col("n_lines").alias("all_lines"))
+    gone = lost_lines(docs, min_chars, min_exact).where("n_removed > 0").select(F.col("doc_id").alias("gone_id"), F.col("salt").alias("gone_salt"), "removed", F.col("n_lines").alias("all_lines"))
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i))
     both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_salt"]), "left")
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
