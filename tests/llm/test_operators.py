@@ -292,6 +292,20 @@ def test_toxicity(spark, docs):
     assert toxicity.hits(found, toxicity.fold("a clown, a CIRCUS cl0wn, clowns")) == (5.0, 2)
 
 
+def test_toxicity_learns_rare_terms_from_many_labels(spark, docs):
+    rng = random.Random(2)
+    clean = ["".join(rng.choices("klmnrstu", k=5)) for _ in range(50)]
+    texts = [" ".join(rng.choices(clean, k=12)) for _ in range(11_000)]
+    texts = [f"{t} stupid{i % 5}" if i < 1_100 else t for i, t in enumerate(texts)]
+    wanted = [(i, f"{texts[i]} dolt") for i in range(30)]
+    half = {r["i"]: r["half"] for r in spark.createDataFrame(wanted, "i long, text string").select("i", F.abs(F.xxhash64("text") % 2).alias("half")).collect()}
+    for h in (0, 1):
+        for i in [i for i in half if half[i] == h][:4]:
+            texts[i] += " dolt"
+    known = spark.createDataFrame([(i, 1, int(i < 1_100)) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    assert " dolt " in toxicity.learn(docs([(i, t, "s") for i, t in enumerate(texts)]), known).lexicon
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

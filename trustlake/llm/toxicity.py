@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustlake.llm.common import map_arrow, text_or_empty, written
@@ -24,6 +24,9 @@ LOOKALIKES = {
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "|": "l", "!": "i", "+": "t"}
 
+#: An entry's odds ratio of toxic to clean documents is above ``ODDS`` at a confidence of 95 % (``SURE`` deviations).
+ODDS, SURE = 4.0, 1.645
+
 _LETTERS = str.maketrans(LOOKALIKES)
 _DIGITS = str.maketrans(DIGITS)
 _DISGUISED = re.compile(r"[^\W\d_][0-9@$|!+]+(?=[^\W\d_])|(?<!\S)[0-9@$|]+(?=[^\W\d_]{2})")
@@ -127,12 +130,18 @@ def entry_counts(sample: DataFrame, lengths: tuple[int, ...] = (4, 5, 6, 7)) ->
     return map_arrow(sample, run, "entry string, cell int, n long", "text").groupBy("entry").agg(*n)
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries: int = 5_000, exceptions: tuple[str, ...] = ()) -> ToxicityModel:
+def least_odds(toxic: Column, clean: Column, all_toxic: int, all_clean: int) -> Column:
+    """Lower confidence bound of the log odds ratio of an entry that stands in so many of all toxic and clean documents."""
+    cells = [F.greatest(x, F.lit(0)) + 0.5 for x in (toxic, F.lit(all_clean) - clean, clean, F.lit(all_toxic) - toxic)]
+    return F.log(cells[0] * cells[1] / (cells[2] * cells[3])) - SURE * F.sqrt(sum((1 / x for x in cells[1:]), 1 / cells[0]))
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, exceptions: tuple[str, ...] = ()) -> ToxicityModel:
     """A model from labelled documents: ``labels`` has doc_id and toxic (0 or 1), ``docs`` doc_id and text.
 
     About ``sample_rows`` labelled rows, chosen by a hash of doc_id, are read; this bounds what reaches the driver.
-    The lexicon comes from documents with different texts: an entry must speak for toxicity in one half of them and
-    prove it in the other. At most ``entries`` are kept, the best attested. Phrases in which an entry stands in clean
+    The lexicon comes from documents with different texts: an entry must prove its toxicity in both halves of them,
+    by a lower confidence bound on its odds that does not depend on the sample's size. Phrases in which an entry stands in clean
     documents only become exceptions, beside those given. Two features, the sum of the weights and the sum by length,
     then get a logistic fit. Without both classes the model scores everything 0.
     """
@@ -146,11 +155,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries
     if not all(sum(sizes.get((h, y), 0) for h in (0, 1)) for y in (0, 1)):
         return ToxicityModel({}, exceptions, -20.0, 0.0, 0.0)
     clean, toxic = (sizes.get((0, y), 0) + sizes.get((1, y), 0) for y in (0, 1))
-    least = 1 if toxic < 100 else 2 if toxic < 400 else 3 if toxic < 1000 else 5
     seen = F.col("n1") + F.col("n3")
     weight = F.log((seen + 0.5) / (toxic + 1.0)) - F.log((F.col("n0") + F.col("n2") + 0.5) / (clean + 1.0))
-    halves = [F.col(t) >= 4 * F.col(c) + least for c, t in (("n0", "n1"), ("n2", "n3"))]
-    best = entry_counts(sample).where(halves[0] & halves[1]).select("entry", weight.alias("weight"), seen.alias("seen")).where("weight > 2").orderBy(F.desc("seen"), "entry").limit(entries)
+    halves = [least_odds(F.col(f"n{2 * h + 1}"), F.col(f"n{2 * h}"), sizes.get((h, 1), 0), sizes.get((h, 0), 0)) > math.log(ODDS) for h in (0, 1)]
+    best = entry_counts(sample).where(halves[0] & halves[1]).select("entry", weight.alias("weight")).where("weight > 2").orderBy("entry")
     lexicon = {r["entry"]: float(r["weight"]) for r in best.collect()}
     spared = clean_phrases(sample, lexicon) if lexicon else ()
     draft = ToxicityModel(lexicon, tuple(sorted({*exceptions, *spared})), 0.0, 0.0, 0.0)
@@ -158,7 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, entries
     return draft._replace(**fit(x[["x1", "x2"]].to_numpy(), x["toxic"].to_numpy(float)))
 
 
-def clean_phrases(sample: DataFrame, lexicon: dict[str, float], least: int = 5, most: int = 1_000) -> tuple[str, ...]:
+def clean_phrases(sample: DataFrame, lexicon: dict[str, float], least: int = 5) -> tuple[str, ...]:
     """Phrases of an entry's word and a neighbour that at least ``least`` clean documents have and no toxic one."""
     found = automaton(ToxicityModel(lexicon, (), 0.0, 0.0, 0.0))
 
@@ -177,7 +185,7 @@ def clean_phrases(sample: DataFrame, lexicon: dict[str, float], least: int = 5,
         yield pa.RecordBatch.from_pydict({"phrase": pa.array(phrases, pa.string()), "toxic": pa.array(classes, pa.int32())})
 
     counted = map_arrow(sample, run, "phrase string, toxic int", "text").groupBy("phrase").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-    return tuple(r["phrase"] for r in counted.where(f"bad = 0 and n >= {least}").orderBy(F.desc("n"), "phrase").limit(most).collect())
+    return tuple(r["phrase"] for r in counted.where(f"bad = 0 and n >= {least}").orderBy(F.desc("n"), "phrase").collect())
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> dict[str, float]:
