@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,8 +40,19 @@ def timeouts(stream: DataFrame, dead_after: int = 3) -> DataFrame:
 
 
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """All that a stream gives now, through a memory table."""
-    spark, name = stream.sparkSession, f"drained_{abs(hash(tempfile.mktemp()))}"
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", tempfile.mkdtemp(prefix="stream-")).start()
+    """All that a stream gives now, as a table below ``spark.checkpoint.dir``, where its checkpoint and state stand too."""
+    spark = stream.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='trustlake-')}"
+    home, paths = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}", {}
+
+    def save(batch: DataFrame, number: int) -> None:
+        # a batch that is tried again replaces its own folder
+        paths[number] = f"{home}/out/{number}"
+        batch.write.mode("overwrite").parquet(paths[number])
+
+    query = stream.writeStream.foreachBatch(save).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{home}/checkpoint").start()
     query.awaitTermination()
-    return spark.table(name)
+    if not paths:
+        return spark.createDataFrame([], stream.schema)
+    # in complete mode each batch has the whole result
+    return spark.read.schema(stream.schema).parquet(*([paths[max(paths)]] if mode == "complete" else paths.values()))
