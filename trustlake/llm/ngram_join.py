@@ -1,8 +1,8 @@
-"""Similar texts by the Jaccard similarity of their word shingles, through an LSH forest of MinHash signatures.
+"""Similar texts by the Jaccard similarity of their word shingles, through banded LSH of MinHash signatures.
 
-A text's signature is cut into trees of hashes; two texts meet in a tree if they share a prefix of its hashes. The
-prefix starts at its full depth and is shortened until pairs at the threshold meet with the wanted probability. Every
-pair that meets is then verified on the whole shingle sets, in blocks of bounded size.
+A text's signature is cut into bands (trees) of hashes; two texts meet in a band if all its hashes agree. The bands'
+depth is the greatest at which pairs at the threshold meet with the wanted probability, a constant of the threshold;
+this stands in for an LSH forest, whose prefixes would be sorted and shortened as the data demands. Every pair that meets is then verified on the whole shingle sets, in blocks of bounded size.
 """
 
 from __future__ import annotations
