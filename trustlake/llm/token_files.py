@@ -8,9 +8,8 @@ each other in ascending doc_id order, so a shard's base in the whole stream is t
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,63 +18,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trustlake.llm.chunk_cache import ChunkCache, flattened
-from trustlake.llm.common import shared_dir, slices, text_or_empty
+from trustlake.llm.chunk_cache import ChunkCache
+from trustlake.llm.common import joined_bytes, shared_dir, slices, text_or_empty
+from trustlake.llm.word_chunks import chunk_cache
 
 NULL_ID = np.iinfo(np.int64).min
 
 
-#: A stop or comma behind a Latin letter and before white space is a pre-token of its own.
-_STOP = re.compile(r"(?<=[A-Za-z])[.,](?=[ \n]|$)")
-#: Stands between chunks that are encoded in one call; chunks that hold it, or may hold a special token, go alone.
-SEPARATOR = "~"
+_CACHES: dict[str, tuple[ChunkCache, Callable]] = {}
 
 
-def _chunked(texts: list[str]) -> list[list[str]]:
-    """Texts cut where a line feed or a space ends a pre-token and is dropped, so that each chunk is encoded alone.
-
-    Texts in ASCII are put in lower case, as the tokenizer does it, unless that could make a special token.
-    """
-    out = []
-    for t in texts:
-        if t.isascii() and "<|" not in t:
-            t = t.lower()
-        out.append([c for c in _STOP.sub(_apart, t).replace("\n", " ").split(" ") if c])
-    return out
-
-
-def _apart(m: re.Match) -> str:
-    return " " + m[0]
-
-
-_CACHES: dict[str, ChunkCache] = {}
-
-
-def _cache(tokenizer_path: str) -> ChunkCache:
+def _cache(tokenizer_path: str) -> tuple[ChunkCache, Callable]:
     if tokenizer_path not in _CACHES:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        mark = tok.encode(SEPARATOR, add_special_tokens=False).ids
-
-        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            alone = [i for i, c in enumerate(new) if SEPARATOR in c or "<|" in c] if len(mark) == 1 else list(range(len(new)))
-            if len(alone) == len(new):
-                return flattened([e.ids for e in tok.encode_batch_fast(new, add_special_tokens=False)])
-            skip = set(alone)
-            text = f" {SEPARATOR} ".join("" if i in skip else c for i, c in enumerate(new))
-            ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            cut = np.flatnonzero(ids == mark[0])
-            sizes = np.diff(cut, prepend=-1, append=len(ids)) - 1
-            ids = np.delete(ids, cut)
-            if alone:
-                parts = np.split(ids, np.cumsum(sizes)[:-1])
-                for i in alone:
-                    parts[i] = np.array(tok.encode(new[i], add_special_tokens=False).ids, np.uint32)
-                ids, sizes = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
-            return ids, sizes
-
-        _CACHES[tokenizer_path] = ChunkCache(encode)
+        _CACHES[tokenizer_path] = chunk_cache(tokenizer_path)
     return _CACHES[tokenizer_path]
 
 
@@ -88,7 +43,8 @@ def _put(fs: pafs.FileSystem, path: str, parts: list[np.ndarray]) -> None:
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, n_vocab: int, shards: int | None = None) -> DataFrame:
     """Encodes ``docs`` (doc_id, text) and writes the shards to ``path``, a URI that all executors reach.
 
-    The tokenizer must drop spaces and line feeds (a word tokenizer): documents are then encoded chunk by chunk.
+    Texts are encoded chunk by chunk where the tokenizer file says that its pre-tokens follow from the bytes' classes
+    (``word_chunks``), and whole for tokenizers of other kinds.
     A null text counts as empty and still gets the end id; null doc_ids come first; repeated rows stay, ordered by
     text. An empty table gives no shard. Only doc_id and text are read, so other columns may have any name. A shard
     is written under a name of the attempt and then renamed, so a repeated task leaves one whole shard. Returns the
@@ -102,7 +58,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
         ctx = TaskContext.get()
         shard, attempt = ctx.partitionId(), ctx.taskAttemptId()
         fs, root = pafs.FileSystem.from_uri(path)
-        cache, ids_of, lengths = _cache(tokenizer_path), [], [np.zeros(1, np.int64)]
+        (cache, cut), ids_of, lengths = _cache(tokenizer_path), [], [np.zeros(1, np.int64)]
         temp, total = f"{root}/.{shard:05d}-{attempt}", 0
         out = None
         for batch in batches:
@@ -110,7 +66,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
                 if out is None:
                     fs.create_dir(root, recursive=True)
                     out = fs.open_output_stream(temp + ".bin")
-                ids, at = cache.ids(_chunked(part.column("text").to_pylist()))
+                ids, at, _ = cache.ids(*cut(*joined_bytes(part.column("text"))))
                 ids = np.insert(ids, at[1:], end_id).astype(f"<u{bits // 8}")
                 out.write(ids.tobytes())
                 total += len(ids)
@@ -127,7 +83,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_docs": pa.array([len(sizes) - 1], pa.int64()), "n_tokens": pa.array([total], pa.int64()), "bits": pa.array([bits], pa.int32())})
 
     fs, root = pafs.FileSystem.from_uri(path)
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).repartitionByRange(shards, "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(encode, "shard int, n_docs long, n_tokens long, bits int").write.parquet(f"{path}/manifest")
     return spark.read.schema("shard int, n_docs long, n_tokens long, bits int").parquet(f"{path}/manifest")
 
@@ -144,14 +100,19 @@ def read_token_files(manifest: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 name, n = f"{root}/{row['shard']:05d}", row["n_docs"]
+                kind = np.dtype(f"<u{row['bits'] // 8}")
                 if isinstance(fs, pafs.LocalFileSystem):
                     load = lambda ext, kind: np.memmap(name + ext, kind, "r")
+                    flat = load(".bin", kind)
+                    span = lambda a, b: flat[a:b]
                 else:
                     load = lambda ext, kind: np.frombuffer(fs.open_input_file(name + ext).readall(), kind)
-                flat, off, ids = load(".bin", f"<u{row['bits'] // 8}"), load(".off", "<i8"), load(".doc", "<i8")
+                    stored = fs.open_input_file(name + ".bin")
+                    span = lambda a, b: np.frombuffer(stored.read_at((b - a) * kind.itemsize, a * kind.itemsize), kind)
+                off, ids = load(".off", "<i8"), load(".doc", "<i8")
                 for k in range(0, n, 4096):
                     ends = off[k : min(k + 4096, n) + 1]
-                    crc = [zlib.crc32(flat[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                    crc = [zlib.crc32(span(a, b).astype("<u4").tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                     doc = np.asarray(ids[k : k + len(crc)])
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": pa.array(doc, pa.int64(), mask=doc == NULL_ID),
