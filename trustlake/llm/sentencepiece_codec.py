@@ -1,8 +1,8 @@
 """SentencePiece models run by the tokenizers library.
 
 The model file is a protocol buffer; it is read here field by field and rebuilt as normaliser, metaspace marker,
-scored pieces (unigram) or merges (BPE) and byte fallback. Every new chunk is also encoded by the sentencepiece
-library, and a document whose chunks all agree counts as in parity.
+scored pieces (unigram) or merges (BPE) and byte fallback. What is encoded is also encoded by the sentencepiece library:
+each new chunk where a model's chunks can be encoded alone, each whole text otherwise. A document is in parity if all agree.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustlake.llm.chunk_cache import ChunkCache, flattened
-from trustlake.llm.common import map_arrow, text_or_empty
+from trustlake.llm.chunk_cache import ChunkCache, chunk_array, flattened
+from trustlake.llm.common import joined_bytes, map_arrow, text_or_empty
 
 MARK = "▁"
 #: Kinds of pieces in the model file: normal, unknown, control, user defined, byte.
@@ -99,7 +99,7 @@ def rebuilt(model: dict):
 
 
 class Codec:
-    """Encodes and decodes texts as the model at ``path`` does."""
+    """Encodes and decodes texts as a model file's bytes say."""
 
     def __init__(self, data: bytes):
         import sentencepiece
@@ -109,9 +109,9 @@ class Codec:
         self.tok = rebuilt(m)
         self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.charsmap = normalizers.Precompiled(m["charsmap"]) if m["charsmap"] else None
-        # Chunks can be encoded alone if no piece holds the marker behind another character.
-        self.alone = m["escape"] and not any(MARK in p.lstrip(MARK) for p, _, kind in m["pieces"] if kind in (NORMAL, USER))
-        self.bad: set[str] = set()
+        # Chunks can be encoded alone if only spaces change before encoding and no piece holds the marker behind another character.
+        plain = m["escape"] and m["dummy_prefix"] and not m["charsmap"] and not m["squeeze"]
+        self.alone = plain and not any(MARK in p.lstrip(MARK) for p, _, kind in m["pieces"] if kind in (NORMAL, USER))
         self.cache = ChunkCache(self._encode)
 
     def normalise(self, text: str) -> str:
@@ -123,43 +123,42 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK) if self.model["escape"] else text
 
-    def chunks(self, text: str) -> list[str]:
-        """The normalised text cut before each run of markers."""
-        text = self.normalise(text)
-        if not self.alone or not text:
-            return [text] if text else []
-        out, held = [], ""
-        parts = text.split(MARK)
-        if parts[0]:
-            out.append(parts[0])
-        for p in parts[1:]:
-            held += MARK
-            if p:
-                out.append(held + p)
-                held = ""
-        return out + [held] * bool(held)
-
-    def _encode(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        mine = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        if not self.model["charsmap"] and not self.model["squeeze"] and self.model["dummy_prefix"]:
-            if len(self.bad) > 100_000:
-                self.bad.clear()
-            # The library puts a marker before each input, so one is taken off; a chunk without one gets parity by its text.
-            marked = [(c, i) for c, i in zip(new, mine) if c[0] == MARK]
-            theirs = self.own.encode([c[1:].replace(MARK, " ") for c, _ in marked], num_threads=1)
-            self.bad.update(c for (c, i), j in zip(marked, theirs) if i != j and len(c) > 1)
-        return flattened(mine)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
-        cut = [self.chunks(t) for t in texts]
-        ids, at = self.cache.ids(cut)
-        same = [not any(c in self.bad for c in t) for t in cut] if self.bad else [True] * len(texts)
-        return ids, at, same
+    def _encode(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of new chunks, and whether the library gives the same; a chunk begins with a space, which the library puts there itself."""
+        chunks = [c.decode() for c in new]
+        mine = [e.ids for e in self.tok.encode_batch_fast([c.replace(" ", MARK) for c in chunks], add_special_tokens=False)]
+        theirs = self.own.encode([c[1:] for c in chunks], num_threads=1)
+        lone = [self.own.piece_to_id(MARK)]
+        same = np.fromiter((i == (j if c != " " else lone) for c, i, j in zip(chunks, mine, theirs)), bool, len(new))
+        return *flattened(mine), same
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all texts, the texts' offsets in them, whether the sentencepiece library gives the same ids for a text)."""
+        if self.alone:
+            flat, offsets = joined_bytes(texts)
+            return self.cache.ids(*marked_chunks(flat, offsets))
+        whole = texts.to_pylist()
+        mine = [e.ids for e in self.tok.encode_batch_fast([self.normalise(t) for t in whole], add_special_tokens=False)]
+        same = [i == j for i, j in zip(mine, self.own.encode(whole, num_threads=1))]
+        ids, sizes = flattened(mine)
+        return ids, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.array(same, bool)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
 
 
+def marked_chunks(flat: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(chunks, number of chunks of each text): each text that is not empty gets a space in front and is cut before each run of spaces."""
+    filled = np.diff(offsets) > 0
+    spaced = np.insert(flat, offsets[:-1][filled], 32)
+    ends = np.concatenate([[0], np.cumsum(np.diff(offsets) + filled)])
+    first = spaced == 32
+    first[1:] &= spaced[:-1] != 32
+    first[ends[:-1][filled]] = True
+    at = np.flatnonzero(first)
+    return chunk_array(spaced, at), np.diff(np.searchsorted(at, ends))
+
+
 _CODECS: dict[str, Codec] = {}
 
 
@@ -175,7 +174,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = True) ->
 
     ``ids_crc32`` is over the ids as little-endian unsigned 32-bit integers. ``decoded_ok`` tells whether decoding the
     ids gives the text again, as far as the model's normaliser keeps it; ``parity`` whether the sentencepiece library
-    gives the same ids for every chunk of it. A null text counts as empty: no ids, both true. Repeated rows stay,
+    gives the same ids for every chunk of it, or for the whole text. A null text counts as empty: no ids, both true. Repeated rows stay,
     a null doc_id is kept, an empty table gives no rows, and columns other than doc_id and text are not read. The
     library's own threads encode a batch; a text that repeats a chunk looks it up.
     """
@@ -183,7 +182,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = True) ->
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         texts = part.column("text").to_pylist()
-        ids, at, same = c.encode(texts)
+        ids, at, same = c.encode(part.column("text"))
         own = [ids[a:b] for a, b in zip(at[:-1], at[1:])]
         back = c.decode([x.tolist() for x in own])
         lead = 1 if c.model["dummy_prefix"] else 0
@@ -193,7 +192,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = True) ->
             "n_tokens": pa.array(np.diff(at), pa.int64()),
             "ids_crc32": pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64()),
             "decoded_ok": pa.array([a == b for a, b in zip(back, want)], pa.bool_()),
-            "parity": pa.array(same, pa.bool_()),
+            "parity": pa.array(same),
         }
         if keep_ids:
             out["ids"] = pa.array([x.astype(np.int32) for x in own], pa.list_(pa.int32()))
