@@ -172,24 +172,39 @@ def edits(a, b):
     return row[-1]
 
 
-def test_line_dedup(spark, docs):
+def lines_gone(rows):
+    """(place in rows, position) of the lines that go, by comparing all with all."""
+    places = [(n, p, x, (i is None, i or 0, p)) for n, (i, t, _) in enumerate(rows) if t is not None for p, x in enumerate(t.split("\n")) if WORD.search(x)]
+    alike = lambda x, y: x == y or len(x) >= 16 and len(y) >= 16 and edits(x, y) <= 1
+    return {(n, p) for n, p, x, at in places if any(before < at and alike(x, y) for _, _, y, before in places)}
+
+
+def test_line_dedup(spark, docs, monkeypatch):
     rng = random.Random(7)
-    base = ["".join(rng.choices("abc ", k=rng.choice([5, 16, 17, 24]))) for _ in range(12)]
+    monkeypatch.setattr(line_dedup, "FINE", 2)
+    base = ["".join(rng.choices("abc ", k=rng.choice([5, 16, 17, 24, 70]))) for _ in range(12)]
     lines = []
     for _ in range(90):
         x = rng.choice(base)
         p, kind = rng.randrange(len(x)), rng.randrange(5)
         lines.append([x, x[:p] + x[p + 1 :], x[:p] + "é" + x[p:], x[:p] + "z" + x[p + 1 :], x[:p] + "zq" + x[p + 1 :]][kind])
-    rows = [(i, "\n".join(lines[3 * i : 3 * i + 3]), "s") for i in range(30)] + [(31, None, "s"), (32, "", "s")]
-    placed = [(i, p, x) for i, t, _ in rows if t is not None for p, x in enumerate(t.split("\n"))]
-    gone = {(i, p) for i, p, x in placed if len(x) >= 16 and any((j, q) < (i, p) and len(y) >= 16 and edits(x, y) <= 1 for j, q, y in placed)}
+    rows = [(i, "\n".join(lines[3 * i : 3 * i + 3]), "s") for i in range(30)] + [(31, None, "s"), (32, "", "s"), (33, " \n \n" + lines[0], "s"), (None, lines[4], "s")]
+    gone = lines_gone(rows)
     got = {(r["doc_id"], p) for r in line_dedup.removed_lines(awkward(docs, rows)).collect() for p in r["removed"]}
-    assert got == gone and len(gone) > 20
-    kept = {r["doc_id"]: r["text"] for r in line_dedup.without_duplicate_lines(docs(rows)).collect()}
-    for i, t, _ in rows:
+    assert got == {(rows[n][0], p) for n, p in gone} and len(gone) > 20
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.without_duplicate_lines(awkward(docs, rows).withColumn("removed", F.lit(0))).collect()}
+    for n, (i, t, _) in enumerate(rows):
         if t is not None:
-            left = [x for p, x in enumerate(t.split("\n")) if (i, p) not in gone]
+            left = [x for p, x in enumerate(t.split("\n")) if (n, p) not in gone]
             assert kept.get(i) == ("\n".join(left) if left else None)
+    assert line_dedup.removed_lines(docs([])).count() == 0 and line_dedup.without_duplicate_lines(docs([])).count() == 0
+
+
+def test_line_dedup_long_lines(docs):
+    rng = random.Random(3)
+    long = "".join(rng.choices("abcdefgh ", k=1_000_000))
+    rows = [(1, long, "s"), (2, long[:400_001] + "X" + long[400_002:], "s"), (3, long[:999_999], "s"), (4, long[:5] + "YY" + long[7:], "s"), (5, "Z" + long, "s")]
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.removed_lines(docs(rows)).collect()} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
 
 
 def test_line_dedup_rows_of_one_doc_id(spark, docs):
@@ -206,7 +221,7 @@ def test_line_dedup_exact_repeats_of_short_lines(spark, docs):
     import corpus_pipeline
 
     rows = [(1, "Home\n\nNews", "s"), (2, "Home\n\n \nNew", "s"), (3, "Home", "s"), (4, "Homes\nHome\n", "s"), (None, "News\nHome\nx", "s")]
-    got = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs(rows), min_exact=1).collect()}
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs(rows)).collect()}
     assert got == {1: [], 2: [0], 3: [0], 4: [1], None: [0, 1]}
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs(rows), "").collect()}
     assert kept == {1: rows[0][1], 2: "\n \nNew", 4: "Homes\n", None: "x"}

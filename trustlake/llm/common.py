@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's URI below ``spark.checkpoint.dir``; where that is unset (tests), below a temporary folder."""
+    """A new folder's URI below ``spark.checkpoint.dir``; where that is unset, below a temporary folder in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='trustlake-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -44,6 +46,12 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def row_hash(text: str | Column = "text") -> Column:
+    """MD5 of a text, null counting as empty: tells rows of one doc_id apart."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch cut where ``column`` has gathered ``most`` bytes; a longer value stands alone."""
     if not batch.num_rows:

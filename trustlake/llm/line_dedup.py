@@ -1,133 +1,147 @@
 """Near-duplicate lines within one edit, by a deletion-neighbourhood join in DataFrame operations only.
 
 A line is cut into four segments. Two lines within one edit agree outside one segment, so lines that share the hash of
-what is outside it with no other line need no look. The others emit their deletion variants of that segment as hashed
-keys; lines with an equal variant are joined, their edit distance is verified, and the earliest is kept. The bound is
-one edit, as in the SQL of op1: with each further edit the variants grow by a factor of a segment's length.
+what is outside it with no other line need no look; longer segments are cut again in the same way until they are short,
+so a line costs time in proportion to its length. What is left emits its deletion variants of those short segments as
+hashed keys; lines with an equal variant are joined, their edit distance is verified, and the earliest is kept. The bound
+is one edit, as in the SQL of op1: with each further edit the variants grow by a factor of a segment's length.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trustlake.llm.common import written
+from trustlake.llm.common import row_hash, written
 
-SEGMENTS = 4
+#: Segments of a line, parts of a segment that is cut again, and the length up to which a segment emits variants.
+SEGMENTS, PARTS, FINE = 4, 8, 32
+LINE = ["id", "id2"]
 
 
-def cut(i: int, base: str) -> str:
-    return f"cast(floor({base} * {i} / {SEGMENTS}) as int)"
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, salt, pos, line, id, id2 (two hashes of 64 bits that tell a line), n of the lines that are not blank; a null text has none."""
+    parts = F.posexplode(F.split(F.col("text").cast("string"), "\n"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("salt"), parts.alias("pos", "line"))
+    told = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return told.select("*", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"), F.length("line").alias("n"))
 
 
-def salt() -> Column:
-    """Tells rows of one doc_id apart by their text."""
-    return F.xxhash64(F.col("text").cast("string")).alias("salt")
+def place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("pos"))
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, salt, pos, line; a line ends at a line feed, a null text has none."""
-    parts = F.posexplode(F.split(F.col("text").cast("string"), "\n"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), salt(), parts.alias("pos", "line"))
+def outside(base: str, low: str, high: str, skip: str) -> str:
+    """SQL for the hash of a line without the segment [low, high) of its base; ``skip`` is 1 for the longer line of a pair, whose base is one less than its length."""
+    return f"xxhash64({base}, {low}, {high}, substring(line, 1, {low}), substring(line, {high} + 1 + {skip}))"
+
+
+def first_keys() -> list[tuple[str, str, str, bool]]:
+    """(key, low, high, longer) as SQL, for each segment of a line as the base and as the longer line of a pair."""
+    out = []
+    for longer in (False, True):
+        base = f"(n - {int(longer)})"
+        ends = [f"cast(floor({base} * {i} / {SEGMENTS}) as int)" for i in range(SEGMENTS + 1)]
+        out += [(outside(base, a, b, str(int(longer))), a, b, longer) for a, b in zip(ends, ends[1:])]
+    return out
 
 
-def outside(i: int, longer: bool) -> Column:
-    """Hash of a line without segment ``i`` of its base, which for the longer line of a pair is one less than its length."""
-    base, skip = ("(n - 1)", 1) if longer else ("n", 0)
-    head = f"substring(line, 1, {cut(i, base)})"
-    tail = f"substring(line, {cut(i + 1, base)} + {1 + skip})"
-    return F.expr(f"xxhash64({base}, {i}, {head}, {tail})")
+def with_partner(keyed: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key another line has too, at least one of them as the base of a pair.
+
+    Hot keys collapse before the shuffle. What is shared is written, so that a join of it is planned by its size.
+    """
+    by = keyed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min("longer").alias("longer"))
+    return keyed.join(written(by.where("least <> most and not longer").select("key"), "shared-keys"), "key").drop("key")
 
 
 def duplicate_lines(docs: DataFrame, min_chars: int = 16) -> tuple[DataFrame, DataFrame]:
-    """(first, near): ``first`` has for each different line (by id) where it stands first, ``near`` the ids of lines whose first place goes too."""
-    names = [(i, longer) for longer in (False, True) for i in range(SEGMENTS)]
-    long_lines = lines_of(docs).withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("pos"))
-    keyed = long_lines.select(F.xxhash64("line").alias("id"), "n", place.alias("place"), *[outside(*x).alias(f"k{j}") for j, x in enumerate(names)])
+    """(first, near): ``first`` has for each different line its number and where it stands first, ``near`` the lines whose first place goes too."""
+    lines, keys = lines_of(docs), first_keys()
+    keyed = lines.select(*LINE, "n", place().alias("place"), *[F.when(F.col("n") >= min_chars, F.expr(k[0])).alias(f"k{j}") for j, k in enumerate(keys)])
     # Copies of a line have equal keys; they collapse before the shuffle.
-    first = written(keyed.groupBy("id", "n").agg(F.min("place").alias("place"), *[F.min(f"k{j}").alias(f"k{j}") for j in range(len(names))]), "lines")
-    keys = F.explode(F.array(*[F.struct(F.col(f"k{j}").alias("key"), F.lit(i).alias("i"), F.lit(longer).alias("longer")) for j, (i, longer) in enumerate(names)]))
-    shared = first.select("id", "n", keys.alias("k")).select("id", "n", "k.*")
-    same = Window.partitionBy("key")
-    asked = shared.withColumn("low", F.min("id").over(same)).withColumn("high", F.max("id").over(same)).where("low <> high").groupBy("id", "n").agg(F.collect_set(F.struct("i", "longer")).alias("asked"))
-    asked = asked.join(first.select("id", "n", "place"), ["id", "n"])
-    own = long_lines.select(F.xxhash64("line").alias("id"), "n", "line", place.alias("at"))
-    texts = written(own.join(asked, ["id", "n"]).where("at <=> place").dropDuplicates(["id", "n"]).select("id", "n", "place", "line", "asked"), "line-texts")
-    variant = texts.select("id", "n", "place", "line", F.explode("asked").alias("a")).select("id", "n", "place", "line", "a.i", "a.longer")
-    base = F.when(F.col("longer"), F.col("n") - 1).otherwise(F.col("n"))
-    variant = variant.withColumn("b", base)
-    spots = F.expr(f"sequence(cast(floor(b * i / {SEGMENTS}) as int), cast(floor(b * (i + 1) / {SEGMENTS}) as int) - if(longer, 0, 1))")
-    at = variant.where(f"longer or floor(b * (i + 1) / {SEGMENTS}) > floor(b * i / {SEGMENTS})").select("id", "place", "line", "longer", F.explode(spots).alias("p"))
-    without = "concat(substring(line, 1, p), substring(line, p + 2))"
+    first = written(keyed.groupBy(*LINE).agg(F.min("place").alias("place"), F.min("n").alias("n"), F.count("*").alias("copies"), *[F.min(f"k{j}").alias(f"k{j}") for j in range(len(keys))]), "lines")
+    each = F.explode(F.array(*[F.struct(F.col(f"k{j}").alias("key"), F.expr(low).alias("low"), F.expr(high).alias("high"), F.lit(longer).alias("longer")) for j, (_, low, high, longer) in enumerate(keys)]))
+    asked = with_partner(first.where(F.col("n") >= min_chars).select(*LINE, each.alias("k")).select(*LINE, "k.*"))
+    asked = written(asked, "segments")
+    wanted = asked.select(*LINE).distinct().join(first.select(*LINE, "n", "place"), LINE)
+    wanted = written(wanted, "wanted-lines")
+    own = lines.where(F.col("n") >= min_chars).select(*LINE, "line", place().alias("at"))
+    texts = written(own.join(wanted, LINE).where("at <=> place").dropDuplicates(LINE).select(*LINE, "n", "place", "line"), "line-texts")
+    longest = texts.agg(F.max("n")).first()[0] or 0
+    width = longest // SEGMENTS + 1
+    while width > FINE:
+        cut = asked.where(f"high - low > {FINE}").join(texts, LINE).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        ends = [f"cast(low + floor((high - low) * (j + {k}) / {PARTS}) as int)" for k in (0, 1)]
+        cut = cut.select(*LINE, "longer", F.expr("if(longer, n - 1, n)").alias("base"), F.expr(ends[0]).alias("low"), F.expr(ends[1]).alias("high"), "line")
+        cut = written(cut.select(*LINE, F.expr(outside("base", "low", "high", "if(longer, 1, 0)")).alias("key"), "low", "high", "longer"), "finer-keys")
+        asked = written(asked.where(f"high - low <= {FINE}").unionByName(with_partner(cut)), "segments")
+        width = width // PARTS + 1
+    spots = F.explode(F.expr("sequence(low, high - if(longer, 0, 1))"))
+    at = asked.where("longer or high > low").join(texts, LINE).select(*LINE, "place", "line", "n", "longer", spots.alias("p"))
+    less = "concat(substring({0}, 1, p), substring({0}, p + 2))"
     # One letter changed: both lines lose the letter at one place. One letter more: the longer line loses it and equals the other.
-    changed = at.where("not longer").select("id", "place", F.expr(f"xxhash64('changed', p, {without})").alias("key"), F.lit(0).alias("role"))
-    longer = at.where("longer").select("id", "place", F.expr(f"xxhash64('whole', {without})").alias("key"), F.lit(1).alias("role"))
-    whole = texts.select("id", "place", F.expr("xxhash64('whole', line)").alias("key"), F.lit(2).alias("role"))
-    variants = changed.union(longer).union(whole).dropDuplicates(["key", "id", "role"])
-    # Different lines with one variant number at most a few alphabets, so a window over a key holds few rows.
-    found = variants.withColumn("best", F.min(F.struct("place", "id", "role")).over(same))
-    whole_best = F.min(F.when(F.col("role") == 2, F.struct("place", "id"))).over(same)
-    longer_best = F.min(F.when(F.col("role") == 1, F.struct("place", "id"))).over(same)
-    partner = F.when(F.col("role") == 0, F.struct("best.place", "best.id")).when(F.col("role") == 1, F.col("whole_best")).otherwise(F.col("longer_best"))
-    found = found.withColumn("whole_best", whole_best).withColumn("longer_best", longer_best).withColumn("partner", partner)
-    pairs = found.where("partner.place < place").select("id", F.col("partner.id").alias("other")).distinct()
-    left, right = texts.select("id", F.col("line").alias("a")), texts.select(F.col("id").alias("other"), F.col("line").alias("b"))
-    near = pairs.join(left, "id").join(right, "other").where(F.levenshtein("a", "b", 1) >= 0).select("id").distinct()
-    return first.select("id", "n", "place"), written(near, "near-lines")
-
-
-def lost_lines(docs: DataFrame, min_chars: int = 16, min_exact: int | None = None) -> DataFrame:
-    """``removed_lines`` once for each different row: doc_id, salt (hash of the text) and the counts; rows without lines are absent."""
+    changed = at.where("not longer").select(*LINE, "place", "p", F.expr(f"xxhash64('changed', p, {less.format('line')})").alias("key"), F.lit(0).alias("role"))
+    longer = at.where("longer").select(*LINE, "place", "p", F.expr(f"xxhash64('whole', {less.format('line')})").alias("key"), F.lit(1).alias("role"))
+    whole = texts.select(*LINE, "place", F.lit(0).alias("p"), F.expr("xxhash64('whole', line)").alias("key"), F.lit(2).alias("role"))
+    variants = written(changed.union(longer).union(whole), "variants")
+    best = [F.min(F.when(F.col("role") == r, F.struct("place", *LINE, "p"))).alias(f"best{r}") for r in range(3)]
+    shared = written(variants.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), *best).where("least <> most").drop("least", "most"), "shared-variants")
+    found = variants.join(shared, "key").withColumn("partner", F.expr("case role when 0 then best0 when 1 then best2 else best1 end"))
+    spot = F.when(F.col("role") == 2, F.col("partner.p")).otherwise(F.col("p"))
+    pairs = found.where("partner.place < place").select(*LINE, F.col("partner.id").alias("other"), F.col("partner.id2").alias("other2"), "role", spot.alias("p")).distinct()
+    left, right = texts.select(*LINE, F.col("line").alias("a")), texts.select(F.col("id").alias("other"), F.col("id2").alias("other2"), F.col("line").alias("b"))
+    # The distance is one if the lines are equal without the letter at p, which is verified in time in proportion to their length.
+    equal = F.expr(f"case role when 0 then {less.format('a')} = {less.format('b')} when 1 then {less.format('a')} = b else a = {less.format('b')} end")
+    near = pairs.join(left, LINE).join(right, ["other", "other2"]).where(equal).select(*LINE).distinct()
+    return first.select(*LINE, "place", "copies"), written(near, "near-lines")
+
+
+def lost_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
+    """doc_id, salt (hash of the text) and removed (positions) of the different rows that lose lines."""
     first, near = duplicate_lines(docs, min_chars)
-    n = F.length("line")
-    least = min_chars if min_exact is None else min(min_chars, min_exact)
-    compared = (n >= min_chars) | (n >= least) & F.col("line").rlike(r"\S")
-    rows = lines_of(docs).select("doc_id", "salt", "pos", n.alias("n"), F.xxhash64("line").alias("id"), compared.alias("compared"))
-    at = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("pos"))
-    goes = first.join(near.withColumn("near", F.lit(True)), "id", "left").select("id", "n", "place", F.coalesce("near", F.lit(False)).alias("near"))
-    if least < min_chars:
-        goes = goes.union(rows.where("compared").where(F.col("n") < min_chars).groupBy("id", "n").agg(F.min(at).alias("place"), F.lit(False).alias("near")))
-    marked = rows.where("compared").join(goes, ["id", "n"]).select("doc_id", "salt", "pos", "id", "n", (F.col("near") | (F.col("place") < at)).alias("gone"))
-    short = rows.where("not compared").select("doc_id", "salt", "pos", "id", "n", F.lit(False).alias("gone"))
-    # Copies of a row are grouped together; each has one line at position 0.
-    copies = F.count(F.when(F.col("pos") == 0, 1))
-    each = lambda x: (x / copies).cast("long")
-    return marked.union(short).groupBy("doc_id", "salt").agg(
-        each(F.count("*")).alias("n_lines"),
-        each(F.sum(F.col("gone").cast("long"))).alias("n_removed"),
-        F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("pos")))).alias("removed"),
-        each(F.sum(F.when(F.col("gone"), F.col("n")).otherwise(0))).alias("chars_removed"),
-        F.xxhash64(F.transform(F.sort_array(F.collect_set(F.when(~F.col("gone"), F.struct("pos", "id")))), lambda x: x["id"])).alias("kept"),
-    )
-
-
-def removed_lines(docs: DataFrame, min_chars: int = 16, min_exact: int | None = None) -> DataFrame:
+    goes = first.join(near.withColumn("near", F.lit(True)), LINE, "left").where("near or copies > 1")
+    goes = written(goes.select(*LINE, "place", F.coalesce("near", F.lit(False)).alias("near")), "going-lines")
+    gone = lines_of(docs).select("doc_id", "salt", "pos", *LINE).join(goes, LINE).where(F.col("near") | (F.col("place") < place()))
+    return gone.groupBy("doc_id", "salt").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
+
+
+def without(items: str | Column, places: str) -> Column:
+    """An array without the items at ``places``, in time that follows the lengths."""
+    rest = F.array_except(F.sequence(F.lit(0), F.size(items) - 1), places)
+    return F.transform(rest, lambda p: F.get(items, p))
+
+
+def removed_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (positions), chars_removed, kept (hash of the kept lines' hashes in order) of every row.
 
-    Lines of at least ``min_chars`` characters take part, shorter ones from ``min_exact`` characters that are not blank
-    as exact repeats only, and others always stay (so do all shorter ones where it is None). A line goes if a line within one
-    edit (a letter more, less or other) stands earlier, by doc_id (null last) and then position; this is judged on the
-    input, not on what is left. Lines at one place in rows of equal doc_id are not earlier than each other. Rows are
-    told apart by doc_id and a hash of the text, so rows of equal or null doc_id lose their own lines only. A null text
-    has no lines and an empty one one. Empty tables give no rows; only doc_id and text are read.
+    A line that is not blank goes if the same line stands earlier, by doc_id (null last) and then position; a line of at
+    least ``min_chars`` characters also if another such line within one edit (a letter more, less or other) does: in
+    shorter ones a letter makes another word. This is judged on the input, not on what is left. Lines at one place in
+    rows of equal doc_id are not earlier than each other. Rows are told apart by doc_id and a hash of the text, so rows
+    of equal or null doc_id lose their own lines only, and equal rows lose the same. A null text has no lines and an
+    empty one one. Empty tables give no rows; only doc_id and text are read.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), salt())
-    zero = F.lit(0).cast("long")
-    d = lost_lines(docs, min_chars, min_exact).alias("d")
+    parts = F.split(F.col("text").cast("string"), "\n")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("salt"), F.transform(parts, lambda x: F.length(x)).alias("sizes"), F.transform(parts, lambda x: F.xxhash64(x)).alias("hashes"))
+    d = lost_lines(docs, min_chars).alias("d")
     out = rows.alias("i").join(d, F.col("i.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("i.salt") == F.col("d.salt")), "left")
-    return out.select("i.doc_id", F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), F.coalesce("chars_removed", zero).alias("chars_removed"), "kept")
+    out = out.select("i.doc_id", F.coalesce("sizes", F.array().cast("array<int>")).alias("sizes"), "hashes", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    lost = F.aggregate("removed", F.lit(0).cast("long"), lambda s, p: s + F.get("sizes", p).cast("long"))
+    kept = F.xxhash64(without("hashes", "removed"))
+    return out.select("doc_id", F.size("sizes").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed", lost.alias("chars_removed"), kept.alias("kept"))
 
 
-def without_duplicate_lines(docs: DataFrame, min_chars: int = 16, size_column: str = "n_chars", min_exact: int | None = None) -> DataFrame:
+def without_duplicate_lines(docs: DataFrame, min_chars: int = 16, size_column: str = "n_chars") -> DataFrame:
     """``docs`` without the lines that ``removed_lines`` names; documents that lose every line go.
 
-    The columns stay as they are; ``size_column``, where there is one, is counted anew for changed texts.
+    The columns stay as they are; ``size_column``, where there is one, is counted anew for changed texts. Equal rows
+    lose the same lines, so a row never loses what it has itself kept in another.
     """
-    gone = lost_lines(docs, min_chars, min_exact).where("n_removed > 0").select(F.col("doc_id").alias("gone_id"), F.col("salt").alias("gone_salt"), "removed", F.col("n_lines").alias("all_lines"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i))
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_salt"]), "left")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    left = F.col("removed").isNull() | F.col("text").isNull() | (F.size(kept) > 0)
-    changed = [text.alias("text") if c == "text" else F.when(F.col("removed").isNull(), F.col(c)).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c) if c == size_column else docs[c] for c in docs.columns]
-    return both.where(left).select(*changed)
+    gone = lost_lines(docs, min_chars).select(F.col("doc_id").alias("gone_id"), F.col("salt").alias("gone_salt"), F.col("removed").alias("removed lines"))
+    kept = without(F.split("text", "\n"), "removed lines")
+    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (row_hash(docs["text"]) == gone["gone_salt"]), "left")
+    same = F.col("removed lines").isNull() | F.col("text").isNull()
+    text = F.when(same, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    changed = [text.alias("text") if c == "text" else F.when(same, F.col(c)).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c) if c == size_column else docs[c] for c in docs.columns]
+    return both.where(same | (F.size("removed lines") < F.size(F.split("text", "\n")))).select(*changed)
