@@ -20,8 +20,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines within one edit of an earlier line and exact repeats of short lines go, and documents of which nothing is left."""
-    return line_dedup.without_duplicate_lines(docs, min_exact=1)
+    """Lines that stand earlier, or within one edit of such a line, go, and documents of which nothing is left."""
+    return line_dedup.without_duplicate_lines(docs)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
