@@ -20,9 +20,10 @@ def word_count(name: str = "text") -> Column:
 
 
 def document_key(seed: int = 0) -> Column:
-    """A random key of 60 bits hashed from doc_id and text."""
-    told = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}:"), text_or_empty())
-    return F.conv(F.substring(F.md5(told), 1, 15), 16, 10).cast("long")
+    """A random key of 128 bits hashed from source, doc_id and text; rows that are equal in all three share one."""
+    source = F.col("source").cast("string")
+    parts = [F.coalesce(F.length(source).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(source, F.lit("")), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}:"), text_or_empty()]
+    return F.unhex(F.md5(F.concat(*parts)))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2) -> DataFrame:
@@ -55,17 +56,17 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share:
     """doc_id, source, key, size, source_size, target, taken of each document.
 
     ``size`` is the number of words (a null text has none). Within a source, documents stand in the order of a random
-    key hashed from doc_id and text; each is taken whole as often as the target holds the source's whole size, and
+    key hashed from source, doc_id and text; each is taken whole as often as the target holds the source's whole size, and
     once more up to where the running sum reaches what is left, the last one in part. A source's taken words so add
     up to its target, rounded down, and no document exceeds ``epochs`` times its size. Reruns agree, as do orders of
-    the input; identical rows share one key and are told apart by nothing else, so it does not matter which is cut.
+    the input; rows equal in all three share one key and are told apart by nothing else, so it does not matter which is cut.
     Null sources form a source of their own, empty tables give no rows, columns other than doc_id, text and source
     are not read. A source of any size spreads over ``RANGES`` key ranges: their sums are aggregated before the
     shuffle, added up per source, and only then are running sums taken inside each range.
     """
     sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), document_key(seed).alias("key")), "sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("size")), weights, share, epochs)
-    ranged = sized.withColumn("range", F.floor(F.col("key") / ((1 << 60) // RANGES)))
+    ranged = sized.withColumn("range", F.floor(F.conv(F.substring(F.hex("key"), 1, 4), 16, 10).cast("long") * RANGES / (1 << 16)))
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("in_range").over(before), F.lit(0)))
@@ -85,13 +86,14 @@ def mixed_documents(docs: DataFrame, size_column: str = "n_chars", **options) ->
     What is taken of a document beyond whole copies is a row with its first words, joined by single spaces; ``size_column``,
     where there is one, is counted anew there. Documents without words take no part.
     """
-    plan = mix_documents(docs, **options).where("taken > 0").select("key", "size", "taken")
+    # Rows that share a key have equal texts; what the mix takes of them together is given by one of them.
+    plan = mix_documents(docs, **options).groupBy("key").agg(F.max("size").alias("mix size"), F.sum("taken").alias("mix taken")).where("`mix taken` > 0")
     keyed = docs.withColumn("mix key", document_key(options.get("seed", 0))).dropDuplicates(["mix key"])
     both = keyed.join(plan, keyed["mix key"] == plan["key"])
-    whole = F.floor(F.col("taken") / F.col("size"))
-    copies = both.withColumn("rest", F.col("taken") % F.col("size")).withColumn("copy", F.explode(F.sequence(F.lit(1), (whole + (F.col("rest") > 0).cast("int")).cast("int"))))
-    cut = F.col("copy") > whole
-    first = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("rest").cast("int")), " ")
+    whole = F.floor(F.col("mix taken") / F.col("mix size"))
+    copies = both.withColumn("mix rest", F.col("mix taken") % F.col("mix size")).withColumn("mix copy", F.explode(F.sequence(F.lit(1), (whole + (F.col("mix rest") > 0).cast("int")).cast("int"))))
+    cut = F.col("mix copy") > whole
+    first = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("mix rest").cast("int")), " ")
     text = F.when(cut, first).otherwise(F.col("text"))
     shown = [text.alias("text") if c == "text" else F.when(cut, F.length(text)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == size_column else keyed[c] for c in docs.columns]
     return copies.select(*shown)

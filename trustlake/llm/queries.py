@@ -16,8 +16,8 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many lines every document has and loses; rows of one doc_id are added up, as the SQL does."""
-    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n_lines", "n_removed", "chars_removed")])
+    """How many lines every document has and loses."""
+    return line_dedup.removed_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "chars_removed")
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
@@ -74,26 +74,27 @@ QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_token_files": op2_token_files,
 
 ORACLE = {
     "op1_line_dedup": r"""
-WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
-placed AS (SELECT *, length(line) AS n, {'d': doc_id, 'p': pos} AS place FROM lines),
-firsts AS (SELECT line, n, min(place) AS place FROM placed WHERE n >= 16 GROUP BY line, n),
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+lines AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs WHERE text IS NOT NULL),
+placed AS (SELECT *, length(line) AS n, regexp_matches(line, '[^\x20\x09-\x0D]') AS told, {'d': doc_id, 'p': pos} AS place FROM lines),
+firsts AS (SELECT line, n, min(place) AS place FROM placed WHERE told GROUP BY line, n),
 halves AS (
   SELECT line, n, place, b, side, CASE side WHEN 0 THEN left(line, CAST(b // 2 AS INT)) ELSE right(line, CAST(b - b // 2 AS INT)) END AS half
-  FROM firsts, (VALUES (0), (1)) s(side), (VALUES (0), (1)) l(less), LATERAL (SELECT n - less AS b)),
+  FROM firsts, (VALUES (0), (1)) s(side), (VALUES (0), (1)) l(less), LATERAL (SELECT n - less AS b) WHERE n >= 16),
 alike AS (
   SELECT DISTINCT x.line AS later, y.line AS earlier
   FROM halves x JOIN halves y ON x.half = y.half AND x.b = y.b AND x.side = y.side AND y.place < x.place AND abs(x.n - y.n) <= 1),
 near AS (SELECT DISTINCT later AS line FROM alike WHERE levenshtein(later, earlier) <= 1),
 marked AS (
-  SELECT p.doc_id, p.n, p.n >= 16 AND (f.place < p.place OR near.line IS NOT NULL) AS gone
+  SELECT p.rid, p.n, p.told AND (f.place < p.place OR near.line IS NOT NULL) AS gone
   FROM placed p LEFT JOIN firsts f USING (line) LEFT JOIN near USING (line))
 SELECT d.doc_id, count(m.n) AS n_lines, CAST(coalesce(sum(CAST(m.gone AS BIGINT)), 0) AS BIGINT) AS n_removed,
        CAST(coalesce(sum(CASE WHEN m.gone THEN m.n ELSE 0 END), 0) AS BIGINT) AS chars_removed
-FROM documents d LEFT JOIN marked m USING (doc_id) GROUP BY d.doc_id""",
+FROM docs d LEFT JOIN marked m USING (rid) GROUP BY d.rid, d.doc_id""",
     "op6_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0:' || coalesce(text, '')), 1, 15) AS BIGINT) AS key
+         md5(coalesce(CAST(length(source) AS VARCHAR), '-') || ':' || coalesce(source, '') || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':0:' || coalesce(text, '')) AS key
   FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight

@@ -140,7 +140,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, excepti
     """A model from labelled documents: ``labels`` has doc_id and toxic (0 or 1), ``docs`` doc_id and text.
 
     About ``sample_rows`` labelled rows, chosen by a hash of doc_id, are read; this bounds what reaches the driver.
-    The lexicon comes from documents with different texts: an entry must prove its toxicity in both halves of them,
+    The lexicon comes from different texts (toxic if any of its rows is): an entry must prove its toxicity in both halves of them,
     by a lower confidence bound on its odds that does not depend on the sample's size. Phrases in which an entry stands in clean
     documents only become exceptions, beside those given. Two features, the sum of the weights and the sum by length,
     then get a logistic fit. Without both classes the model scores everything 0.
@@ -150,7 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, excepti
     share = min(1.0, sample_rows / max(known.count(), 1))
     chosen = known.where((F.xxhash64("doc_id", F.lit("sample")) % 1_000_000 + 1_000_000) % 1_000_000 < int(share * 1_000_000))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(chosen, "doc_id")
-    sample = written(rows.withColumn("half", F.abs(F.xxhash64("text") % 2).cast("int")).dropDuplicates(["text"]).select("text", "toxic", "half"), "toxic-sample")
+    sample = written(rows.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("half", F.abs(F.xxhash64("text") % 2).cast("int")), "toxic-sample")
     sizes = {(r["half"], r["toxic"]): r["n"] for r in sample.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()}
     if not all(sum(sizes.get((h, y), 0) for h in (0, 1)) for y in (0, 1)):
         return ToxicityModel({}, exceptions, -20.0, 0.0, 0.0)
