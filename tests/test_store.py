@@ -54,8 +54,8 @@ def test_coverage(spark):
 def test_stale_is_guarded(spark):
     held, none = spark.createDataFrame([(str(i),) for i in range(10)], "id string"), spark.createDataFrame([], "id string")
     with pytest.raises(ValueError):
-        store.stale(held, none, complete=True)
-    assert store.stale(held, none, complete=False).count() == 0
+        store.stale(held, none, True, tables.saver(spark))
+    assert store.stale(held, none, False, tables.saver(spark)).count() == 0
 
 
 def test_refresh_slice(spark):
@@ -64,16 +64,16 @@ def test_refresh_slice(spark):
     assert store.refresh_slice(ledger, 1000, 0).count() == 0
 
 
-def test_frontier_survives_cycles(spark):
+def test_frontier_survives_cycles(spark, tmp_path):
     edges = spark.createDataFrame([("a", "s1", "r"), ("b", "s2", "r"), ("c", "s3", "r"), ("d", "s4", "r")], "observer string, service string, relay string")
     scored = spark.createDataFrame([("s1", "b"), ("s2", "a"), ("s2", "c"), ("s4", "a")], "service string, subject string")
-    found = trust.frontier(edges, scored, spark.createDataFrame([("a",)], "observer string"), tables.saver(spark))
+    found = trust.frontier(edges, scored, spark.createDataFrame([("a",)], "observer string"), f"file://{tmp_path}/walk")
     assert {(r["observer"], r["depth"]) for r in found.collect()} == {("a", 0), ("b", 1), ("c", 2)}
 
 
 def test_routable(spark):
     bad = ["ws://10.0.1.24:4848", "ws://192.168.1.10", "ws://172.16.5.5", "ws://100.103.119.73:4848", "ws://127.0.0.1:7777", "ws://169.254.1.1", "ws://localhost:4869", "ws://x.local", "ws://x.onion", "no url"]
-    good = ["wss://relay.example.com", "wss://a.example.org/path", "wss://10up.io", "wss://13.50.72.62"]
+    good = ["wss://127.example.com", "wss://10.relay.example", "wss://relay.example.com", "wss://a.example.org/path", "wss://10up.io", "wss://13.50.72.62"]
     df = spark.createDataFrame([(u,) for u in bad + good], "url string").select("url", C.routable(F.col("url")).alias("ok"))
     assert {r["url"] for r in df.collect() if r["ok"]} == set(good)
 

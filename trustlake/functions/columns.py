@@ -38,8 +38,8 @@ def is_path_prefix(short: Column, long: Column) -> Column:
     return (short == "") | (short == long) | F.startswith(long, F.concat(short, F.lit("/")))
 
 
-#: Fixed value: hosts and address literals that only a local network reaches.
-PRIVATE = r"^(localhost|.*\.local|.*\.onion|127\..*|10\.\d+\.\d+\.\d+|192\.168\.\d+\.\d+|169\.254\.\d+\.\d+|172\.(1[6-9]|2\d|3[01])\.\d+\.\d+|100\.(6[4-9]|[7-9]\d|1[01]\d|12[0-7])\.\d+\.\d+|0\.\d+\.\d+\.\d+|\[?(::1|fe[89ab][0-9a-f]:.*|f[cd][0-9a-f]{2}:.*)\]?)$"
+#: Fixed value: names that only a local network resolves, and address literals of loopback, private, link-local and shared ranges.
+PRIVATE = r"^(localhost|.*\.local|.*\.onion|(10|127)(\.\d{1,3}){3}|(192\.168|169\.254|172\.(1[6-9]|2\d|3[01])|100\.(6[4-9]|[7-9]\d|1[01]\d|12[0-7]))(\.\d{1,3}){2}|\[?(::1|fe[89ab][0-9a-f]:.*|f[cd][0-9a-f]{2}:.*)\]?)$"
 
 
 def routable(url: Column) -> Column:
@@ -98,3 +98,112 @@ def config_int(text: Column, default: int, least: int) -> Column:
 def search_terms(query: Column) -> Column:
     """A query's words without ``key:value`` extensions."""
     return F.filter(F.split(F.trim(query), r"\s+"), lambda x: ~x.rlike(r"^\w+:\S+$") & (x != ""))
+
+
+def normalised_url(url: Column) -> Column:
+    """Scheme and host in lower case, ``/`` where there is no path, no fragment; null where there is no host."""
+    host = F.lower(F.try_parse_url(url, F.lit("AUTHORITY")))
+    query = F.try_parse_url(url, F.lit("QUERY"))
+    rest = F.concat(F.coalesce(F.nullif(F.try_parse_url(url, F.lit("PATH")), F.lit("")), F.lit("/")), F.when(query.isNotNull(), F.concat(F.lit("?"), query)).otherwise(""))
+    return F.concat(F.lower(F.try_parse_url(url, F.lit("PROTOCOL"))), F.lit("://"), host, rest)
+
+
+def whole(n: Column, unit: str = "") -> Column:
+    return F.concat(F.floor(n).cast("long").cast("string"), F.lit(unit))
+
+
+def age(ms: Column) -> Column:
+    """Milliseconds as 45s, 3m or 1h15m."""
+    s = F.floor(ms / 1000)
+    return F.when(s >= 3600, F.concat(whole(s / 3600, "h"), whole(s % 3600 / 60, "m"))).when(s >= 60, whole(s / 60, "m")).otherwise(whole(s, "s"))
+
+
+def coarse_duration(s: Column) -> Column:
+    """Seconds as 5m, 2h 5m or 3d 4h."""
+    hours = F.concat(whole(s / 3600, "h "), whole(s % 3600 / 60, "m"))
+    return F.when(s < 3600, whole(s / 60, "m")).when(s < 86400, hours).otherwise(F.concat(whole(s / 86400, "d "), whole(s % 86400 / 3600, "h")))
+
+
+def thousands(n: Column) -> Column:
+    return F.format_number(n, 0)
+
+
+def percent(part: Column, of: Column) -> Column:
+    """A share in whole per cent, cut off; 0 of nothing."""
+    return F.when(of > 0, F.floor(part * 100 / of)).otherwise(0).cast("int")
+
+
+def day_label(at: Column) -> Column:
+    """Month and day of epoch seconds, an ellipsis for an open end."""
+    return F.coalesce(F.date_format(F.date_from_unix_date(F.floor(at / 86400).cast("int")), "MM-dd"), F.lit("\u2026"))
+
+
+def download_label(relay: Column, kinds: Column, authors: Column, since: Column, until: Column) -> Column:
+    """The relay, the first kind, eight characters of the first author, and the window where there is one."""
+    window = F.when(since.isNotNull() | until.isNotNull(), F.concat(F.lit(" "), day_label(since), F.lit(".."), day_label(until))).otherwise("")
+    kind = F.coalesce(F.concat(F.lit(" k"), F.get(kinds, F.lit(0)).cast("string")), F.lit(""))
+    author = F.coalesce(F.concat(F.lit(" "), F.substring(F.get(authors, F.lit(0)), 1, 8)), F.lit(""))
+    return F.concat(F.regexp_replace(relay, "^wss?://|/$", ""), kind, author, window)
+
+
+def since_with_slack(cursor: Column, since: Column, slack: int = 3600) -> Column:
+    """Where a scope goes on: its cursor less the slack, or where its filter begins."""
+    return F.coalesce(cursor - slack, since)
+
+
+def hex_key(text: Column) -> Column:
+    """A key of 64 hexadecimal digits in lower case, null for anything else."""
+    return F.when(F.trim(text).rlike("^[0-9a-fA-F]{64}$"), F.lower(F.trim(text)))
+
+
+def search_extension(query: Column, name: str) -> Column:
+    """The value of ``name:value`` in a query, null without one."""
+    return F.nullif(F.regexp_extract(query, rf"(?:^|\s){name}:(\S+)", 1), F.lit(""))
+
+
+def least_rank(query: Column) -> Column:
+    return search_extension(query, "filter:rank").try_cast("int")
+
+
+def includes_spam(query: Column) -> Column:
+    return F.coalesce(search_extension(query, "include") == "spam", F.lit(False))
+
+
+def geohash_near(tags: Column, cells: list[str]) -> Column:
+    """Whether an event stands in one of the geohash cells; an event names its cell and those around it."""
+    return F.arrays_overlap(tag_values(tags, "g"), F.array(*map(F.lit, cells))) if cells else F.lit(False)
+
+
+def location_text(tags: Column) -> Column:
+    return F.array_join(tag_values(tags, "location"), " ")
+
+
+def profile_field(content: Column, name: str) -> Column:
+    """A field of a profile's JSON, null where it is missing or blank."""
+    value = F.get_json_object(content, f"$.{name}")
+    return F.when(F.trim(value) != "", value)
+
+
+def log_class(line: Column) -> Column:
+    """What a line of the log is: phase, gauge, failure, warning, done, progress, tag or note."""
+    body = F.ltrim(line)
+    hard = body.rlike("(?i)fail|timed out|MISSING|invalid|dropped|unreliable")
+    trouble = F.when(hard, "failure").otherwise("warning")
+    heads = [("===", F.lit("phase")), ("~", F.lit("gauge")), ("!", trouble), ("DONE", F.lit("done"))]
+    out = F.when(body.rlike(r"^\[[^\]]*\d+/\d+\]"), "progress").when(body.rlike(r"(?i)^\[[a-z0-9 ]+\]"), "tag").otherwise("note")
+    for head, name in reversed(heads):
+        out = F.when(F.startswith(body, F.lit(head)), name).otherwise(out)
+    return out
+
+
+def busy_gauge(verify: Column, wait: Column, insert: Column) -> Column:
+    """The share of time in verifying, waiting and inserting; empty while nothing goes on."""
+    share = F.least(F.lit(100), F.floor(insert * 100)).cast("int")
+    return F.when(verify + wait + insert < 0.005, "").otherwise(F.format_string("vrf %.1fx wait %.1fx ins %d%%", verify, wait, share))
+
+
+def status_line(phase: Column, done: Column, total: Column, received: Column, rate: Column, inserted: Column, busy: Column) -> Column:
+    """Position, totals with their rate, and the gauge, between bars."""
+    per = F.when(rate > 0, F.concat(F.lit(" ("), compact(rate), F.lit("/s)"))).otherwise("")
+    parts = [F.concat(F.lit("  ~ "), phase, F.lit(" "), whole(done, "/"), whole(total)), F.concat(F.lit("recv "), compact(received), per, F.lit(" new "), compact(inserted)), F.nullif(busy, F.lit(""))]
+    return F.concat_ws(" | ", *parts)

@@ -52,6 +52,11 @@ def by_many_keys(events: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     return events.join(keys.select(column).distinct(), column, "left_semi")
 
 
+def visible(expires_at: Column, now) -> Column:
+    """What queries and counts see: an event is hidden from the moment it expires."""
+    return expires_at.isNull() | (expires_at > now)
+
+
 def unexpired(events: DataFrame, now: int) -> DataFrame:
-    """What queries and counts see; id snapshots read the table itself."""
-    return events.where(F.col("expires_at").isNull() | (F.col("expires_at") > now))
+    """The view that queries and counts read; id snapshots read the table itself."""
+    return events.where(visible(F.col("expires_at"), now))

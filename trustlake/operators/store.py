@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustlake.functions.columns import first_tag, tag_values
+from trustlake.operators.filters import unexpired
 from trustlake.schema import DELETION, VANISH
 
 
@@ -27,8 +28,8 @@ def deleted_addresses(events: DataFrame) -> DataFrame:
     return named.groupBy("kind", "pubkey", "d").agg(F.max("created_at").alias("until"))
 
 
-def current_events(events: DataFrame, now: int, ephemeral: tuple[int, int] = (20000, 29999)) -> DataFrame:
-    """The log's current events. Deletions and erasures read the raw log, so they outlive supersession.
+def stored_events(events: DataFrame, ephemeral: tuple[int, int] = (20000, 29999)) -> DataFrame:
+    """What a store holds of a log, with ``expires_at``; expired events count until they are swept. Deletions and erasures read the raw log, so they outlive supersession.
 
     Erasure takes all of an author's events up to its time, itself excepted; explicit deletions leave deletions and
     erasures alone. Replaceable kinds keep one event per author, addressable ones one per author and ``d``.
@@ -44,8 +45,22 @@ def current_events(events: DataFrame, now: int, ephemeral: tuple[int, int] = (20
     replaceable = F.col("kind").isin(0, 3) | F.col("kind").between(10000, 19999)
     addressable = F.col("kind").between(30000, 39999)
     slot = F.when(replaceable, F.lit("")).when(addressable, F.col("d")).otherwise(F.col("id"))
-    rows = newest(rows.withColumn("slot", slot), ["pubkey", "kind", "slot"]).drop("slot", "d")
-    return rows.where(F.col("expires_at").isNull() | (F.col("expires_at") > now))
+    return newest(rows.withColumn("slot", slot), ["pubkey", "kind", "slot"]).drop("slot", "d")
+
+
+def current_events(events: DataFrame, now: int) -> DataFrame:
+    """What queries see of a log at ``now``."""
+    return unexpired(stored_events(events), now)
+
+
+def id_snapshot(events: DataFrame) -> DataFrame:
+    """id, created_at of all that is stored, expired or not, for reconciling with other stores."""
+    return stored_events(events).select("id", "created_at")
+
+
+def swept(stored: DataFrame, now: int) -> DataFrame:
+    """The store after a sweep of what has expired."""
+    return unexpired(stored, now)
 
 
 def need_have(local: DataFrame, remote: DataFrame, key: str = "id") -> DataFrame:
@@ -55,18 +70,37 @@ def need_have(local: DataFrame, remote: DataFrame, key: str = "id") -> DataFrame
     return need.union(have)
 
 
-def stale(held: DataFrame, served: DataFrame, complete: bool, key: str = "id", most: float = 0.5) -> DataFrame:
-    """Held rows that a replica no longer serves. An incomplete or capped listing proves nothing: then none.
+def guarded(marked: DataFrame, save, flag: str = "gone", most: float = 0.5) -> DataFrame:
+    """The rows with ``flag``, unless they are more than ``most`` of all rows, which looks like a failed listing.
 
-    More than ``most`` of what is held is refused, for it looks like a failed listing.
+    ``save`` writes the marked rows once; the guard and the result read them.
     """
-    gone = held.join(served.select(key), key, "left_anti")
+    marked = save(marked)
+    seen = marked.agg(F.count("*").alias("n"), F.count_if(flag).alias("gone")).first()
+    if seen["gone"] > most * seen["n"]:
+        raise ValueError(f"more than {most:.0%} of the held rows would be deleted")
+    return marked.where(flag).drop(flag)
+
+
+def stale(held: DataFrame, served: DataFrame, complete: bool, save, key: str = "id", most: float = 0.5) -> DataFrame:
+    """Held rows that a replica no longer serves. An incomplete or capped listing proves nothing: then none."""
     if not complete:
         return held.limit(0)
-    n = held.count()
-    if n and gone.count() > most * n:
-        raise ValueError(f"more than {most:.0%} of the held rows would be deleted")
-    return gone
+    listed = served.select(key).distinct().withColumn("served", F.lit(True))
+    return guarded(held.join(listed, key, "left").withColumn("gone", F.col("served").isNull()).drop("served"), save, most=most)
+
+
+def absence_deletions(held: DataFrame, served: DataFrame, homes: DataFrame, listings: DataFrame, save, most: float = 0.5) -> DataFrame:
+    """Held scores (id, service) that their service's one relay no longer serves.
+
+    ``homes`` has service and relay of services hinted on a single relay, ``listings`` relay, complete, capped of what
+    the relays were asked for, ``served`` the ids and relays of what they gave. Only complete listings without a cap of
+    a service's only relay prove anything; of more than ``most`` of what they could prove, nothing is believed.
+    """
+    proven = homes.join(listings.where("complete and not capped").select("relay").distinct(), "relay")
+    given = served.select("id", "relay").distinct().withColumn("served", F.lit(True))
+    scope = held.join(proven, "service").join(given, ["id", "relay"], "left").withColumn("gone", F.col("served").isNull()).drop("served")
+    return guarded(scope, save, most=most)
 
 
 def absent_everywhere(held: DataFrame, replicas: list[DataFrame], key: str = "id") -> DataFrame:

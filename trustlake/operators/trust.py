@@ -51,6 +51,12 @@ def coverage(edges: DataFrame, scored: DataFrame, own_outbox: DataFrame, ledger:
     return out.withColumn("attempted", F.greatest(F.col("pending") - F.col("unreached"), zero))
 
 
+def reputation(edges: DataFrame, scored: DataFrame) -> DataFrame:
+    """observer, subject, rank: the best current rank that an observer's services give a subject; a score without a rank is no cell."""
+    ranked = edges.select("observer", "service").distinct().join(scored.where("rank is not null"), "service")
+    return ranked.groupBy("observer", "subject").agg(F.max("rank").alias("rank"))
+
+
 def orphans(scored: DataFrame, edges: DataFrame) -> DataFrame:
     """Scores of services that no trust list names."""
     return scored.join(edges.select("service").distinct(), "service", "left_anti")
@@ -62,49 +68,39 @@ def single_relay_services(edges: DataFrame) -> DataFrame:
     return known.where("n = 1").select("service", "relay")
 
 
-def frontier(edges: DataFrame, scored: DataFrame, roots: DataFrame, save, rounds: int = 50) -> DataFrame:
+def frontier(edges: DataFrame, scored: DataFrame, roots: DataFrame, home: str) -> DataFrame:
     """observer, depth: observers that ``roots`` reach, through scored subjects that are observers themselves.
 
-    ``save`` writes a frame to shared storage and reads it back, so a round depends on no earlier one's tasks. Each
-    round joins only what the round before has found.
+    Each round's new observers are written below ``home``, a shared folder, so a round depends on no earlier one's
+    tasks, joins only what the round before has found, and writes nothing twice. Rounds go on until nothing is new.
+    """
+    spark = edges.sparkSession
+    named = edges.select(F.col("observer").alias("subject")).distinct()
+    rosters(edges, scored).join(named, "subject", "left_semi").write.parquet(f"{home}/links")
+    links = spark.read.parquet(f"{home}/links")
+    kind = edges.schema["observer"].dataType.simpleString()
+    seen = lambda: spark.read.schema(f"observer {kind}, depth int").parquet(f"{home}/seen")
+    roots.select(F.col("observer").cast(kind).alias("observer")).distinct().write.parquet(f"{home}/seen/depth=0")
+    depth = 0
+    while True:
+        last = seen().where(F.col("depth") == depth)
+        if last.isEmpty():
+            return seen()
+        found = last.join(links, "observer").select(F.col("subject").cast(kind).alias("observer")).distinct()
+        depth += 1
+        found.join(seen().select("observer"), "observer", "left_anti").write.parquet(f"{home}/seen/depth={depth}")
+
+
+def routed(authors: DataFrame, lists: DataFrame, fallback: list[str], most: int = 4, spread: int = 2, discarded: DataFrame | None = None) -> DataFrame:
+    """author, relay: up to ``most`` of an author's own relays, else ``spread`` neighbours among the fallback ones by hash.
+
+    Relays in ``discarded`` are left out in the end; they do not make room for others.
     """
-    links = save(rosters(edges, scored).join(edges.select(F.col("observer").alias("subject")).distinct(), "subject", "left_semi"))
-    seen = save(roots.select("observer").distinct().withColumn("depth", F.lit(0)))
-    new = seen
-    for depth in range(1, rounds + 1):
-        found = new.join(links, "observer").select(F.col("subject").alias("observer")).distinct()
-        new = save(found.join(seen, "observer", "left_anti").withColumn("depth", F.lit(depth)))
-        if new.isEmpty():
-            break
-        seen = save(seen.union(new))
-    return seen
-
-
-def routed(authors: DataFrame, lists: DataFrame, fallback: list[str], most: int = 4, spread: int = 2) -> DataFrame:
-    """author, relay: up to ``most`` of an author's own relays, else ``spread`` neighbours among the fallback ones by hash."""
     from trustlake.functions.columns import spread_hash
 
     own = authors.join(lists, "author").where(F.col("pos") < most).select("author", "relay")
     slots = F.array(*map(F.lit, fallback))
     first = (spread_hash("author") % len(fallback)).cast("int")
     picks = F.explode(F.transform(F.sequence(F.lit(0), F.lit(spread - 1)), lambda i: F.element_at(slots, (first + i) % len(fallback) + 1)))
-    return own.union(authors.join(lists, "author", "left_anti").select("author", picks.alias("relay")))
-
-
-def searched(texts: DataFrame, terms: list[str], trust: DataFrame, floor: float, k1: float = 1.2, b: float = 0.75, spam: bool = False) -> DataFrame:
-    """id, author, score: BM25 of the terms times the searcher's trust in the author; below the floor only with ``spam``.
-
-    ``texts`` has id, author, text; ``trust`` author, trust. Only the terms' own rows are exploded, and the corpus
-    statistics come from one aggregate.
-    """
-    words = F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}]+"), lambda w: w != "")
-    rows = texts.select("id", "author", words.alias("words")).withColumn("n", F.size("words"))
-    stats = rows.agg(F.count("*").alias("docs"), F.avg("n").alias("mean"))
-    wanted = F.array(*map(F.lit, terms))
-    hits = rows.select("id", "author", "n", F.explode(F.filter("words", lambda w: F.array_contains(wanted, w))).alias("term")).groupBy("id", "author", "n", "term").agg(F.count("*").alias("tf"))
-    df = hits.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("n") / F.col("mean")))
-    scored = hits.join(F.broadcast(df), "term").join(F.broadcast(stats)).groupBy("id", "author").agg(F.sum(part).alias("bm25"))
-    gated = scored.join(trust, "author", "left").withColumn("trust", F.coalesce("trust", F.lit(0.0)))
-    return (gated if spam else gated.where(F.col("trust") >= floor)).select("id", "author", F.round(F.col("bm25") * (1 + F.col("trust")), 6).alias("score"))
+    out = own.union(authors.join(lists, "author", "left_anti").select("author", picks.alias("relay")))
+    return out if discarded is None else out.join(discarded.select("relay").distinct(), "relay", "left_anti").select("author", "relay")

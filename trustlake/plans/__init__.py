@@ -1,6 +1,9 @@
 """Queries over the driver's tables."""
 
-from trustlake.plans.oracle import ORACLE
-from trustlake.plans.queries import QUERIES
+from trustlake.plans import log_queries, queries
+from trustlake.plans.log_oracle import ORACLE as LOG_ORACLE
+from trustlake.plans.oracle import ORACLE as TABLE_ORACLE
 
-__all__ = ["ORACLE", "QUERIES"]
+QUERIES, ORACLE = queries.QUERIES, TABLE_ORACLE | LOG_ORACLE
+
+__all__ = ["ORACLE", "QUERIES", "log_queries"]

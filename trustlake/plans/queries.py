@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trustlake.functions import columns as C
-from trustlake.operators import store, trust
-from trustlake.operators.filters import EventFilter, by_many_keys
+from trustlake.operators import search, store, trust
+from trustlake.operators.filters import EventFilter, by_many_keys, visible
 from trustlake.sources import tables as S
 from trustlake.sources.tables import table
 from trustlake.streaming import streams
@@ -59,10 +59,11 @@ def content_excluding_plumbing(spark, d):
 
 @query
 def expired_unswept(spark, d):
+    """Expired but still stored, and what queries see; at its very time an event is hidden and not yet to be swept."""
     k = F.get_json_object("props", "$.k").cast("int")
-    expires = F.when(k % 4 == 0, F.col("ts") + F.make_dt_interval(days=k))
-    e = table(spark, d, "events").withColumn("expires_at", expires)
-    return e.groupBy("event_type").agg(F.count_if(F.col("expires_at") < F.lit(NOW).cast("timestamp_ntz")).alias("expired"), F.count_if(F.col("expires_at").isNull() | (F.col("expires_at") >= F.lit(NOW).cast("timestamp_ntz"))).alias("visible"))
+    e = table(spark, d, "events").withColumn("expires_at", F.when(k % 4 == 0, F.date_trunc("day", "ts").cast("timestamp_ntz") + F.make_dt_interval(days=k)))
+    now = F.lit(NOW).cast("timestamp_ntz")
+    return e.groupBy("event_type").agg(F.count_if(EventFilter(expires_before=now).predicate()).alias("expired"), F.count_if(visible(F.col("expires_at"), now)).alias("visible"))
 
 
 @query
@@ -116,9 +117,10 @@ def scores_per_observer(spark, d):
 
 @query
 def observer_names(spark, d):
-    n = table(spark, d, "nation")
-    out = S.edges(spark, d).select("observer").distinct().join(n.where("n_regionkey <> 2"), F.col("observer") == F.col("n_nationkey"), "left")
-    return out.select("observer", C.display_name(F.col("n_name"), F.lit(None).cast("string")).alias("name"))
+    n, region = table(spark, d, "nation"), F.col("n_regionkey")
+    names = n.select(F.col("n_nationkey").alias("observer"), F.when(region == 1, "  ").when(region != 2, F.col("n_name")).alias("name"), F.when(region == 2, F.concat(F.lit("shown "), "n_name")).when(region == 1, F.col("n_name")).alias("display"))
+    out = S.edges(spark, d).select("observer").distinct().join(names.where("observer % 7 <> 0"), "observer", "left")
+    return out.select("observer", C.display_name(F.col("name"), F.col("display")).alias("name"))
 
 
 @query
@@ -133,9 +135,9 @@ def observer_coverage(spark, d):
 
 @query
 def stale_ids_absence_delete(spark, d):
-    held = S.scores(spark, d).where("l_linenumber <= 3").select(F.struct("l_orderkey", "l_linenumber", "service", "subject").alias("id"), "service").distinct()
-    served = S.scores(spark, d).where("l_linenumber <= 3 and rank > 5").select(F.struct("l_orderkey", "l_linenumber", "service", "subject").alias("id"))
-    return store.stale(held, served, complete=True).groupBy("service").agg(F.count("*").alias("n"))
+    held = S.scores(spark, d).select(F.struct("l_orderkey", "l_linenumber", "service", "subject").alias("id"), "service", (F.col("rank") > 5).alias("listed"))
+    held = held.groupBy("id", "service").agg(F.bool_or("listed").alias("listed"))
+    return store.guarded(held.withColumn("gone", ~F.col("listed")), S.saver(spark)).groupBy("service").agg(F.count("*").alias("n"))
 
 
 @query
@@ -177,8 +179,8 @@ def popular_relays_top15(spark, d):
 @query
 def author_batches_500(spark, d):
     nth = F.row_number().over(Window.partitionBy("relay").orderBy("author"))
-    rows = S.relay_lists(spark, d).withColumn("batch", F.floor((nth - 1) / 50).cast("long"))
-    return rows.groupBy("relay", "batch").agg(F.count("*").alias("n"), F.min("author").alias("first"), F.max("author").alias("last"))
+    rows = S.scores(spark, d).select((F.col("service") % 10).alias("relay"), F.col("subject").alias("author")).distinct()
+    return rows.withColumn("batch", F.floor((nth - 1) / 500).cast("long")).groupBy("relay", "batch").agg(F.count("*").alias("n"), F.min("author").alias("first"), F.max("author").alias("last"))
 
 
 @query
@@ -253,19 +255,24 @@ def url_authority_path(spark, d):
     return table(spark, d, "pages").select("page_id", C.authority(F.col("url")).alias("authority"), C.path(F.col("url")).alias("path"))
 
 
+HOSTS = ("10.0.1.24:4848", "localhost:1", "100.103.119.73", "x.onion", "172.16.5.5", "13.50.72.62", "10up.io", "127.example.com", "0.1.2.3", "172.32.0.1", "a.local", "127.0.0.1", "100.128.0.1", "192.168.7.7:80", "169.254.1.1", "192.169.0.1")
+
+
 @query
 def url_publicly_routable(spark, d):
-    hosts = F.array(*[F.lit(h) for h in ("10.0.1.24:4848", "localhost:1", "100.103.119.73", "x.onion", "172.16.5.5", "13.50.72.62", "10up.io")])
-    url = F.when(F.col("page_id") % 8 == 7, F.col("url")).otherwise(F.concat(F.lit("wss://"), F.element_at(hosts, (F.col("page_id") % 8 + 1).cast("int"))))
-    u = F.when(F.col("page_id") % 8 == 7, F.col("url")).otherwise(url)
-    return table(spark, d, "pages").select("page_id", C.routable(u).alias("routable"))
+    p, hosts = table(spark, d, "pages"), F.array(*map(F.lit, HOSTS))
+    local = F.concat(F.lit("wss://"), F.element_at(hosts, (F.col("page_id") % len(HOSTS) + 1).cast("int")), F.lit("/x"))
+    return p.select("page_id", C.routable(local).alias("local"), C.routable(F.col("url")).alias("own"))
 
 
 @query
 def url_collapse(spark, d):
+    """Each url's shortest path on its host that is another page's too: a path's own prefixes are listed and looked up."""
     p = table(spark, d, "pages").select("page_id", C.authority(F.col("url")).alias("authority"), F.split(C.path(F.col("url")), r"\?")[0].alias("path"))
-    short = p.select(F.col("authority").alias("a2"), F.col("path").alias("prefix")).distinct()
-    both = p.join(short, (p["authority"] == short["a2"]) & C.is_path_prefix(F.col("prefix"), F.col("path")))
+    parts = F.split("path", "/")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    short = p.select("authority", F.col("path").alias("prefix")).distinct()
+    both = p.select("page_id", "authority", F.explode(prefixes).alias("prefix")).join(short, ["authority", "prefix"])
     return both.groupBy("page_id").agg(F.min_by("prefix", F.struct(F.length("prefix"), "prefix")).alias("kept"))
 
 
@@ -309,7 +316,7 @@ def search_raw_count(spark, d):
 def search_bm25_trust(spark, d):
     texts = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("author"), "text")
     trusted = texts.select("author").distinct().select("author", ((F.length("author") * 7 + F.ascii(F.substring("author", 4, 1))) % 10 / 10.0).cast("double").alias("trust"))
-    return trust.searched(texts, ["the", "idiot", "von"], trusted, 0.3).orderBy(F.desc("score"), "id").limit(500)
+    return search.searched(texts, ["the", "idiot", "von"], trusted, 0.3, S.saver(spark), letters=r"[^\p{L}]+").orderBy(F.desc("score"), "id").limit(500)
 
 
 @query
@@ -353,9 +360,8 @@ def roster_union(spark, d):
 
 @query
 def observer_frontier(spark, d):
-    edges = S.edges(spark, d)
-    scored = S.scores(spark, d).where("rank > 47").select("service", F.col("subject").cast("int").alias("subject"))
-    return trust.frontier(edges, scored, spark.range(1).select(F.lit(0).alias("observer")), S.saver(spark))
+    scored = S.scores(spark, d).select("service", F.col("subject").cast("int").alias("subject"))
+    return trust.frontier(S.edges(spark, d), scored, spark.range(1).select(F.lit(0).alias("observer")), S.shared_home(spark, "frontier"))
 
 
 @query
@@ -399,7 +405,7 @@ def trust_bands(spark, d):
 
 @query
 def insert_if_missing(spark, d):
-    held = table(spark, d, "orders").select(F.col("o_custkey").alias("author"))
+    held = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("author"))
     seed = table(spark, d, "customer").select(F.col("c_custkey").alias("author"), F.col("c_name").alias("name"))
     return S.insert_missing(held, seed, ["author"])
 
@@ -407,16 +413,20 @@ def insert_if_missing(spark, d):
 @query
 def services_covered(spark, d):
     want = S.edges(spark, d).groupBy("observer").agg(F.collect_set("service").alias("want"))
-    have = S.edges(spark, d).where("relay < 3").groupBy("observer").agg(F.collect_set("service").alias("have"))
+    have = S.edges(spark, d).where("service % 9 <> 0").groupBy("observer").agg(F.collect_set("service").alias("have"))
     none = F.array().cast("array<bigint>")
     return want.join(have, "observer", "left").select("observer", (F.size(F.array_except("want", F.coalesce("have", none))) == 0).alias("covered"))
 
 
 @query
 def download_labels(spark, d):
+    at = lambda c: F.unix_date(F.to_date(c)).cast("long") * 86400
     by = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    window = F.concat(F.date_format("a", "MM-dd"), F.lit(".."), F.date_format("b", "MM-dd"))
-    return by.select("user_id", "event_type", F.concat_ws(" ", F.col("user_id").cast("string"), "event_type", window).alias("label"))
+    k = F.col("user_id").cast("int")
+    relay = F.concat(F.lit("wss://r"), F.col("user_id") % 5, F.lit(".example/"))
+    since = F.when(F.col("user_id") % 3 != 0, at("a"))
+    label = C.download_label(relay, F.array(k), F.array(F.concat(F.lit("author"), F.lpad(F.col("user_id").cast("string"), 6, "0"))), since, F.when(F.col("user_id") % 2 == 0, at("b")))
+    return by.select("user_id", "event_type", label.alias("label"))
 
 
 @query

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trustlake.schema import DELETION, FOLLOWS, INDEXER, NOTE, PROFILE, RELAY_LIST, SCORE, TRUST_LIST, VANISH
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,14 +34,69 @@ def relay_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("author"), F.col("c_nationkey").alias("relay"), F.lit(0).alias("pos"))
 
 
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a tagged event log of twenty authors, as two stores would give it: every tenth event stands twice.
+
+    Kinds follow the event's number, and tags and contents its ``k``: profiles, notes (some with subject, hashtags and
+    places, some that expire), follows, deletions by id and by address, erasures, relay lists, trust lists, index relay
+    lists, ephemeral events, lists by address, and scores, some without a rank or a subject.
+    """
+    k, n = F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("event_id")
+    at = F.unix_date(F.to_date("ts")).cast("long") * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 20).alias("u"), at.alias("created_at"), k, (n % 16).alias("m"))
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    tag = lambda *parts: F.array(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    named = lambda i: F.lpad(i.cast("string"), 10, "0")
+    u, k, m = F.col("u"), F.col("k"), F.col("m")
+    kinds = {0: PROFILE, 3: FOLLOWS, 4: DELETION, 5: DELETION, 7: RELAY_LIST, 8: TRUST_LIST, 9: INDEXER, 10: 20001, 11: 30000, 12: SCORE, 13: SCORE, 15: SCORE}
+    kind = F.when((m == 6) & (n % 160 == 6), VANISH)
+    for number, value in kinds.items():
+        kind = kind.when(m == number, value)
+    expires = F.when(k % 8 == 0, NOW).otherwise(F.col("created_at") + (k - 50) * 43200)
+    first = F.when(k % 4 == 0, c("ws://localhost:", k)).otherwise(c("wss://r", k % 7, ".example"))
+    third = F.when(k % 2 == 0, F.lit("ws://192.168.1.1")).otherwise(c("wss://w", k % 3, ".example"))
+    rank = F.when(k % 10 != 0, F.array(tag("rank", k.cast("string")))).otherwise(F.array().cast("array<array<string>>"))
+    tags = {
+        2: F.array(tag("subject", c("subject w", k % 4)), tag("t", c("tag", k % 6)), tag("location", c("place ", k % 3)), tag("g", c("u4pr", k % 5))),
+        4: F.array(tag("e", named(n - k % 40))),
+        5: F.array(tag("a", c("30000:u", (u + F.when(k % 3 == 0, 1).otherwise(0)) % 20, ":", k % 5))),
+        7: F.array(tag("r", first), tag("r", c("wss://read", k % 5, ".example"), "read"), tag("r", third, "write")),
+        8: F.array(tag("30382:rank", c("u", k % 20), c("wss://r", k % 3, ".example")), tag("30382:followers", c("u", (k + 1) % 20), "wss://f.example"), tag("30382:rank", c("u", (k + 3) % 20))),
+        9: F.when(k % 3 != 0, F.array(tag("relay", c("wss://i", k % 4, ".example")), tag("relay", "wss://i9.example"))).otherwise(F.array().cast("array<array<string>>")),
+        11: F.array(tag("d", c("", k % 5)), tag("title", c("list w", k % 9)), tag("description", c("about w", k % 2))),
+        14: F.array(tag("expiration", expires.cast("string"))),
+    }
+    score = F.concat(F.array(tag("d", F.when(k % 13 == 0, F.lit("")).otherwise(c("u", k % 20)))), rank)
+    tagged = F.when(m.isin(12, 13, 15), score)
+    for number, value in tags.items():
+        tagged = tagged.when(m == number, value)
+    profile = F.to_json(F.struct(c("name w", k % 7).alias("name"), F.when(k % 2 == 0, c("shown ", k % 3)).alias("display_name"), c("about w", k % 11).alias("about")))
+    content = F.when(m == 0, profile).when(m.isin(1, 2, 6, 14), c("note w", k % 11, " on w", k % 5)).otherwise("")
+    none = F.array().cast("array<array<string>>")
+    log = rows.select(named(n).alias("id"), c("u", u).alias("pubkey"), "created_at", F.coalesce(kind, F.lit(NOTE)).alias("kind"), F.coalesce(tagged, none).alias("tags"), content.alias("content"), F.lit("").alias("sig"))
+    return log.union(log.where(F.col("id").cast("long") % 10 == 0))
+
+
+#: The clock of the queries over the event log, in epoch seconds.
+NOW = 1_706_659_200
+
+
+def shared_home(spark: SparkSession, name: str) -> str:
+    """A new folder's URI below ``spark.checkpoint.dir``; where that is unset, below a temporary folder in local mode only."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='trustlake-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def saver(spark: SparkSession):
     """A function that writes a frame below ``spark.checkpoint.dir`` and reads it back."""
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='trustlake-')}"
 
     def save(df: DataFrame) -> DataFrame:
-        path = f"{root.rstrip('/')}/saved-{uuid.uuid4().hex}"
+        path = shared_home(spark, "saved")
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

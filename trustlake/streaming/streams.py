@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from trustlake.sources.stores import EventStore
+from trustlake.sources.tables import shared_home
+
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream; event time is cast to a timestamp with time zone, which watermarks need."""
@@ -42,8 +43,7 @@ def timeouts(stream: DataFrame, dead_after: int = 3) -> DataFrame:
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """All that a stream gives now, as a table below ``spark.checkpoint.dir``, where its checkpoint and state stand too."""
     spark = stream.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='trustlake-')}"
-    home, paths = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}", {}
+    home, paths = shared_home(spark, "stream"), {}
 
     def save(batch: DataFrame, number: int) -> None:
         # a batch that is tried again replaces its own folder
@@ -56,3 +56,44 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
         return spark.createDataFrame([], stream.schema)
     # in complete mode each batch has the whole result
     return spark.read.schema(stream.schema).parquet(*([paths[max(paths)]] if mode == "complete" else paths.values()))
+
+
+def into_store(stream: DataFrame, store: EventStore, home: str, now: int, verified=None, hooks: tuple[Callable[[DataFrame], None], ...] = ()) -> dict[str, int]:
+    """Drains a stream of events into a store, batch by batch, and returns rows received and stored.
+
+    The checkpoint below ``home`` moves only when a batch is stored, so a pass that dies goes on where it was; a batch
+    that comes again changes nothing, as its ids are stored. ``hooks`` see each batch before it is stored.
+    """
+    totals = {"received": 0, "stored": 0}
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            for hook in hooks:
+                hook(batch)
+            totals["received"] += batch.count()
+            totals["stored"] += store.insert(batch, now, verified)
+        finally:
+            batch.unpersist()
+
+    query = stream.writeStream.foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", f"{home}/checkpoint").start()
+    query.awaitTermination()
+    return totals
+
+
+def enrolled_only(stream: DataFrame, spark: SparkSession, enrolment: str) -> DataFrame:
+    """The stream's events of enrolled authors. The enrolment table (pubkey) at this path is read anew for each batch, so who enrols meanwhile takes part from the next one on."""
+    return stream.join(spark.read.schema("pubkey string").parquet(enrolment), "pubkey", "left_semi")
+
+
+def passes(run: Callable[[int], dict], count: int, wait: Callable[[], None], log: Callable[[str], None] = lambda line: None) -> list[dict]:
+    """``count`` passes one after another, each begun after the wait that follows the end of the last; one that fails is logged and does not end the loop."""
+    out = []
+    for number in range(count):
+        try:
+            out.append(run(number))
+        except Exception as e:  # a pass may fail in any way, and the next one may not
+            log(f"! pass {number} failed: {e}")
+        if number + 1 < count:
+            wait()
+    return out
