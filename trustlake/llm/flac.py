@@ -1,7 +1,9 @@
 """Payloads as FLAC streams in a binary column, and FLAC streams as PCM blocks.
 
-Streams are mono, 8 to 24 bits. Many frames are coded at a time: the decoder steps through the samples of all frames
-of a batch together, reading one Rice code of each, so its work per sample is a few vector operations.
+The encoder writes mono streams of 8 bits; the decoder reads up to eight channels, independent or side-coded, of up to
+24 bits. Many frames are coded at a time: the decoder steps through the samples of all frames of a batch together,
+reading one Rice code of each, so its work per sample is a few vector operations. Frames are taken in groups of bounded
+size, so a long stream takes little more memory than its own bytes and samples.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ ORDER, PRECISION, SHIFT = 4, 12, 9
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
 #: Bytes that one call encodes, and decodes; the decoder's steps pay off over many frames.
 ENCODED, DECODED = 1 << 18, 1 << 21
+#: Frames that are coded together.
+FRAMES = {"encode": ENCODED // BLOCK, "decode": DECODED // BLOCK}
 
 
 def crc_table(poly: int, bits: int) -> np.ndarray:
@@ -108,14 +112,8 @@ def put_bits(words: np.ndarray, at: np.ndarray, value: np.ndarray, width: np.nda
     np.add.at(words, (at[cut] >> 6) + 1, value[cut] << (64 - over[cut]).astype(np.uint64))
 
 
-def encode(flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """A stream for each payload of 8-bit samples; a payload's byte b is the sample b - 128. Payloads are not empty."""
-    sizes = np.diff(offsets)
-    frames = -(-sizes // BLOCK)
-    doc = np.repeat(np.arange(len(sizes)), frames)
-    number = np.arange(len(doc)) - np.repeat(np.cumsum(frames) - frames, frames)
-    start = offsets[doc] + number * BLOCK
-    length = np.minimum(BLOCK, offsets[doc + 1] - start)
+def encode_frames(flat: np.ndarray, number: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes one after another, bytes of each) of the frames of 8-bit samples that start at ``start`` in ``flat``."""
     column = np.arange(BLOCK)
     valid = column < length[:, None]
     x = np.where(valid, flat[np.minimum(start[:, None] + column, len(flat) - 1)].astype(np.int32) - 128, 0).astype(np.int32)
@@ -173,6 +171,21 @@ def encode(flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     out[(frame_at[:, None] + np.arange(most))[inside]] = padded[inside]
     crc = crc16(out, frame_at, frame_at + bytes_of - 2)
     out[frame_at + bytes_of - 2], out[frame_at + bytes_of - 1] = crc >> 8, crc & 255
+    return out, bytes_of
+
+
+def encode(flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """A stream for each payload of 8-bit samples; a payload's byte b is the sample b - 128. Payloads are not empty."""
+    sizes = np.diff(offsets)
+    frames = -(-sizes // BLOCK)
+    doc = np.repeat(np.arange(len(sizes)), frames)
+    number = np.arange(len(doc)) - np.repeat(np.cumsum(frames) - frames, frames)
+    start = offsets[doc] + number * BLOCK
+    length = np.minimum(BLOCK, offsets[doc + 1] - start)
+    step = FRAMES["encode"]
+    coded = [encode_frames(flat, number[a : a + step], start[a : a + step], length[a : a + step]) for a in range(0, len(doc), step)]
+    out, bytes_of = (np.concatenate([c[i] for c in coded]) if coded else np.zeros(0, np.int64) for i in (0, 1))
+    frame_at = np.cumsum(bytes_of) - bytes_of
     signed = flat ^ 0x80
     streams, first = [], np.cumsum(frames) - frames
     for d in range(len(sizes)):
@@ -223,13 +236,11 @@ def utf8_length(first: int) -> int:
     return 1 if first < 128 else 8 - (255 - first).bit_length()
 
 
-def read_header(data: bytes, at: int, bits: int, block: int) -> tuple[int, int]:
-    """(sample count, header bytes) of the frame at ``at``, whose checksum is verified."""
+def read_header(data: bytes, at: int) -> tuple[int, int, int]:
+    """(sample count, header bytes, channel assignment) of the frame at ``at``, whose checksum is verified."""
     if data[at] != 0xFF or data[at + 1] & 0xFE != 0xF8:
         raise ValueError("no frame starts here")
     code, rate = data[at + 2] >> 4, data[at + 2] & 15
-    if data[at + 3] >> 4 != 0:
-        raise ValueError("only mono streams are decoded")
     p = at + 4 + utf8_length(data[at + 4])
     if code == 6:
         size, p = data[p] + 1, p + 1
@@ -240,17 +251,50 @@ def read_header(data: bytes, at: int, bits: int, block: int) -> tuple[int, int]:
     p += {12: 1, 13: 2, 14: 2}.get(rate, 0)
     if crc8(data[at:p]) != data[p]:
         raise ValueError("a frame header's checksum is wrong")
-    return size, p + 1 - at
+    return size, p + 1 - at, data[at + 3] >> 4
 
 
-def decode_frames(flat: np.ndarray, start: np.ndarray, size: np.ndarray, head: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(samples: one row a frame, end bytes) of mono frames, stepping through all of them together."""
-    n, most = len(start), int(size.max())
-    bits, out, stop = Bits(flat), np.zeros((n, most), np.int32), np.zeros(n, np.int64)
-    kinds = flat[start + head].astype(np.int64)
-    if (kinds & 0x81).any():
-        raise ValueError("wasted bits are not supported")
-    kind, body = kinds >> 1, (start + head + 1) * 8
+def decode_frames(flat: np.ndarray, start: np.ndarray, size: np.ndarray, head: np.ndarray, depth: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(samples: frame, channel, time; end bytes) of frames, channel by channel, stepping through all of them together.
+
+    ``kind`` is the channel assignment: channels less one, or 8 to 10 for a left, right or middle channel with a side one.
+    """
+    if (kind > 10).any():
+        raise ValueError("unknown channel assignment")
+    bits, at = Bits(flat), (start + head) * 8
+    channels = np.where(kind < 8, kind + 1, 2)
+    out = np.zeros((len(start), int(channels.max()), int(size.max())), np.int32)
+    for c in range(out.shape[1]):
+        on = np.flatnonzero(channels > c)
+        side = (kind[on] == 9) if c == 0 else (kind[on] == 8) | (kind[on] == 10)
+        x, at[on] = decode_subframes(bits, at[on], size[on], depth[on] + side)
+        out[on, c, : x.shape[1]] = x
+    for k in (8, 9, 10):
+        on = np.flatnonzero(kind == k)
+        a, b = out[on, 0], out[on, 1] if out.shape[1] > 1 else out[on, 0]
+        if k == 8 and len(on):
+            out[on, 1] = a - b
+        elif k == 9 and len(on):
+            out[on, 0] = a + b
+        elif len(on):
+            middle = a << 1 | b & 1
+            out[on, 0], out[on, 1] = (middle + b) >> 1, (middle - b) >> 1
+    return out, (at + 7 >> 3) + 2
+
+
+def decode_subframes(bits: Bits, at: np.ndarray, size: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(samples: one row a subframe, end bits) of subframes that begin at the bits ``at``."""
+    n, most = len(at), int(size.max())
+    out, stop = np.zeros((n, most), np.int32), np.zeros(n, np.int64)
+    kinds = bits.take(at, 8)
+    if (kinds & 0x80).any():
+        raise ValueError("no subframe starts here")
+    kind, body, waste = kinds >> 1, at + 8, np.zeros(n, np.int64)
+    wasted = np.flatnonzero(kinds & 1)
+    if len(wasted):
+        waste[wasted] = bits.unary(body[wasted]) + 1
+        body = body + waste
+        depth = depth - waste
     for f in np.flatnonzero(kind == 0):
         out[f, : size[f]] = bits.signed(body[f : f + 1], depth[f])[0]
         stop[f] = body[f] + depth[f]
@@ -340,7 +384,7 @@ def decode_frames(flat: np.ndarray, start: np.ndarray, size: np.ndarray, head: n
         x[deep + i, on] = value
     out[sel] = x[deep:].T
     stop[sel] = at
-    return out, (stop + 7 >> 3) + 2
+    return out << waste[:, None].astype(np.int32), stop
 
 
 def parse_stream(data: bytes) -> dict:
@@ -358,51 +402,61 @@ def parse_stream(data: bytes) -> dict:
             table = np.frombuffer(body, np.dtype([("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")]))
             seek = table[table["sample"] != 0xFFFFFFFFFFFFFFFF]
     packed = int.from_bytes(info[10:18], "big")
-    return {"block": int.from_bytes(info[2:4], "big"), "depth": (packed >> 36 & 31) + 1, "samples": packed & (1 << 36) - 1, "md5": info[18:34], "seek": seek, "at": at}
+    return {"block": int.from_bytes(info[2:4], "big"), "channels": (packed >> 41 & 7) + 1, "depth": (packed >> 36 & 31) + 1, "samples": packed & (1 << 36) - 1, "md5": info[18:34], "seek": seek, "at": at}
 
 
 def decode(streams: list[bytes]) -> list[tuple[np.ndarray, list[tuple[int, int]]]]:
-    """For each stream its samples and its blocks (sample offset, sample count). Every checksum is verified.
+    """For each stream its samples (a row a sample where there are several channels) and its blocks (sample offset, sample count).
 
-    Streams whose seek table names every frame decode all frames at once; others go frame by frame, all streams
-    together.
+    Every checksum is verified. Streams whose seek table names every frame decode all frames at once; others go frame
+    by frame, all streams together.
     """
     flat = np.frombuffer(b"".join(streams), np.uint8)
     base = np.cumsum([0, *map(len, streams)])
     infos = [parse_stream(s) for s in streams]
-    out = [(np.zeros(i["samples"], np.int64), []) for i in infos]
+    out = [(np.zeros((i["samples"], i["channels"]), np.int32), []) for i in infos]
     todo: list[tuple[int, int, int]] = []  # stream, first sample, byte
     for d, i in enumerate(infos):
         whole = len(i["seek"]) and int(i["seek"]["size"].sum()) == i["samples"]
         todo += [(d, int(s["sample"]), i["at"] + int(s["offset"])) for s in i["seek"]] if whole else [(d, 0, i["at"])] * (i["samples"] > 0)
         i["whole"] = bool(whole)
     while todo:
-        heads = [read_header(streams[d], at, infos[d]["depth"], infos[d]["block"]) for d, _, at in todo]
-        size, head = np.array([h[0] for h in heads]), np.array([h[1] for h in heads])
-        start = np.array([base[d] + at for d, _, at in todo])
-        depth = np.array([infos[d]["depth"] for d, _, _ in todo])
-        x, stop = decode_frames(flat, start, size, head, depth)
+        group, todo = todo[: FRAMES["decode"]], todo[FRAMES["decode"] :]
+        heads = [read_header(streams[d], at) for d, _, at in group]
+        size, head, kind = (np.array([h[c] for h in heads]) for c in range(3))
+        start = np.array([base[d] + at for d, _, at in group])
+        depth = np.array([infos[d]["depth"] for d, _, _ in group])
+        x, stop = decode_frames(flat, start, size, head, depth, kind)
         crc = crc16(flat, start, stop - 2)
         if (crc != flat[stop - 2].astype(np.uint32) * 256 + flat[stop - 1]).any():
             raise ValueError("a frame's checksum is wrong")
-        later: list[tuple[int, int, int]] = []
-        for f, (d, sample, at) in enumerate(todo):
-            out[d][0][sample : sample + size[f]] = x[f, : size[f]]
+        for f, (d, sample, at) in enumerate(group):
+            out[d][0][sample : sample + size[f]] = x[f, : infos[d]["channels"], : size[f]].T
             out[d][1].append((sample, int(size[f])))
             if not infos[d]["whole"] and sample + size[f] < infos[d]["samples"]:
-                later.append((d, int(sample + size[f]), int(stop[f] - base[d])))
-        todo = later
+                todo.append((d, int(sample + size[f]), int(stop[f] - base[d])))
     for (x, _), i in zip(out, infos):
         wide = (i["depth"] + 7) // 8
         raw = x.astype(np.int8).tobytes() if wide == 1 else x.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :wide].tobytes()
         if i["md5"] != bytes(16) and hashlib.md5(raw).digest() != i["md5"]:
             raise ValueError("the samples' checksum is wrong")
-    return out
+    return [(x[:, 0] if x.shape[1] == 1 else x, blocks) for x, blocks in out]
+
+
+def decoded(streams: list[bytes]) -> list[tuple[np.ndarray, list[tuple[int, int]], str]]:
+    """``decode`` with "ok" for each stream, or no samples and what is wrong with a damaged one, which spoils no other."""
+    try:
+        return [(x, blocks, "ok") for x, blocks in decode(streams)]
+    except (ValueError, IndexError, OverflowError, RecursionError, MemoryError) as e:
+        if len(streams) == 1:
+            return [(np.zeros(0, np.int32), [], f"damaged: {e}")]
+        return [decoded([s])[0] for s in streams]
 
 
 def feature(samples: np.ndarray) -> str:
     """Length, peak, energy, zero crossings and a hash of the coarse loudness curve, all from whole numbers."""
-    peak, energy = int(np.abs(samples).max()), int((samples * samples).sum())
+    samples = samples.astype(np.int64)
+    peak, energy = int(np.abs(samples).max(initial=0)), int((samples * samples).sum())
     crossings = int(((samples[1:] >= 0) != (samples[:-1] >= 0)).sum())
     curve = np.abs(samples.reshape(-1, 64)).sum(1) if len(samples) % 64 == 0 else np.abs(samples)
     return f"n={len(samples)};peak={peak};energy={energy};zero={crossings};curve={zlib.crc32(curve.astype('<i8').tobytes()):08x}"
@@ -430,41 +484,55 @@ def media_column(docs: DataFrame) -> DataFrame:
 
 
 def pcm_blocks(media: DataFrame) -> DataFrame:
-    """doc_id, block, sample_offset, n_samples, pcm (samples as bytes, little-endian beyond 8 bits) of streams in ``media``; nulls give no blocks."""
+    """doc_id, block, sample_offset, n_samples, pcm, status of the streams in ``media``.
+
+    ``pcm`` has the samples as bytes, channels interleaved, little-endian beyond 8 bits. A damaged stream has one row
+    without a block whose status says what is wrong, sound ones have "ok"; null streams give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "media", DECODED):
-                rows = {k: [] for k in ("doc_id", "block", "sample_offset", "n_samples", "pcm")}
+                rows = {k: [] for k in ("doc_id", "block", "sample_offset", "n_samples", "pcm", "status")}
                 streams = part.column("media").to_pylist()
-                for doc, stream, (x, blocks) in zip(part.column("doc_id").to_pylist(), streams, decode(streams)):
-                    kind = "<i1" if parse_stream(stream)["depth"] <= 8 else "<i2" if parse_stream(stream)["depth"] <= 16 else "<i4"
+                for doc, stream, (x, blocks, status) in zip(part.column("doc_id").to_pylist(), streams, decoded(streams)):
+                    depth = parse_stream(stream)["depth"] if blocks else 8
+                    kind = "<i1" if depth <= 8 else "<i2" if depth <= 16 else "<i4"
                     for b, (at, n) in enumerate(sorted(blocks)):
-                        for key, v in zip(rows, (doc, b, at, n, x[at : at + n].astype(kind).tobytes())):
+                        for key, v in zip(rows, (doc, b, at, n, x[at : at + n].astype(kind).tobytes(), status)):
                             rows[key].append(v)
-                yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))})
+                    if status != "ok":
+                        for key, v in zip(rows, (doc, None, None, None, None, status)):
+                            rows[key].append(v)
+                yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.string()))})
 
-    return media.select("doc_id", "media").where("media is not null").mapInArrow(run, "doc_id long, block int, sample_offset long, n_samples int, pcm binary")
+    return media.select("doc_id", "media").where("media is not null").mapInArrow(run, "doc_id long, block int, sample_offset long, n_samples int, pcm binary, status string")
 
 
 def media_digests(media: DataFrame) -> DataFrame:
-    """What is read back from the stored streams: lengths, hashes, and a feature string of the decoded samples."""
+    """What is read back from the stored mono streams of 8 bits: lengths, hashes, a feature string of the decoded samples, and a status.
+
+    A damaged stream has its length, its hash and a status that says what is wrong, sound ones have "ok"; null streams
+    give no rows, an empty table neither.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "media", DECODED):
                 streams = part.column("media").to_pylist()
-                samples = [x for x, _ in decode(streams)]
-                back = [(x + 128).astype(np.uint8).tobytes() for x in samples]
+                found = decoded(streams)
+                back = [(x + 128).astype(np.uint8).tobytes() if status == "ok" else None for x, _, status in found]
+                each = lambda f: [None if b is None else f(b) for b in back]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"),
                     "n_bytes": part.column("n_bytes"),
-                    "payload_bytes": pa.array(map(len, back), pa.int64()),
-                    "payload_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in back]),
-                    "tail_crc32": pa.array([zlib.crc32(b[-64:]) for b in back], pa.int64()),
+                    "payload_bytes": pa.array(each(len), pa.int64()),
+                    "payload_sha256": pa.array(each(lambda b: hashlib.sha256(b).hexdigest()), pa.string()),
+                    "tail_crc32": pa.array(each(lambda b: zlib.crc32(b[-64:])), pa.int64()),
                     "media_bytes": pa.array(map(len, streams), pa.int64()),
                     "media_sha256": pa.array([hashlib.sha256(s).hexdigest() for s in streams]),
-                    "feature": pa.array(map(feature, samples)),
+                    "feature": pa.array([feature(x) if status == "ok" else None for x, _, status in found], pa.string()),
+                    "status": pa.array([status for _, _, status in found]),
                 })
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.where("media is not null").mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, status string")
