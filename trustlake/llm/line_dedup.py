@@ -21,9 +21,9 @@ LINE = ["id", "id2"]
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, salt, pos, line, id, id2 (two hashes of 64 bits that tell a line), n of the lines that are not blank; a null text has none."""
-    parts = F.posexplode(F.split(F.col("text").cast("string"), "\n"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("salt"), parts.alias("pos", "line"))
-    told = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    # The hash of a text is taken below the explode, or it would be taken again for each line.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("salt"), F.split(F.col("text").cast("string"), "\n").alias("parts"))
+    told = rows.select("doc_id", "salt", F.posexplode("parts").alias("pos", "line")).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     return told.select("*", F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("id2"), F.length("line").alias("n"))
 
 
@@ -49,10 +49,10 @@ def first_keys() -> list[tuple[str, str, str, bool]]:
 def with_partner(keyed: DataFrame) -> DataFrame:
     """The rows of ``keyed`` whose key another line has too, at least one of them as the base of a pair.
 
-    Hot keys collapse before the shuffle. What is shared is written, so that a join of it is planned by its size.
+    Hot keys collapse before the shuffle; the join is a merge at every size, whose hot keys Spark splits.
     """
     by = keyed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min("longer").alias("longer"))
-    return keyed.join(written(by.where("least <> most and not longer").select("key"), "shared-keys"), "key").drop("key")
+    return keyed.join(by.where("least <> most and not longer").select("key").hint("merge"), "key").drop("key")
 
 
 def duplicate_lines(docs: DataFrame, min_chars: int = 16) -> tuple[DataFrame, DataFrame]:
@@ -67,7 +67,7 @@ def duplicate_lines(docs: DataFrame, min_chars: int = 16) -> tuple[DataFrame, Da
     wanted = asked.select(*LINE).distinct().join(first.select(*LINE, "n", "place"), LINE)
     wanted = written(wanted, "wanted-lines")
     own = lines.where(F.col("n") >= min_chars).select(*LINE, "line", place().alias("at"))
-    texts = written(own.join(wanted, LINE).where("at <=> place").dropDuplicates(LINE).select(*LINE, "n", "place", "line"), "line-texts")
+    texts = written(own.join(wanted.hint("merge"), LINE).where("at <=> place").dropDuplicates(LINE).select(*LINE, "n", "place", "line"), "line-texts")
     longest = texts.agg(F.max("n")).first()[0] or 0
     width = longest // SEGMENTS + 1
     while width > FINE:
@@ -102,7 +102,7 @@ def lost_lines(docs: DataFrame, min_chars: int = 16) -> DataFrame:
     first, near = duplicate_lines(docs, min_chars)
     goes = first.join(near.withColumn("near", F.lit(True)), LINE, "left").where("near or copies > 1")
     goes = written(goes.select(*LINE, "place", F.coalesce("near", F.lit(False)).alias("near")), "going-lines")
-    gone = lines_of(docs).select("doc_id", "salt", "pos", *LINE).join(goes, LINE).where(F.col("near") | (F.col("place") < place()))
+    gone = lines_of(docs).select("doc_id", "salt", "pos", *LINE).join(goes.hint("merge"), LINE).where(F.col("near") | (F.col("place") < place()))
     return gone.groupBy("doc_id", "salt").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
