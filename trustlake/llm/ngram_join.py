@@ -207,7 +207,7 @@ def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("tid"), pa.array(small, pa.binary())], ["tid", "packed"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("tid"), text_or_empty().alias("text"))
-    first = rows.join(wanted.select("tid", "first"), "tid").where("doc_id <=> first").select("tid", "text")
+    first = rows.join(wanted.select("tid", "first").hint("merge"), "tid").where("doc_id <=> first").select("tid", "text")
     return first.mapInArrow(run, "tid binary, packed binary").dropDuplicates(["tid"])
 
 
@@ -217,7 +217,7 @@ def trie(signed: DataFrame, levels: int) -> DataFrame:
     several = roots.groupBy("node").agg(F.min("tid").alias("least"), F.max("tid").alias("most")).where("least <> most").select("node")
     cut = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.slice("keys", t * levels + 1, levels))
     each = signed.where(F.size("keys") > 0).select("tid", F.explode(cut).alias("path")).withColumn("node", F.element_at("path", 1))
-    return written(each.join(written(several, "nodes"), "node").select("tid", "path").distinct(), "trie")
+    return written(each.join(several.hint("merge"), "node").select("tid", "path").distinct(), "trie")
 
 
 def met(tries: DataFrame, at: int, levels: int) -> DataFrame:
@@ -227,7 +227,7 @@ def met(tries: DataFrame, at: int, levels: int) -> DataFrame:
     placed = tries.select("tid", node.alias("node"), below.alias("below"))
     nodes = placed.groupBy("node").agg(F.min("tid").alias("least"), F.min("below").alias("a"), F.max("below").alias("b")).where("a <> b")
     label = F.concat(F.unhex(F.lit(f"{levels - 1 - at:02x}")), "least")
-    return written(placed.join(nodes.select("node", label.alias("label")), "node").select("tid", "label").distinct(), "labels")
+    return written(placed.join(nodes.select("node", label.alias("label")).hint("merge"), "node").select("tid", "label").distinct(), "labels")
 
 
 def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.99999) -> tuple[DataFrame, DataFrame]:
@@ -245,7 +245,7 @@ def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float =
         sizes = sized.select("label", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
         wanted = written(own.select("tid").distinct().join(texts.select("tid", "first"), "tid"), "wanted-texts")
         labels = told.join(wanted.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.sort_array(F.collect_list("label")).alias("labels"))
-        each = packed_texts(docs, wanted).join(labels, "tid").join(own, "tid").join(sizes, "label")
+        each = packed_texts(docs, wanted).join(labels.hint("merge"), "tid").join(own.hint("merge"), "tid").join(sizes.hint("merge"), "label")
         each = each.withColumn("side", F.pmod(F.xxhash64("tid"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = each.select("label", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"), "side", "tid", "labels", "packed")
         new = written(verified(rows, n, Fraction(threshold).limit_denominator(1000), root), "links")
@@ -273,12 +273,13 @@ def similar_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, target:
     of links; it is null where none has one. Repeated rows stay; an empty table gives no rows; other columns are not
     read.
 
-    Candidate pairs are never listed: a node of a tree is told by its least text, texts that share such a label are
+    Joins are merges at every size, so a plan that fits a small corpus is the one that runs on a large one. Candidate
+    pairs are never listed: a node of a tree is told by its least text, texts that share such a label are
     compared in blocks of about twice ``BLOCK`` texts or ``BLOCK_BYTES`` bytes at most (a longer text stands with others
     of its block), and a block returns one row per text.
     """
     by_text, rows = classes(docs, n, threshold, target)
-    return rows.join(by_text, "tid").select("doc_id", "tid", "class_id", "n_links")
+    return rows.join(by_text.hint("merge"), "tid").select("doc_id", "tid", "class_id", "n_links")
 
 
 def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
