@@ -21,3 +21,23 @@ def test_drained_to_files(spark, tmp_path):
     assert (home / "checkpoint" / "offsets").is_dir()
     (tmp_path / "none").mkdir()
     assert streams.drained(spark.readStream.schema("id long").parquet(f"{tmp_path}/none")).count() == 0
+
+
+def test_pages_reconciling_and_gauges(spark, tmp_path):
+    from trustlake.operators.filters import EventFilter
+    from trustlake.schema import EVENTS
+    from trustlake.sources.stores import EventStore
+
+    rows = spark.createDataFrame([(f"e{i}", "x", i, 1, [], "", "") for i in range(8)], EVENTS)
+    rows.repartition(4).write.parquet(f"{tmp_path}/in")
+    gauges = streams.Gauges()
+    spark.streams.addListener(gauges)
+    try:
+        got = streams.drained(streams.replica_stream(spark, f"{tmp_path}/in", EVENTS, EventFilter(since=2, until=6)))
+        assert sorted(r["created_at"] for r in got.collect()) == [2, 3, 4, 5, 6]
+        assert streams.drained(streams.replica_stream(spark, f"{tmp_path}/in", EVENTS, EventFilter(limit=3))).count() == 3
+    finally:
+        spark.streams.removeListener(gauges)
+    store = EventStore(spark, f"file://{tmp_path}/events")
+    store.insert(rows.where("created_at < 3"), 100)
+    assert streams.reconciled(store, rows, 100) == 5 and streams.reconciled(store, rows, 100) == 0 and store.events().count() == 8

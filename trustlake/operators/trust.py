@@ -37,7 +37,7 @@ def rosters(edges: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def coverage(edges: DataFrame, scored: DataFrame, own_outbox: DataFrame, ledger: DataFrame) -> DataFrame:
-    """One row per observer: providers, roster and how much of it has an outbox, is synced, is unreached, is pending."""
+    """One row per observer: providers, roster and how much of it has an outbox, is synced (also as a fraction), is unreached, is pending."""
     listed = ledger.select(F.col("pubkey").alias("subject"), (F.col("content_synced_at") >= 1).alias("synced"), (F.col("outbox_checked_at") > 0).alias("checked"))
     own = own_outbox.select(F.col("author").alias("subject")).distinct().withColumn("own", F.lit(True))
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
@@ -48,7 +48,8 @@ def coverage(edges: DataFrame, scored: DataFrame, own_outbox: DataFrame, ledger:
     zero = F.lit(0).cast("long")
     out = providers.join(by, "observer", "left").na.fill(0)
     out = out.withColumn("pending", F.greatest(F.col("roster") - F.col("synced"), zero))
-    return out.withColumn("attempted", F.greatest(F.col("pending") - F.col("unreached"), zero))
+    out = out.withColumn("attempted", F.greatest(F.col("pending") - F.col("unreached"), zero))
+    return out.withColumn("fraction", F.when(F.col("roster") > 0, F.round(F.col("synced") / F.col("roster"), 6)).otherwise(0.0))
 
 
 def reputation(edges: DataFrame, scored: DataFrame) -> DataFrame:

@@ -118,4 +118,11 @@ SELECT o_orderkey, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || (s % 3600 // 6
     "log_line_classes": "SELECT ['phase', 'gauge', 'failure', 'warning', 'done', 'progress', 'tag', 'note', 'failure', 'tag'][o_orderkey % 10 + 1] AS what, count(*) AS n FROM orders GROUP BY 1",
     "status_lines": f"""SELECT o_orderkey, '  ~ relays ' || (o_orderkey % 10) || '/10 | recv ' || {COMPACT.format("(o_orderkey * 100)")} || CASE WHEN o_orderkey % 2 = 1 THEN ' (1.5k/s)' ELSE '' END || ' new ' || {COMPACT.format("(o_orderkey * 10)")} ||
   CASE WHEN o_orderkey % 60 = 0 THEN '' ELSE printf(' | vrf %.1fx wait %.1fx ins %d%%', o_orderkey % 3 / 2, o_orderkey % 5 / 2, o_orderkey % 4 * 25) END AS line FROM orders""",
+    "capability_counts": "SELECT count(*) FILTER (s_nationkey % 3 = 1) AS can, count(*) FILTER (s_nationkey % 3 = 2) AS cannot, count(*) FILTER (s_nationkey % 3 = 0) AS unknown FROM supplier",
+    "ledger_counts": f"WITH {LEDGER} SELECT count(*) AS n, count(*) FILTER (content_synced_at > 0) AS synced, count(*) FILTER (outbox_checked_at > 0) AS checked FROM ledger",
+    "verified_ids": "SELECT 'order ' || o_orderpriority AS content, count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1",
+    "stream_streaks": """WITH e AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad, lag(ts) OVER w AS before, lag(event_type) OVER w = 'error' AS was FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(CASE WHEN bad AND was AND ts - before <= INTERVAL 3 DAY THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM e),
+l AS (SELECT user_id, island, bad FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT l.user_id, CASE WHEN l.bad THEN count(*) ELSE 0 END AS errors, l.bad AND count(*) >= 2 AS dead FROM l JOIN s USING (user_id, island) GROUP BY l.user_id, l.bad""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trustlake.functions import columns as C
+from trustlake.functions import verify
 from trustlake.operators import discovery, search, state, store, trust
 from trustlake.plans.queries import query
 from trustlake.schema import NOTE, SCORE
@@ -395,3 +396,24 @@ def status_lines(spark, d):
     n = F.col("o_orderkey").cast("long")
     busy = C.busy_gauge(n % 3 / 2.0, n % 5 / 2.0, n % 4 * 0.25)
     return table(spark, d, "orders").select("o_orderkey", C.status_line(F.lit("relays"), n % 10, F.lit(10), n * 100, n % 2 * 1500, n * 10, busy).alias("line"))
+
+
+@query
+def capability_counts(spark, d):
+    """How many relays can reconcile, cannot, and are not known to."""
+    known = table(spark, d, "supplier").select(F.when(F.col("s_nationkey") % 3 > 0, F.col("s_nationkey") % 3 == 1).alias("capable"))
+    return known.agg(F.count_if("capable").alias("can"), F.count_if(~F.col("capable")).alias("cannot"), F.count_if(F.col("capable").isNull()).alias("unknown"))
+
+
+@query
+def ledger_counts(spark, d):
+    return S.ledger(spark, d).agg(F.count("*").alias("n"), F.count_if(F.col("content_synced_at") > 0).alias("synced"), F.count_if(F.col("outbox_checked_at") > 0).alias("checked"))
+
+
+@query
+def verified_ids(spark, d):
+    """Events whose id is the hash of what they say; every third has another one's."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("created_at"), F.sha2(F.col("o_custkey").cast("string"), 256).alias("pubkey"), F.concat(F.lit("order "), F.col("o_orderpriority")).alias("content"))
+    said = F.concat(F.lit('[0,"'), "pubkey", F.lit('",'), F.col("created_at") - (F.col("created_at") % 3 == 0).cast("int"), F.lit(',1,[],"'), "content", F.lit('"]'))
+    e = o.select(F.sha2(said, 256).alias("id"), "pubkey", "created_at", F.lit(1).alias("kind"), F.array().cast("array<array<string>>").alias("tags"), "content", F.lit("").alias("sig"))
+    return verify.only_verified(e, signed=False).groupBy("content").agg(F.count("*").alias("n"))

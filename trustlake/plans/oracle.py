@@ -30,7 +30,7 @@ ORACLE = {
     "scores_per_observer": f"WITH {EDGES}, c AS (SELECT observer, (SELECT count(*) FROM lineitem WHERE l_suppkey IN (SELECT service FROM edges f WHERE f.observer = e.observer)) AS n FROM (SELECT DISTINCT observer FROM edges) e) SELECT * FROM c WHERE n > 0 OR observer = 0",
     "observer_names": f"WITH {EDGES}, n AS (SELECT n_nationkey AS observer, coalesce(CASE WHEN n_regionkey = 1 THEN '  ' WHEN n_regionkey <> 2 THEN n_name END, CASE WHEN n_regionkey IN (1, 2) THEN CASE WHEN n_regionkey = 2 THEN 'shown ' ELSE '' END || n_name END) AS name FROM nation WHERE n_nationkey % 7 <> 0) SELECT DISTINCT observer, CASE WHEN trim(name) <> '' THEN name ELSE '(no profile)' END AS name FROM edges LEFT JOIN n USING (observer)",
     "observer_roster": f"WITH {EDGES} SELECT DISTINCT observer, l_partkey AS subject FROM edges JOIN lineitem ON service = l_suppkey",
-    "observer_coverage": f"WITH {EDGES}, {LEDGER}, r AS (SELECT DISTINCT observer, l_partkey AS subject FROM edges JOIN lineitem ON service = l_suppkey), f AS (SELECT observer, count(*) AS roster, count(*) FILTER (subject IN (SELECT c_custkey FROM customer)) AS with_own_outbox, count(*) FILTER (content_synced_at >= 1) AS synced, count(*) FILTER (coalesce(content_synced_at, 0) < 1 AND coalesce(outbox_checked_at, 0) = 0) AS unreached FROM r LEFT JOIN ledger ON subject = pubkey GROUP BY 1), p AS (SELECT observer, count(DISTINCT service) AS providers FROM edges GROUP BY 1) SELECT p.observer, providers, coalesce(roster, 0) AS roster, coalesce(with_own_outbox, 0) AS with_own_outbox, coalesce(synced, 0) AS synced, coalesce(unreached, 0) AS unreached, greatest(coalesce(roster - synced, 0), 0) AS pending, greatest(greatest(coalesce(roster - synced, 0), 0) - coalesce(unreached, 0), 0) AS attempted FROM p LEFT JOIN f USING (observer)",
+    "observer_coverage": f"WITH {EDGES}, {LEDGER}, r AS (SELECT DISTINCT observer, l_partkey AS subject FROM edges JOIN lineitem ON service = l_suppkey), f AS (SELECT observer, count(*) AS roster, count(*) FILTER (subject IN (SELECT c_custkey FROM customer)) AS with_own_outbox, count(*) FILTER (content_synced_at >= 1) AS synced, count(*) FILTER (coalesce(content_synced_at, 0) < 1 AND coalesce(outbox_checked_at, 0) = 0) AS unreached FROM r LEFT JOIN ledger ON subject = pubkey GROUP BY 1), p AS (SELECT observer, count(DISTINCT service) AS providers FROM edges GROUP BY 1) SELECT p.observer, providers, coalesce(roster, 0) AS roster, coalesce(with_own_outbox, 0) AS with_own_outbox, coalesce(synced, 0) AS synced, coalesce(unreached, 0) AS unreached, greatest(coalesce(roster - synced, 0), 0) AS pending, greatest(greatest(coalesce(roster - synced, 0), 0) - coalesce(unreached, 0), 0) AS attempted, CASE WHEN roster > 0 THEN round(synced / roster, 6) ELSE 0.0 END AS fraction FROM p LEFT JOIN f USING (observer)",
     "stale_ids_absence_delete": "SELECT service, count(*) AS n FROM (SELECT l_suppkey AS service, max(l_quantity) AS best FROM lineitem GROUP BY l_orderkey, l_linenumber, l_suppkey, l_partkey) WHERE best <= 5 GROUP BY 1",
     "need_have_diff": "SELECT CASE WHEN o_orderstatus = 'P' THEN 'need' ELSE 'have' END AS side, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders WHERE (o_orderstatus <> 'P') <> (o_orderpriority <> '5-LOW') GROUP BY 1",
     "missing_identity": "WITH r AS (SELECT o_custkey AS author FROM orders UNION SELECT c_custkey FROM customer) SELECT author, 'profile' AS missing FROM r WHERE author NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT author, 'relay list' FROM r WHERE author NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",

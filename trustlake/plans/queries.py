@@ -443,3 +443,8 @@ def stream_tumbling_counts(spark, d):
 @query
 def stream_ttl_dead(spark, d):
     return streams.drained(streams.timeouts(streams.event_stream(spark, d)))
+
+
+@query
+def stream_streaks(spark, d):
+    return streams.drained(streams.streaks(streams.event_stream(spark, d), dead_after=2, ttl=3 * 86400.0))

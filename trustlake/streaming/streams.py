@@ -7,8 +7,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from trustlake.operators.filters import EventFilter
+from trustlake.operators.store import need_have
 from trustlake.sources.stores import EventStore
 from trustlake.sources.tables import shared_home
 
@@ -19,6 +22,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def replica_stream(spark: SparkSession, path: str, schema, keep: EventFilter, columns: dict[str, str] | None = None, files: int = 1) -> DataFrame:
+    """A replica's files as pages of a stream, ``files`` at a time, under a filter; its limit, if it has one, ends the download."""
+    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path).where(keep.predicate(columns))
+    return pages.limit(keep.limit) if keep.limit > 0 else pages
+
+
 def deduplicated(stream: DataFrame, slack: str = "1 hour") -> DataFrame:
     """Each id once, late events up to the slack that cursors also leave."""
     return stream.withWatermark("ts", slack).dropDuplicatesWithinWatermark(["event_id"])
@@ -40,6 +49,41 @@ def timeouts(stream: DataFrame, dead_after: int = 3) -> DataFrame:
     return stream.groupBy("user_id").applyInPandasWithState(count, "user_id long, errors long, dead boolean", "n long", "append", GroupStateTimeout.NoTimeout)
 
 
+def streaks(stream: DataFrame, dead_after: int = 3, ttl: float = 6 * 3600.0) -> DataFrame:
+    """user_id, errors, dead: errors in a row of each key, in event time. Anything else ends a row of errors, and so does a pause beyond ``ttl`` seconds."""
+
+    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, last = state.get if state.exists else (0, 0.0)
+        rows = pd.concat([b[["ts", "event_id", "event_type"]] for b in batches]).sort_values(["ts", "event_id"])
+        for at, kind in zip(rows["ts"].map(lambda t: t.timestamp()), rows["event_type"]):
+            n, last = ((n if n and at - last <= ttl else 0) + 1, at) if kind == "error" else (0, at)
+        state.update((n, last))
+        yield pd.DataFrame({"user_id": [key[0]], "errors": [n], "dead": [n >= dead_after]})
+
+    return stream.groupBy("user_id").applyInPandasWithState(count, "user_id long, errors long, dead boolean", "n long, last double", "append", GroupStateTimeout.NoTimeout)
+
+
+class Gauges(StreamingQueryListener):
+    """Totals of all queries of a session as they go on: batches, rows received, milliseconds of work. Added with ``spark.streams.addListener``."""
+
+    def __init__(self):
+        self.totals = {"batches": 0, "received": 0, "busy_ms": 0}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.totals["batches"] += 1
+        self.totals["received"] += event.progress.numInputRows
+        self.totals["busy_ms"] += event.progress.batchDuration
+
+
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """All that a stream gives now, as a table below ``spark.checkpoint.dir``, where its checkpoint and state stand too."""
     spark = stream.sparkSession
@@ -81,6 +125,12 @@ def into_store(stream: DataFrame, store: EventStore, home: str, now: int, verifi
     return totals
 
 
+def reconciled(store: EventStore, replica: DataFrame, now: int, verified=None) -> int:
+    """The periodic half beside a live stream: stores what a replica has and the store lacks, and returns how many rows those are."""
+    lacking = need_have(store.events().select("id"), replica.select("id")).where("side = 'need'").select("id")
+    return store.insert(replica.join(lacking, "id", "left_semi"), now, verified)
+
+
 def enrolled_only(stream: DataFrame, spark: SparkSession, enrolment: str) -> DataFrame:
     """The stream's events of enrolled authors. The enrolment table (pubkey) at this path is read anew for each batch, so who enrols meanwhile takes part from the next one on."""
     return stream.join(spark.read.schema("pubkey string").parquet(enrolment), "pubkey", "left_semi")
