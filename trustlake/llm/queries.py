@@ -91,6 +91,15 @@ marked AS (
 SELECT d.doc_id, count(m.n) AS n_lines, CAST(coalesce(sum(CAST(m.gone AS BIGINT)), 0) AS BIGINT) AS n_removed,
        CAST(coalesce(sum(CASE WHEN m.gone THEN m.n ELSE 0 END), 0) AS BIGINT) AS chars_removed
 FROM docs d LEFT JOIN marked m USING (rid) GROUP BY d.rid, d.doc_id""",
+    "op5_suffix_dedup": r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes FROM documents),
+placed AS (SELECT rid, len(bytes) AS n, unnest(bytes) AS byte, generate_subscripts(bytes, 1) AS pos FROM docs),
+windows AS (SELECT rid, byte, pos, CASE WHEN pos + 199 <= n THEN md5(string_agg(byte, '') OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 199 FOLLOWING)) END AS w FROM placed),
+told AS (SELECT rid, byte, pos, w IS NOT NULL AND count(*) OVER (PARTITION BY w) > 1 AS again FROM windows),
+covered AS (SELECT rid, byte, pos, bool_or(again) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone FROM told),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY pos), false) AS starts FROM covered),
+kept AS (SELECT rid, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans, string_agg(byte, '' ORDER BY pos) FILTER (NOT gone) AS kept FROM runs GROUP BY 1)
+SELECT doc_id, CAST(len(bytes) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM docs LEFT JOIN kept USING (rid)""",
     "op6_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -114,4 +123,25 @@ planned AS (
 SELECT doc_id, size, source_size, target,
        CAST(whole * size + least(size, greatest(0, CAST(floor(target) AS BIGINT) - whole * source_size - ahead)) AS BIGINT) AS taken
 FROM planned""",
+    "op7_substring_dedup": r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+placed AS (SELECT rid, doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM docs),
+windows AS (SELECT *, CASE WHEN pos + 12 <= n THEN string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) END AS window13 FROM placed),
+told AS (SELECT *, window13 IS NOT NULL AND min(doc_id) OVER (PARTITION BY window13) < doc_id AS copied FROM windows),
+covered AS (SELECT *, bool_or(copied) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM told),
+kept AS (SELECT rid, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM covered GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (rid)""",
+    "op9_ngram_join": r"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS tid, text, min(doc_id) AS first FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) GROUP BY text),
+listed AS (SELECT tid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts),
+placed AS (SELECT tid, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM listed),
+grams AS (SELECT tid, n, pos, string_agg(word, ' ') OVER (PARTITION BY tid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS gram FROM placed),
+shingles AS (SELECT DISTINCT tid, gram FROM grams WHERE pos + 4 <= n OR (n < 5 AND pos = 1)),
+sizes AS (SELECT tid, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT a.tid AS x, b.tid AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.gram = b.gram AND a.tid < b.tid GROUP BY 1, 2),
+pairs AS (SELECT x, y FROM common JOIN sizes p ON p.tid = x JOIN sizes q ON q.tid = y WHERE 5 * c >= 4 * (p.n + q.n - c)),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reached AS (SELECT tid, tid AS other FROM texts UNION SELECT r.tid, l.y FROM reached r JOIN links l ON l.x = r.other),
+classes AS (SELECT r.tid, min(t.first) AS class_id FROM reached r JOIN texts t ON t.tid = r.other GROUP BY 1)
+SELECT d.doc_id, class_id, (SELECT count(*) FROM links WHERE x = t.tid) AS n_links FROM documents d JOIN texts t ON t.text = coalesce(d.text, '') JOIN classes c ON c.tid = t.tid""",
 }
