@@ -137,7 +137,15 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(flat: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    return span_hash(running(BYTE_VALUE[flat]), s, e)
+    """Hashes of the words at [s, e), taken over about ``PIECE_BYTES`` at a time."""
+    out = np.empty(len(s), np.uint64)
+    a = 0
+    while a < len(s):
+        b = max(a + 1, int(np.searchsorted(e, s[a] + PIECE_BYTES, "right")))
+        part = flat[s[a] : e[b - 1]]
+        out[a:b] = span_hash(running(BYTE_VALUE[part]), s[a:b] - s[a], e[a:b] - s[a])
+        a = b
+    return out
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, by: str, most: int = STRING_BYTES) -> DataFrame:

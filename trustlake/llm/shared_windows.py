@@ -4,8 +4,9 @@ Every window is owned by one of its k-grams, the one with the least hash, so equ
 at equal offsets. Rows are therefore exchanged per owning k-gram, about two for each window length, and not per window.
 A k-gram that stands alone needs no look. Where the whole stretch that a k-gram owns is the same elsewhere, all its
 windows are shared. Only stretches that differ while their k-grams agree are fetched, gathered by k-gram, and handed
-to the operator's own comparison. A k-gram with very many stretches is split by offset and by the hash of the core
-that all windows of a range of offsets have in common.
+to the operator's own comparison. The k-grams with very many stretches are counted first: equal stretches of theirs
+collapse before the shuffle, and what is compared is split by offset and by the hash of the core that all windows of a
+range of offsets have in common.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from trustlake.llm.common import BYTE_VALUE, joined_bytes, mix, running, slices,
 POSITION = np.uint64((1 << 34) - 1)
 #: Bytes of text that are hashed at a time.
 PIECE = 1 << 20
+#: Symbols of a text of its own that are taken at a time.
+LONG = 2 << 20
 #: Stretches of one k-gram from which it is split, and the offsets in a range of the split at most.
 HOT, RANGE = 5_000, 16
 #: Rows that are compared at a time; a k-gram's rows stay together.
@@ -94,10 +97,29 @@ def owners(values: np.ndarray, offsets: np.ndarray, w: Windows) -> dict[str, np.
     return {"text": text, "start": starts - offsets[text], "windows": stops - starts - w.n + 1, "owner": own - starts, "gram": grams[own].view(np.int64), "stretch": stretch.view(np.int64)}
 
 
+def stretches_of(flat: np.ndarray, offsets: np.ndarray, w: Windows) -> Iterator[dict[str, np.ndarray]]:
+    """``owners`` of texts; of one long text piece by piece, each with the symbols of its last windows.
+
+    A stretch that two pieces cut in two has the same owner in both, so its windows still meet their equals.
+    """
+    if len(offsets) > 2 or len(flat) <= LONG:
+        values, ends, _ = symbols_of(flat, offsets, w.unit)
+        yield owners(values, ends, w)
+        return
+    words = word_hashes(flat, *word_spans(flat, offsets)[:2]) if w.unit == "words" else None
+    count = len(flat) if words is None else len(words)
+    for a in range(0, max(count - w.n + 1, 0), LONG):
+        b = min(count, a + LONG + w.n - 1)
+        values = BYTE_VALUE[flat[a:b]] if words is None else words[a:b]
+        o = owners(values, np.array([0, b - a]), w)
+        o["start"] += a
+        yield o
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, doc (null last), salt (tells rows of one doc_id apart by their text) and text."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), F.hash(text_or_empty()).alias("salt"), text_or_empty().alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), F.xxhash64(text_or_empty()).alias("salt"), text_or_empty().alias("text"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -110,7 +132,7 @@ def packed(docs: DataFrame) -> DataFrame:
                 small = [z.compress(t.as_buffer()) if t.is_valid else b"" for t in part.column("text").cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("doc"), part.column("salt"), pa.array(small, pa.binary())], ["doc_id", "doc", "salt", "packed"])
 
-    return identified(docs).mapInArrow(run, "doc_id long, doc long, salt int, packed binary")
+    return identified(docs).mapInArrow(run, "doc_id long, doc long, salt long, packed binary")
 
 
 def unpacked(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -125,16 +147,14 @@ def stretches(docs: DataFrame, w: Windows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", PIECE):
-                flat, off = joined_bytes(part.column("text"))
-                values, offsets, _ = symbols_of(flat, off, w.unit)
-                o = owners(values, offsets, w)
-                rows = pa.array(o["text"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(o["gram"]), pa.array(o["stretch"]), part.column("doc").take(rows), part.column("salt").take(rows), *(pa.array(o[c].astype(np.int32)) for c in ("start", "windows", "owner"))],
-                    ["gram", "stretch", "doc", "salt", "start", "windows", "owner"],
-                )
+                for o in stretches_of(*joined_bytes(part.column("text")), w):
+                    rows = pa.array(o["text"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(o["gram"]), pa.array(o["stretch"]), part.column("doc").take(rows), part.column("salt").take(rows), *(pa.array(o[c].astype(np.int32)) for c in ("start", "windows", "owner"))],
+                        ["gram", "stretch", "doc", "salt", "start", "windows", "owner"],
+                    )
 
-    return identified(docs).select("doc", "salt", "text").mapInArrow(run, "gram long, stretch long, doc long, salt int, start int, windows int, owner int")
+    return identified(docs).select("doc", "salt", "text").mapInArrow(run, "gram long, stretch long, doc long, salt long, start int, windows int, owner int")
 
 
 def cut_out(rows: DataFrame, docs: DataFrame, w: Windows) -> DataFrame:
@@ -149,9 +169,10 @@ def cut_out(rows: DataFrame, docs: DataFrame, w: Windows) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "packed", PIECE // 2):
-                flat, off = unpacked(part)
-                values, offsets, spans = symbols_of(flat, off, w.unit)
-                sums = running(values)
+                flat, offsets = unpacked(part)
+                values = None
+                if w.unit == "words":
+                    values, offsets, _ = symbols_of(flat, offsets, w.unit)
                 lists = part.column("items")
                 text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
                 flat_items = lists.flatten()
@@ -160,6 +181,7 @@ def cut_out(rows: DataFrame, docs: DataFrame, w: Windows) -> DataFrame:
                 stop = a + windows
                 key = gram.copy()
                 if hot.any():
+                    sums = running(BYTE_VALUE[flat] if values is None else values)
                     rest = ~hot
                     parts = [(text[rest], a[rest], stop[rest], key[rest], wanted[rest])]
                     h = np.flatnonzero(hot)
@@ -185,7 +207,7 @@ def cut_out(rows: DataFrame, docs: DataFrame, w: Windows) -> DataFrame:
                     ["key", "doc", "salt", "start", "windows", "wanted", "symbols"],
                 )
 
-    return listed.select("doc", "salt", "items", "packed").mapInArrow(run, "key long, doc long, salt int, start int, windows int, wanted boolean, symbols binary")
+    return listed.select("doc", "salt", "items", "packed").mapInArrow(run, "key long, doc long, salt long, start int, windows int, wanted boolean, symbols binary")
 
 
 def compared(rows: DataFrame, w: Windows, compare: Callable[[Stretch], list[tuple[int, int, int]]]) -> DataFrame:
@@ -197,7 +219,7 @@ def compared(rows: DataFrame, w: Windows, compare: Callable[[Stretch], list[tupl
         row, first, count = (np.array(x, np.int64) for x in (zip(*found) if found else ((), (), ())))
         start = column("start")[row] + first
         return pa.RecordBatch.from_arrays(
-            [pa.array(column("doc")[row], pa.int64()), pa.array(column("salt")[row], pa.int32()), pa.array(start.astype(np.int32)), pa.array((start + count + w.n - 1).astype(np.int32))],
+            [pa.array(column("doc")[row], pa.int64()), pa.array(column("salt")[row], pa.int64()), pa.array(start.astype(np.int32)), pa.array((start + count + w.n - 1).astype(np.int32))],
             ["doc", "salt", "start", "stop"],
         )
 
@@ -220,7 +242,46 @@ def compared(rows: DataFrame, w: Windows, compare: Callable[[Stretch], list[tupl
             yield some(pa.Table.from_batches(held))
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key").sortWithinPartitions("key", "doc").mapInArrow(run, "doc long, salt int, start int, stop int")
+    return rows.repartition(n, "key").sortWithinPartitions("key", "doc").mapInArrow(run, "doc long, salt long, start int, stop int")
+
+
+def hot_classes(placed: DataFrame) -> DataFrame:
+    """gram, stretch, alike, first, mixed: the different stretches of the k-grams with very many, how often each stands, where first, and whether its k-gram has others.
+
+    Equal stretches are counted before the shuffle, so no k-gram's rows meet in one task.
+    """
+    hot = written(placed.groupBy("gram").agg(F.count("*").alias("rows")).where(F.col("rows") > HOT).select("gram"), "hot-grams")
+    # The rows of other k-grams fall into one group without a name, which is left out when the classes are read.
+    told = placed.join(hot.withColumn("hot", F.lit(True)), "gram", "left")
+    named = [F.when(F.col("hot"), F.col(c)).alias(c) for c in ("gram", "stretch")]
+    many = told.groupBy(*named).agg(F.count("*").alias("alike"), F.min(F.struct("doc", "salt", "start")).alias("first"))
+    many = written(many, "classes").where("gram is not null")
+    mixed = many.groupBy("gram").agg((F.min("stretch") != F.max("stretch")).alias("mixed"))
+    return written(many.join(mixed, "gram"), "hot-classes")
+
+
+def marked(placed: DataFrame, earlier: bool) -> DataFrame:
+    """``placed`` with whole (the stretch as a whole is shared), told (it is compared), wanted (the comparison's result for it is used), hot.
+
+    The rows of a k-gram with few stretches meet in a window; those of a hot one are told by the counts of its stretches.
+    """
+    classes = hot_classes(placed).withColumnRenamed("alike", "counted").withColumnRenamed("mixed", "parted")
+    rows = placed.join(classes, ["gram", "stretch"], "left").withColumn("hot", F.col("counted").isNotNull())
+    place = F.struct("doc", "salt", "start")
+    rows = rows.withColumn("spread", F.when(F.col("hot"), F.xxhash64("doc", "salt", "start")).otherwise(F.col("gram")))
+    group, both = Window.partitionBy("spread"), Window.partitionBy("spread", "stretch")
+    rows = rows.withColumn("low", F.min("stretch").over(group)).withColumn("high", F.max("stretch").over(group)).withColumn("rows", F.count("*").over(group))
+    # a k-gram that stands alone is neither shared nor compared
+    rows = rows.where("hot or rows > 1")
+    mixed = F.when(F.col("hot"), F.col("parted")).otherwise(F.col("low") != F.col("high"))
+    if earlier:
+        rows = rows.withColumn("least", F.min("doc").over(both))
+        whole = F.when(F.col("hot"), F.col("first.doc")).otherwise(F.col("least")) < F.col("doc")
+        return rows.withColumn("whole", whole).withColumn("told", mixed & ~F.col("whole")).withColumn("wanted", F.lit(True))
+    rows = rows.withColumn("alike", F.count("*").over(both)).withColumn("nth", F.row_number().over(both.orderBy("doc", "salt", "start")))
+    whole = F.when(F.col("hot"), F.col("counted")).otherwise(F.col("alike")) > 1
+    leads = F.when(F.col("hot"), F.col("first") == place).otherwise(F.col("nth") == 1)
+    return rows.withColumn("whole", whole).withColumn("told", mixed & leads).withColumn("wanted", ~F.col("whole"))
 
 
 def shared_spans(docs: DataFrame, w: Windows, compare: Callable[[Stretch], list[tuple[int, int, int]]], earlier: bool) -> DataFrame:
@@ -229,18 +290,8 @@ def shared_spans(docs: DataFrame, w: Windows, compare: Callable[[Stretch], list[
     With ``earlier`` a window counts if it starts in a document with a smaller doc_id also, else if it starts anywhere
     else also.
     """
-    gram, both = Window.partitionBy("gram"), Window.partitionBy("gram", "stretch")
-    placed = stretches(docs, w)
-    placed = placed.withColumn("low", F.min("stretch").over(gram)).withColumn("high", F.max("stretch").over(gram)).withColumn("rows", F.count("*").over(gram))
-    placed = placed.withColumn("mixed", F.col("low") != F.col("high"))
-    if earlier:
-        first = F.min("doc").over(both)
-        placed = placed.withColumn("whole", first < F.col("doc")).withColumn("told", F.col("mixed") & ~F.col("whole")).withColumn("wanted", F.lit(True))
-    else:
-        placed = placed.where("mixed or rows > 1").withColumn("alike", F.count("*").over(both)).withColumn("nth", F.row_number().over(both.orderBy("doc", "salt", "start")))
-        placed = placed.withColumn("whole", F.col("alike") > 1).withColumn("told", F.col("mixed") & (F.col("nth") == 1)).withColumn("wanted", ~F.col("whole"))
-    kept = placed.where("whole or told").select("gram", "doc", "salt", "start", "windows", "owner", "whole", "told", "wanted", (F.col("rows") > HOT).alias("hot"))
-    kept = written(kept, "stretches")
+    columns = ["gram", "doc", "salt", "start", "windows", "owner", "whole", "told", "wanted", "hot"]
+    kept = written(marked(stretches(docs, w), earlier).where("whole or told").select(*columns), "stretches")
     whole = kept.where("whole").select("doc", "salt", "start", (F.col("start") + F.col("windows") + (w.n - 1)).alias("stop"))
     told = kept.where("told").select("gram", "doc", "salt", "start", "windows", "owner", "wanted", "hot")
     spans = whole.union(compared(cut_out(told, docs, w), w, compare))
@@ -259,7 +310,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, w: Windows) -> DataFrame:
                 if w.unit == "words":
                     s, e, counts = word_spans(flat, off)
                     edges = np.concatenate([[0], np.cumsum(counts)])
-                change = np.zeros(int(edges[-1]) + 1, np.int64)
+                change = np.zeros(int(edges[-1]) + 1, np.int32)
                 lists = part.column("spans").fill_null([])
                 base = np.repeat(edges[:-1], np.diff(lists.offsets.to_numpy()))
                 items = lists.flatten()
