@@ -28,8 +28,8 @@ POSITION = np.uint64((1 << 34) - 1)
 PIECE = 1 << 20
 #: Symbols of a text of its own that are taken at a time.
 LONG = 2 << 20
-#: Stretches of one k-gram from which it is split, and the offsets in a range of the split at most.
-HOT, RANGE = 5_000, 16
+#: Stretches beyond four times the mean from which a bucket of k-grams is hot, the buckets, and the offsets in a range of a hot k-gram's split at most.
+HOT, BUCKETS, RANGE = 5_000, 1 << 16, 16
 #: Rows that are compared at a time; a k-gram's rows stay together.
 TOGETHER = 3_000
 
@@ -250,9 +250,13 @@ def hot_classes(placed: DataFrame) -> DataFrame:
 
     Equal stretches are counted before the shuffle, so no k-gram's rows meet in one task.
     """
-    hot = written(placed.groupBy("gram").agg(F.count("*").alias("rows")).where(F.col("rows") > HOT).select("gram"), "hot-grams")
+    # k-grams are counted by bucket, which takes a bounded shuffle; a bucket far above the mean holds a hot one.
+    bucket = F.pmod("gram", F.lit(BUCKETS)).cast("int")
+    counts = written(placed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows")), "gram-buckets")
+    mean = counts.agg(F.sum("rows").alias("rows")).select((F.coalesce("rows", F.lit(0)) / BUCKETS).alias("mean")).first()["mean"]
+    hot = counts.where(F.col("rows") > HOT + 4 * mean).select("bucket")
     # The rows of other k-grams fall into one group without a name, which is left out when the classes are read.
-    told = placed.join(hot.withColumn("hot", F.lit(True)), "gram", "left")
+    told = placed.withColumn("bucket", bucket).join(hot.withColumn("hot", F.lit(True)), "bucket", "left")
     named = [F.when(F.col("hot"), F.col(c)).alias(c) for c in ("gram", "stretch")]
     many = told.groupBy(*named).agg(F.count("*").alias("alike"), F.min(F.struct("doc", "salt", "start")).alias("first"))
     many = written(many, "classes").where("gram is not null")
