@@ -4,9 +4,8 @@ Every window is owned by one of its k-grams, the one with the least hash, so equ
 at equal offsets. Rows are therefore exchanged per owning k-gram, about two for each window length, and not per window.
 A k-gram that stands alone needs no look. Where the whole stretch that a k-gram owns is the same elsewhere, all its
 windows are shared. Only stretches that differ while their k-grams agree are fetched, gathered by k-gram, and handed
-to the operator's own comparison. The k-grams with very many stretches are counted first: equal stretches of theirs
-collapse before the shuffle, and what is compared is split by offset and by the hash of the core that all windows of a
-range of offsets have in common.
+to the operator's own comparison. What is compared of a k-gram with very many stretches is split by offset and by the
+hash of the core that all windows of a range of offsets have in common.
 """
 
 from __future__ import annotations
@@ -28,8 +27,8 @@ POSITION = np.uint64((1 << 34) - 1)
 PIECE = 1 << 20
 #: Symbols of a text of its own that are taken at a time.
 LONG = 2 << 20
-#: Stretches beyond four times the mean from which a bucket of k-grams is hot, the buckets, and the offsets in a range of a hot k-gram's split at most.
-HOT, BUCKETS, RANGE = 5_000, 1 << 16, 16
+#: Stretches of one k-gram from which it is split, and the offsets in a range of the split at most.
+HOT, RANGE = 5_000, 16
 #: Rows that are compared at a time; a k-gram's rows stay together.
 TOGETHER = 3_000
 
@@ -245,47 +244,16 @@ def compared(rows: DataFrame, w: Windows, compare: Callable[[Stretch], list[tupl
     return rows.repartition(n, "key").sortWithinPartitions("key", "doc").mapInArrow(run, "doc long, salt long, start int, stop int")
 
 
-def hot_classes(placed: DataFrame) -> DataFrame:
-    """gram, stretch, alike, first, mixed: the different stretches of the k-grams with very many, how often each stands, where first, and whether its k-gram has others.
-
-    Equal stretches are counted before the shuffle, so no k-gram's rows meet in one task.
-    """
-    # k-grams are counted by bucket, which takes a bounded shuffle; a bucket far above the mean holds a hot one.
-    bucket = F.pmod("gram", F.lit(BUCKETS)).cast("int")
-    counts = written(placed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows")), "gram-buckets")
-    mean = counts.agg(F.sum("rows").alias("rows")).select((F.coalesce("rows", F.lit(0)) / BUCKETS).alias("mean")).first()["mean"]
-    hot = counts.where(F.col("rows") > HOT + 4 * mean).select("bucket")
-    # The rows of other k-grams fall into one group without a name, which is left out when the classes are read.
-    told = placed.withColumn("bucket", bucket).join(hot.withColumn("hot", F.lit(True)), "bucket", "left")
-    named = [F.when(F.col("hot"), F.col(c)).alias(c) for c in ("gram", "stretch")]
-    many = told.groupBy(*named).agg(F.count("*").alias("alike"), F.min(F.struct("doc", "salt", "start")).alias("first"))
-    many = written(many, "classes").where("gram is not null")
-    mixed = many.groupBy("gram").agg((F.min("stretch") != F.max("stretch")).alias("mixed"))
-    return written(many.join(mixed, "gram"), "hot-classes")
-
-
 def marked(placed: DataFrame, earlier: bool) -> DataFrame:
-    """``placed`` with whole (the stretch as a whole is shared), told (it is compared), wanted (the comparison's result for it is used), hot.
-
-    The rows of a k-gram with few stretches meet in a window; those of a hot one are told by the counts of its stretches.
-    """
-    classes = hot_classes(placed).withColumnRenamed("alike", "counted").withColumnRenamed("mixed", "parted")
-    rows = placed.join(classes, ["gram", "stretch"], "left").withColumn("hot", F.col("counted").isNotNull())
-    place = F.struct("doc", "salt", "start")
-    rows = rows.withColumn("spread", F.when(F.col("hot"), F.xxhash64("doc", "salt", "start")).otherwise(F.col("gram")))
-    group, both = Window.partitionBy("spread"), Window.partitionBy("spread", "stretch")
-    rows = rows.withColumn("low", F.min("stretch").over(group)).withColumn("high", F.max("stretch").over(group)).withColumn("rows", F.count("*").over(group))
+    """``placed`` with whole (the stretch as a whole is shared), told (it is compared), wanted (the comparison's result for it is used), hot."""
+    gram, both = Window.partitionBy("gram"), Window.partitionBy("gram", "stretch")
+    rows = placed.withColumn("low", F.min("stretch").over(gram)).withColumn("high", F.max("stretch").over(gram)).withColumn("rows", F.count("*").over(gram))
     # a k-gram that stands alone is neither shared nor compared
-    rows = rows.where("hot or rows > 1")
-    mixed = F.when(F.col("hot"), F.col("parted")).otherwise(F.col("low") != F.col("high"))
+    rows = rows.where("rows > 1").withColumn("mixed", F.col("low") != F.col("high")).withColumn("hot", F.col("rows") > HOT)
     if earlier:
-        rows = rows.withColumn("least", F.min("doc").over(both))
-        whole = F.when(F.col("hot"), F.col("first.doc")).otherwise(F.col("least")) < F.col("doc")
-        return rows.withColumn("whole", whole).withColumn("told", mixed & ~F.col("whole")).withColumn("wanted", F.lit(True))
+        return rows.withColumn("whole", F.min("doc").over(both) < F.col("doc")).withColumn("told", F.col("mixed") & ~F.col("whole")).withColumn("wanted", F.lit(True))
     rows = rows.withColumn("alike", F.count("*").over(both)).withColumn("nth", F.row_number().over(both.orderBy("doc", "salt", "start")))
-    whole = F.when(F.col("hot"), F.col("counted")).otherwise(F.col("alike")) > 1
-    leads = F.when(F.col("hot"), F.col("first") == place).otherwise(F.col("nth") == 1)
-    return rows.withColumn("whole", whole).withColumn("told", mixed & leads).withColumn("wanted", ~F.col("whole"))
+    return rows.withColumn("whole", F.col("alike") > 1).withColumn("told", F.col("mixed") & (F.col("nth") == 1)).withColumn("wanted", ~F.col("whole"))
 
 
 def shared_spans(docs: DataFrame, w: Windows, compare: Callable[[Stretch], list[tuple[int, int, int]]], earlier: bool) -> DataFrame:
