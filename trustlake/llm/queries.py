@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustlake.llm import flac, forest, line_dedup, mixing, ngram_join, sentencepiece_codec, substring_dedup, suffix_dedup, token_files, toxicity
+from trustlake.llm import flac, forest, line_dedup, mixing, ngram_join, sentencepiece_codec, simhash, spelling, substring_dedup, suffix_dedup, token_files, toxicity, vector_codes
 from trustlake.llm.common import table
 
 
@@ -70,7 +70,36 @@ def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_digests(flac.media_column(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_token_files": op2_token_files, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_substring_dedup": op7_substring_dedup, "op8_forest": op8_forest, "op9_ngram_join": op9_ngram_join, "op10_flac": op10_flac}
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the least document that links of two bits reach."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and error, the error of its label and the hash of the codebooks."""
+    out = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    codes = vector_codes.with_group_errors(out.codes)
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(out.sha256).alias("codebooks_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words counted, its form and its root."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_token_files": op2_token_files, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_suffix_dedup": op5_suffix_dedup, "op6_mixing": op6_mixing, "op7_substring_dedup": op7_substring_dedup, "op8_forest": op8_forest, "op9_ngram_join": op9_ngram_join, "op10_flac": op10_flac, "op11_simhash": op11_simhash, "op12_vector_codes": op12_vector_codes, "op13_spelling": op13_spelling}
+
+#: A round of ``op12_vector_codes`` in SQL: the nearest entry of each part, then the entries' means rounded down.
+CODE_ROUND = """
+at{k} AS (
+  SELECT rid, p.part, arg_min(entry, (list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)) * 64 + entry) AS entry,
+         min(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)) AS d
+  FROM parts p JOIN book{k} b ON p.part = b.part GROUP BY rid, p.part),
+mean{k} AS (
+  SELECT part, entry, list(m ORDER BY pos) AS c
+  FROM (SELECT part, entry, pos, floor(sum(v) / count(*)) AS m FROM (SELECT part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM at{k} JOIN parts USING (rid, part)) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+book{n} AS (SELECT part, entry, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (part, entry)),"""
 
 ORACLE = {
     "op1_line_dedup": r"""
@@ -144,4 +173,34 @@ links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
 reached AS (SELECT tid, tid AS other FROM texts UNION SELECT r.tid, l.y FROM reached r JOIN links l ON l.x = r.other),
 classes AS (SELECT r.tid, min(t.first) AS class_id FROM reached r JOIN texts t ON t.tid = r.other GROUP BY 1)
 SELECT d.doc_id, class_id, (SELECT count(*) FROM links WHERE x = t.tid) AS n_links FROM documents d JOIN texts t ON t.text = coalesce(d.text, '') JOIN classes c ON c.tid = t.tid""",
+    "op12_vector_codes": """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, len(embedding) // 16 AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT rid, part, v[part * w + 1 : part * w + w] AS x FROM kept, range(16) r(part)),
+book0 AS (SELECT part, rid - 1 AS entry, x AS c FROM parts WHERE rid <= 64),"""
+    + CODE_ROUND.format(k=0, n=1)
+    + CODE_ROUND.format(k=1, n=2)
+    + CODE_ROUND.format(k=2, n=3)
+    + """
+hash AS (SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM (SELECT part, entry, unnest(c) AS v, generate_subscripts(c, 1) AS pos FROM book2)),
+coded AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM at2 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (rid), hash""",
+    "op13_spelling": r"""
+WITH RECURSIVE codes AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY 1, 2),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'), lambda b: (instr('123456789ABCDEF', b[1]) * 16 + instr('123456789ABCDEF', b[2]))::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+  FROM counted, codes),
+words AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM hashed),
+vocabulary AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, CAST(unnest(range(1, length(word) + 1)) AS INT) AS i FROM vocabulary)),
+near AS (
+  SELECT less.word, v.word AS other FROM less JOIN vocabulary v ON v.word = rest UNION SELECT v.word, less.word FROM less JOIN vocabulary v ON v.word = rest
+  UNION SELECT a.word, b.word FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word),
+best AS (SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, other, v.n AS m FROM near JOIN vocabulary v ON v.word = other QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, other) = 1),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n FROM vocabulary LEFT JOIN best USING (word)),
+steps AS (SELECT word, word AS root FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.root WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN steps USING (word) WHERE root IN (SELECT word FROM forms WHERE form IS NULL)""",
 }
