@@ -129,8 +129,8 @@ def thousands(n: Column) -> Column:
 
 
 def percent(part: Column, of: Column) -> Column:
-    """A share in whole per cent, cut off; 0 of nothing."""
-    return F.when(of > 0, F.floor(part * 100 / of)).otherwise(0).cast("int")
+    """A share in whole per cent, the product of the share and 100 cut off (so 29 of 100 are 28); 0 of nothing."""
+    return F.when(of > 0, (part.cast("double") / of * 100).cast("int")).otherwise(0)
 
 
 def day_label(at: Column) -> Column:

@@ -70,10 +70,10 @@ def completed_authors(done: DataFrame, finished: DataFrame) -> DataFrame:
 def low_yield_relays(batches: DataFrame, curated: DataFrame, least: int = 3, streak: int = 2) -> DataFrame:
     """relay, streak: relays to discard, whose ``streak`` or more consecutive batches gave under ``least`` events an author.
 
-    ``batches`` has relay, batch, downloaded, authors; the yield is a whole number, a good batch ends a streak, and
-    curated relays are never discarded.
+    ``batches`` has relay, batch, downloaded, authors; the yield is a whole number, a good batch ends a streak, and so
+    does one that asked for no author, as nothing could come of it; curated relays are never discarded.
     """
-    low = F.expr("downloaded div greatest(authors, 1)") < least
+    low = (F.col("authors") > 0) & (F.expr("downloaded div greatest(authors, 1)") < least)
     order = Window.partitionBy("relay").orderBy("batch")
     rows = batches.withColumn("low", low).withColumn("island", F.sum((~F.col("low")).cast("int")).over(order))
     runs = rows.where("low").groupBy("relay", "island").agg(F.count("*").alias("streak")).where(F.col("streak") >= streak)
@@ -96,7 +96,10 @@ def settled(outcomes: DataFrame) -> DataFrame:
 
 
 def full_listing(listings: DataFrame, complete: DataFrame) -> DataFrame:
-    """relay, ids: how many different ids each relay's listing has, null unless it is complete and no limit was set."""
-    counts = listings.groupBy("relay").agg(F.count_distinct("id").alias("n"))
-    both = complete.join(counts, "relay", "left")
-    return both.select("relay", F.when(F.col("complete") & ~F.col("capped"), F.coalesce("n", F.lit(0).cast("long"))).alias("ids"))
+    """relay, id: the different ids of each listing that is complete and had no limit, which may be compared with what is held.
+
+    A relay whose listing cannot be relied on has one row with a null id; one with a reliable empty listing has none.
+    """
+    reliable = F.col("complete") & ~F.col("capped")
+    ids = listings.where("id is not null").select("relay", "id").distinct().join(complete.where(reliable).select("relay"), "relay")
+    return ids.unionByName(complete.where(~F.coalesce(reliable, F.lit(False))).select("relay", F.lit(None).cast(ids.schema["id"].dataType).alias("id")))

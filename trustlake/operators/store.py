@@ -10,6 +10,10 @@ from trustlake.operators.filters import unexpired
 from trustlake.schema import DELETION, VANISH
 
 
+#: Kinds of events that are passed on and not stored.
+EPHEMERAL = (20000, 29999)
+
+
 def newest(rows: DataFrame, keys: list[str], at: str = "created_at", ids: list[str] | None = None) -> DataFrame:
     """The newest row of each key, ties to the lowest id."""
     order = Window.partitionBy(*keys).orderBy(F.desc(at), *(ids or ["id"]))
@@ -28,24 +32,49 @@ def deleted_addresses(events: DataFrame) -> DataFrame:
     return named.groupBy("kind", "pubkey", "d").agg(F.max("created_at").alias("until"))
 
 
-def stored_events(events: DataFrame, ephemeral: tuple[int, int] = (20000, 29999)) -> DataFrame:
+def erasures(events: DataFrame) -> DataFrame:
+    """pubkey and the time up to which an author's events are erased."""
+    return events.where(F.col("kind") == VANISH).groupBy("pubkey").agg(F.max("created_at").alias("erased_until"))
+
+
+def slotted(events: DataFrame) -> DataFrame:
+    """``events`` with expires_at and slot: of the events of an author, a kind and a slot the newest one counts.
+
+    Replaceable kinds have one slot, addressable ones one for each ``d``, all others one for each event.
+    """
+    kind = F.col("kind")
+    replaceable = kind.isin(0, 3) | kind.between(10000, 19999)
+    slot = F.when(replaceable, F.lit("")).when(kind.between(30000, 39999), F.coalesce(first_tag(F.col("tags"), "d"), F.lit(""))).otherwise(F.col("id"))
+    return events.withColumn("expires_at", first_tag(F.col("tags"), "expiration").try_cast("long")).withColumn("slot", slot)
+
+
+def stored_events(events: DataFrame, ephemeral: tuple[int, int] = EPHEMERAL) -> DataFrame:
     """What a store holds of a log, with ``expires_at``; expired events count until they are swept. Deletions and erasures read the raw log, so they outlive supersession.
 
     Erasure takes all of an author's events up to its time, itself excepted; explicit deletions leave deletions and
-    erasures alone. Replaceable kinds keep one event per author, addressable ones one per author and ``d``.
+    erasures alone. Replaceable kinds keep one event per author, addressable ones one per author and ``d``. An id stands
+    for one author's event, as it is the hash of both.
+
+    A deletion by id joins the rows of its target while copies are put together, and one by address those of its slot
+    while the newest is chosen; both are aggregates that are partly done before the rows are dealt out.
     """
-    rows = events.dropDuplicates(["id"]).where(~F.col("kind").between(*ephemeral)).withColumn("d", F.coalesce(first_tag(F.col("tags"), "d"), F.lit("")))
-    expires = first_tag(F.col("tags"), "expiration").try_cast("long")
-    rows = rows.withColumn("expires_at", expires)
-    erased = events.where(F.col("kind") == VANISH).groupBy("pubkey").agg(F.max("created_at").alias("erased_until"))
-    rows = rows.join(erased, "pubkey", "left").where(F.col("erased_until").isNull() | (F.col("created_at") > F.col("erased_until")) | (F.col("kind") == VANISH)).drop("erased_until")
-    spared = F.col("kind").isin(DELETION, VANISH)
-    rows = rows.where(spared).unionByName(rows.where(~spared).join(deleted_ids(events), ["id", "pubkey"], "left_anti"))
-    rows = rows.join(deleted_addresses(events), ["kind", "pubkey", "d"], "left").where(F.col("until").isNull() | (F.col("created_at") > F.col("until")) | spared).drop("until")
-    replaceable = F.col("kind").isin(0, 3) | F.col("kind").between(10000, 19999)
-    addressable = F.col("kind").between(30000, 39999)
-    slot = F.when(replaceable, F.lit("")).when(addressable, F.col("d")).otherwise(F.col("id"))
-    return newest(rows.withColumn("slot", slot), ["pubkey", "kind", "slot"]).drop("slot", "d")
+    names, plumbing = events.columns, F.col("kind").isin(DELETION, VANISH)
+    event = F.struct(*names)
+    asked = events.where(F.col("kind") == DELETION)
+    by_id = asked.select(F.explode(tag_values(F.col("tags"), "e")).alias("id"), "pubkey")
+    rows = events.where(~F.col("kind").between(*ephemeral)).select("id", "pubkey", event.alias("event"), F.lit(False).alias("named"))
+    rows = rows.unionByName(by_id.select("id", "pubkey", F.lit(None).cast(events.select(event.alias("event")).schema["event"].dataType).alias("event"), F.lit(True).alias("named")))
+    once = rows.groupBy("id", "pubkey").agg(F.first("event", ignorenulls=True).alias("event"), F.bool_or("named").alias("named")).where("event is not null").select("event.*", "named")
+    once = once.where(plumbing | ~F.col("named")).drop("named").join(erasures(events), "pubkey", "left")
+    once = slotted(once.where(F.col("erased_until").isNull() | (F.col("created_at") > F.col("erased_until")) | (F.col("kind") == VANISH)).select(*names))
+    keys, kept = ["pubkey", "kind", "slot"], F.struct(*names, "expires_at")
+    addressed = asked.select("pubkey", "created_at", F.explode(F.transform(tag_values(F.col("tags"), "a"), lambda a: F.split(a, ":", 3))).alias("a"))
+    bars = addressed.where((F.size("a") == 3) & (F.col("a")[1] == F.col("pubkey"))).select("pubkey", F.col("a")[0].try_cast("int").alias("kind"), F.col("a")[2].alias("slot"), F.col("created_at").alias("until")).where(~plumbing)
+    slots = once.select(*keys, kept.alias("event"), F.lit(None).cast("long").alias("until"))
+    slots = slots.unionByName(bars.select(*keys, F.lit(None).cast(slots.schema["event"].dataType).alias("event"), "until"))
+    order = F.struct(-F.col("event.created_at"), F.col("event.id"))
+    newest_of = slots.groupBy(*keys).agg(F.min_by("event", F.when(F.col("event").isNotNull(), order)).alias("event"), F.max("until").alias("until"))
+    return newest_of.where("event is not null and (until is null or event.created_at > until)").select("event.*")
 
 
 def current_events(events: DataFrame, now: int) -> DataFrame:
@@ -70,16 +99,35 @@ def need_have(local: DataFrame, remote: DataFrame, key: str = "id") -> DataFrame
     return need.union(have)
 
 
-def guarded(marked: DataFrame, save, flag: str = "gone", most: float = 0.5) -> DataFrame:
+class MassDeletion(ValueError):
+    """More of a scope would be deleted than a pass is trusted with."""
+
+
+def guarded(marked: DataFrame, save, flag: str = "gone", most: float = 0.5, scope: list[str] | None = None, spared: int = 0) -> DataFrame:
     """The rows with ``flag``, unless they are more than ``most`` of all rows, which looks like a failed listing.
 
-    ``save`` writes the marked rows once; the guard and the result read them.
+    With ``scope`` shares are taken for each of its values, and a scope beyond ``most`` loses nothing, while the others
+    do; up to ``spared`` rows may go from any scope, whatever their share. Without, a share beyond ``most`` raises
+    ``MassDeletion``. ``save`` writes the marked rows once; the guard and the result read them.
     """
     marked = save(marked)
-    seen = marked.agg(F.count("*").alias("n"), F.count_if(flag).alias("gone")).first()
-    if seen["gone"] > most * seen["n"]:
-        raise ValueError(f"more than {most:.0%} of the held rows would be deleted")
-    return marked.where(flag).drop(flag)
+    count = [F.count("*").alias("n"), F.count_if(flag).alias("gone")]
+    refused = (F.col("gone") > most * F.col("n")) & (F.col("gone") > spared)
+    if scope is None:
+        if marked.agg(*count).where(refused).first():
+            raise MassDeletion(f"more than {most:.0%} of the held rows would be deleted")
+        return marked.where(flag).drop(flag)
+    bad = marked.groupBy(*scope).agg(*count).where(refused)
+    # null-safe, so a scope without a name is guarded too
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"b.{c}")) for c in scope]
+    kept = marked.where(flag).drop(flag).alias("m")
+    return kept.join(bad.alias("b"), same, "left_anti")
+
+
+def refused_scopes(marked: DataFrame, scope: list[str], flag: str = "gone", most: float = 0.5, spared: int = 0) -> DataFrame:
+    """The scopes that ``guarded`` leaves alone, with how many rows they hold and how many would have gone."""
+    by = marked.groupBy(*scope).agg(F.count("*").alias("n"), F.count_if(flag).alias("gone"))
+    return by.where((F.col("gone") > most * F.col("n")) & (F.col("gone") > spared))
 
 
 def stale(held: DataFrame, served: DataFrame, complete: bool, save, key: str = "id", most: float = 0.5) -> DataFrame:
@@ -90,17 +138,22 @@ def stale(held: DataFrame, served: DataFrame, complete: bool, save, key: str = "
     return guarded(held.join(listed, key, "left").withColumn("gone", F.col("served").isNull()).drop("served"), save, most=most)
 
 
-def absence_deletions(held: DataFrame, served: DataFrame, homes: DataFrame, listings: DataFrame, save, most: float = 0.5) -> DataFrame:
+def proven_scope(held: DataFrame, served: DataFrame, homes: DataFrame, listings: DataFrame) -> DataFrame:
+    """The held scores about which listings prove something, with relay and ``gone``: whether the relay no longer serves them."""
+    proven = homes.join(listings.where("complete and not capped").select("relay").distinct(), "relay")
+    given = served.select("id", "relay").distinct().withColumn("served", F.lit(True))
+    return held.join(proven, "service").join(given, ["id", "relay"], "left").withColumn("gone", F.col("served").isNull()).drop("served")
+
+
+def absence_deletions(held: DataFrame, served: DataFrame, homes: DataFrame, listings: DataFrame, save, most: float = 0.5, spared: int = 0) -> DataFrame:
     """Held scores (id, service) that their service's one relay no longer serves.
 
     ``homes`` has service and relay of services hinted on a single relay, ``listings`` relay, complete, capped of what
     the relays were asked for, ``served`` the ids and relays of what they gave. Only complete listings without a cap of
-    a service's only relay prove anything; of more than ``most`` of what they could prove, nothing is believed.
+    a service's only relay prove anything. A service that would lose more than ``most`` of its scores at a relay, and
+    more than ``spared`` of them, loses none; other services are judged on their own.
     """
-    proven = homes.join(listings.where("complete and not capped").select("relay").distinct(), "relay")
-    given = served.select("id", "relay").distinct().withColumn("served", F.lit(True))
-    scope = held.join(proven, "service").join(given, ["id", "relay"], "left").withColumn("gone", F.col("served").isNull()).drop("served")
-    return guarded(scope, save, most=most)
+    return guarded(proven_scope(held, served, homes, listings), save, most=most, scope=["service", "relay"], spared=spared)
 
 
 def absent_everywhere(held: DataFrame, replicas: list[DataFrame], key: str = "id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trustlake.functions.columns import first_tag
@@ -59,8 +59,22 @@ def reputation(edges: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def orphans(scored: DataFrame, edges: DataFrame) -> DataFrame:
-    """Scores of services that no trust list names."""
-    return scored.join(edges.select("service").distinct(), "service", "left_anti")
+    """Scores of services that no trust list names. Without a single list nothing is known of any service, and nothing is an orphan."""
+    listed = edges.select("service").distinct()
+    any_list = edges.agg((F.count("*") > 0).alias("any")).where("any")
+    return scored.join(listed, "service", "left_anti").join(F.broadcast(any_list), how="left_semi")
+
+
+def swept_orphans(scored: DataFrame, edges: DataFrame, save, most: float = 0.5) -> DataFrame:
+    """The orphans that a sweep may delete: none, and ``MassDeletion``, where they are more than ``most`` of all scores."""
+    from trustlake.operators.store import guarded
+
+    known = edges.select("service").where("service is not null").distinct().withColumn("known", F.lit(True))
+    marked = scored.join(known, "service", "left").withColumn("gone", F.col("known").isNull()).drop("known")
+    # one row tells whether there is a list at all
+    any_list = edges.agg((F.count("*") > 0).alias("any"))
+    marked = marked.join(F.broadcast(any_list)).withColumn("gone", F.col("gone") & F.col("any")).drop("any")
+    return guarded(marked, save, most=most)
 
 
 def single_relay_services(edges: DataFrame) -> DataFrame:
@@ -92,16 +106,23 @@ def frontier(edges: DataFrame, scored: DataFrame, roots: DataFrame, home: str) -
         found.join(seen().select("observer"), "observer", "left_anti").write.parquet(f"{home}/seen/depth={depth}")
 
 
-def routed(authors: DataFrame, lists: DataFrame, fallback: list[str], most: int = 4, spread: int = 2, discarded: DataFrame | None = None) -> DataFrame:
-    """author, relay: up to ``most`` of an author's own relays, else ``spread`` neighbours among the fallback ones by hash.
+def routed(authors: DataFrame, lists: DataFrame, fallback: list[str], most: int = 4, spread: int = 2, discarded: DataFrame | None = None, reachable=None) -> DataFrame:
+    """author, relay: the first ``most`` of an author's own relays that can be reached, else ``spread`` neighbours among the fallback ones by hash.
 
-    Relays in ``discarded`` are left out in the end; they do not make room for others.
+    ``reachable`` is a condition on ``relay`` (publicly routable, if not given); relays that fail it neither count
+    towards ``most`` nor keep an author from the fallback. An author gets each fallback relay once, so at most as many as
+    there are, and none where there are none. Relays in ``discarded`` are left out in the end; they do not make room for
+    others.
     """
-    from trustlake.functions.columns import spread_hash
-
-    own = authors.join(lists, "author").where(F.col("pos") < most).select("author", "relay")
-    slots = F.array(*map(F.lit, fallback))
-    first = (spread_hash("author") % len(fallback)).cast("int")
-    picks = F.explode(F.transform(F.sequence(F.lit(0), F.lit(spread - 1)), lambda i: F.element_at(slots, (first + i) % len(fallback) + 1)))
-    out = own.union(authors.join(lists, "author", "left_anti").select("author", picks.alias("relay")))
+    from trustlake.functions.columns import routable, spread_hash
+
+    usable = lists.where(routable(F.col("relay")) if reachable is None else reachable)
+    ranked = authors.join(usable, "author").withColumn("nth", F.row_number().over(Window.partitionBy("author").orderBy("pos", "relay")))
+    own = ranked.where(F.col("nth") <= most).select("author", "relay")
+    out = own
+    if fallback:
+        slots = F.array(*map(F.lit, fallback))
+        first = (spread_hash("author") % len(fallback)).cast("int")
+        picks = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(min(spread, len(fallback)) - 1)), lambda i: F.element_at(slots, (first + i) % len(fallback) + 1)))
+        out = own.union(authors.join(usable, "author", "left_anti").select("author", F.explode(picks).alias("relay")))
     return out if discarded is None else out.join(discarded.select("relay").distinct(), "relay", "left_anti").select("author", "relay")

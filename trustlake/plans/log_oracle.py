@@ -8,16 +8,24 @@ LOG = """base AS (
 log AS (
   SELECT *, CASE m WHEN 0 THEN 0 WHEN 3 THEN 3 WHEN 4 THEN 5 WHEN 5 THEN 5 WHEN 6 THEN CASE WHEN event_id % 160 = 6 THEN 62 ELSE 1 END WHEN 7 THEN 10002 WHEN 8 THEN 10040 WHEN 9 THEN 10086 WHEN 10 THEN 20001 WHEN 11 THEN 30000 WHEN 12 THEN 30382 WHEN 13 THEN 30382 WHEN 15 THEN 30382 ELSE 1 END AS kind,
          CASE WHEN m = 11 THEN CAST(k % 5 AS VARCHAR) WHEN m IN (12, 13, 15) AND k % 13 <> 0 THEN 'u' || (k % 20) ELSE '' END AS d,
-         CASE WHEN m = 14 THEN CASE WHEN k % 8 = 0 THEN 1706659200 ELSE created_at + (k - 50) * 43200 END END AS expires_at FROM base)"""
-STORED = f"""{LOG},
-erased AS (SELECT pubkey, max(created_at) AS until FROM log WHERE kind = 62 GROUP BY 1),
-by_id AS (SELECT DISTINCT lpad(CAST(event_id - k % 40 AS VARCHAR), 10, '0') AS id, pubkey FROM log WHERE m = 4),
-by_address AS (SELECT pubkey, CAST(k % 5 AS VARCHAR) AS d, max(created_at) AS until FROM log WHERE m = 5 AND k % 3 <> 0 GROUP BY 1, 2),
-rest AS (
-  SELECT l.* FROM log l LEFT JOIN erased e USING (pubkey) LEFT JOIN by_id i ON i.id = l.id AND i.pubkey = l.pubkey LEFT JOIN by_address a ON a.pubkey = l.pubkey AND a.d = l.d AND l.kind = 30000
+         CASE WHEN m = 14 THEN CASE WHEN k % 8 = 0 THEN 1706659200 ELSE created_at + (k - 50) * 43200 END WHEN event_id % 96 = 0 OR event_id % 80 = 4 THEN 1 END AS expires_at FROM base)"""
+
+
+def stored(log: str, held: str) -> str:
+    """SQL of what a store holds of ``log``, as a table expression named ``held``."""
+    return f"""{held}_erased AS (SELECT pubkey, max(created_at) AS until FROM {log} WHERE kind = 62 GROUP BY 1),
+{held}_by_id AS (SELECT DISTINCT lpad(CAST(event_id - k % 40 AS VARCHAR), 10, '0') AS id, pubkey FROM {log} WHERE m = 4),
+{held}_by_address AS (SELECT pubkey, CAST(k % 5 AS VARCHAR) AS d, max(created_at) AS until FROM {log} WHERE m = 5 AND k % 3 <> 0 GROUP BY 1, 2),
+{held}_rest AS (
+  SELECT l.* FROM {log} l LEFT JOIN {held}_erased e USING (pubkey) LEFT JOIN {held}_by_id i ON i.id = l.id AND i.pubkey = l.pubkey LEFT JOIN {held}_by_address a ON a.pubkey = l.pubkey AND a.d = l.d AND l.kind = 30000
   WHERE l.kind <> 20001 AND (e.until IS NULL OR l.created_at > e.until OR l.kind = 62) AND (l.kind IN (5, 62) OR (i.id IS NULL AND (a.until IS NULL OR l.created_at > a.until)))),
-held AS (
-  SELECT * FROM rest QUALIFY row_number() OVER (PARTITION BY pubkey, kind, CASE WHEN kind IN (0, 3) OR kind BETWEEN 10000 AND 19999 THEN '' WHEN kind BETWEEN 30000 AND 39999 THEN d ELSE id END ORDER BY created_at DESC, id) = 1)"""
+{held} AS (
+  SELECT * FROM {held}_rest QUALIFY row_number() OVER (PARTITION BY pubkey, kind, CASE WHEN kind IN (0, 3) OR kind BETWEEN 10000 AND 19999 THEN '' WHEN kind BETWEEN 30000 AND 39999 THEN d ELSE id END ORDER BY created_at DESC, id) = 1)"""
+
+
+STORED = f"{LOG},\n{stored('log', 'held')}"
+#: What had not expired when it came.
+ARRIVED = f"{LOG}, arrived AS (SELECT * FROM log WHERE expires_at IS NULL OR expires_at > {NOW})"
 CUR = f"{STORED}, cur AS (SELECT * FROM held WHERE expires_at IS NULL OR expires_at > {NOW})"
 LISTS = f"""{CUR}, lists AS (SELECT * FROM cur WHERE kind = 10040),
 edges AS (SELECT pubkey AS observer, 'u' || (k % 20) AS service, 'wss://r' || (k % 3) || '.example' AS relay FROM lists UNION ALL SELECT pubkey, 'u' || ((k + 3) % 20), NULL FROM lists),
@@ -42,7 +50,8 @@ SELECT id, author, round(score * (1 + coalesce(trust, 0.0)), 6) AS score FROM ra
 
 
 RUNS = "runs AS (SELECT o_custkey % 50 AS relay, o_orderpriority AS scope, o_orderkey AS ended_at, o_orderstatus <> 'P' AS completed FROM orders)"
-CURSORS = "cursors AS (SELECT c_custkey % 60 AS relay, '1-URGENT' AS scope, max(c_custkey) AS last_synced_at FROM customer GROUP BY 1)"
+SCOPE = "['1-URGENT', '2-HIGH', '5-LOW']"
+CURSORS = f"cursors AS (SELECT c_custkey % 60 AS relay, {SCOPE}[c_custkey // 60 % 3 + 1] AS scope, max(c_custkey) AS last_synced_at FROM customer GROUP BY 1, 2)"
 RELAYS = "l AS (SELECT DISTINCT o_custkey AS author, 'r' || (o_orderkey % 7) AS relay FROM orders)"
 #: A number in short form, rounded half up to a tenth.
 COMPACT = "CASE WHEN {0} >= 10000000 THEN ({0} // 1000000) || 'M' WHEN {0} >= 1000000 THEN (({0} * 10 + 500000) // 1000000 // 10) || '.' || (({0} * 10 + 500000) // 1000000 % 10) || 'M' WHEN {0} >= 100000 THEN ({0} // 1000) || 'k' WHEN {0} >= 1000 THEN (({0} * 10 + 500) // 1000 // 10) || '.' || (({0} * 10 + 500) // 1000 % 10) || 'k' ELSE CAST({0} AS VARCHAR) END"
@@ -64,7 +73,10 @@ SELECT relay, CAST(list AS INT) AS list, CAST(pos AS BIGINT) AS pos FROM r QUALI
     "log_provider_relays": f"""WITH {LISTS}, h AS (SELECT 'u' || (k % 20) AS service, 'wss://r' || (k % 3) || '.example' AS relay, created_at FROM lists)
 SELECT service, relay, (SELECT count(DISTINCT relay) FROM h g WHERE g.service = h.service) AS hints FROM h QUALIFY row_number() OVER (PARTITION BY service ORDER BY created_at DESC, relay) = 1""",
     "log_observers": f"WITH {LISTS} SELECT observer, observer = 'u0' AS house FROM (SELECT 'u0' AS observer UNION SELECT 'u99' UNION SELECT 'u3' UNION SELECT pubkey FROM lists)",
-    "log_absence_deletions": f"WITH {LISTS}, homes AS (SELECT service, min(relay) AS relay FROM edges GROUP BY 1 HAVING count(DISTINCT relay) = 1) SELECT id, service, relay FROM scores JOIN homes USING (service) WHERE relay <> 'wss://r2.example' AND event_id % 7 = 0",
+    "log_absence_deletions": f"""WITH {LISTS}, homes AS (SELECT service, min(relay) AS relay FROM edges GROUP BY 1 HAVING count(DISTINCT relay) = 1),
+scope AS (SELECT id, service, relay, event_id % 7 = 0 OR event_id // 100 % 2 = 0 AND service IN ('u3', 'u5', 'u8') AS gone FROM scores JOIN homes USING (service) WHERE relay <> 'wss://r2.example'),
+refused AS (SELECT service FROM scope GROUP BY 1 HAVING count(*) FILTER (gone) > 0.5 * count(*))
+SELECT id, service, relay FROM scope WHERE gone AND service NOT IN (SELECT service FROM refused)""",
     "log_text_tiers": f"WITH {TIERS} SELECT * FROM tiers WHERE \"primary\" <> '' OR secondary <> '' OR body <> '' OR location <> ''",
     "log_search_tiers": "WITH " + bm25({"primary": 3.0, "secondary": 2.0, "body": 1.0, "location": 0.5}, "w = t", ["w3", "place"], f"SELECT subject AS author, sum(CASE observer WHEN 'u1' THEN 1.0 ELSE 0.5 END * rank) / 100.0 AS trust FROM ({REPUTATION}) WHERE observer IN ('u1', 'u2') GROUP BY 1", "0.2"),
     "log_search_unknown_observer": "SELECT CAST(0 AS BIGINT) AS n",
@@ -75,12 +87,20 @@ SELECT service, relay, (SELECT count(DISTINCT relay) FROM h g WHERE g.service =
     "log_tag_index": f"WITH {LOG}, t AS (SELECT kind, unnest(CASE WHEN m = 2 THEN ['t', 'g'] WHEN m = 4 THEN ['e'] WHEN m = 5 THEN ['a'] WHEN m = 7 THEN ['r', 'r', 'r'] WHEN m IN (11, 12, 13, 15) THEN ['d'] ELSE [] END) AS letter FROM log) SELECT kind, letter, count(*) AS n FROM t GROUP BY 1, 2",
     "log_profiles": f"WITH {CUR} SELECT pubkey, 'name w' || (k % 7) AS name, CASE WHEN k % 2 = 0 THEN 'shown ' || (k % 3) END AS display_name FROM cur WHERE kind = 0",
     "log_expiring_notes": f"WITH {STORED} SELECT count(*) FILTER (expires_at < {NOW}) AS expired, count(*) FILTER (expires_at = {NOW}) AS now, count(*) FILTER (expires_at > {NOW}) AS later FROM held WHERE kind = 1",
-    "log_insert_rules": f"WITH {CUR} SELECT kind, count(*) AS n FROM cur GROUP BY 1",
+    "log_insert_rules": f"WITH {ARRIVED}, {stored('arrived', 'held')} SELECT kind, count(*) AS n FROM held GROUP BY 1",
+    "log_insert_fates": f"""WITH {ARRIVED}, early AS (SELECT * FROM arrived WHERE event_id % 3 <> 0), {stored('early', 'h1')}, {stored('arrived', 'h2')},
+twice AS (SELECT * FROM log UNION ALL SELECT * FROM log WHERE event_id % 10 = 0),
+n AS (
+  SELECT p AS pass, count(*) AS offered, count(*) FILTER (kind = 20001) AS ephemeral, count(*) FILTER (kind <> 20001 AND expires_at <= {NOW}) AS expired,
+         count(DISTINCT event_id) FILTER (kind <> 20001 AND (expires_at IS NULL OR expires_at > {NOW})) AS single
+  FROM twice, (VALUES (1), (2)) v(p) WHERE p = 2 OR event_id % 3 <> 0 GROUP BY 1),
+k AS (SELECT 1 AS pass, 0 AS known, (SELECT count(*) FROM h1) AS stored, 0 AS removed UNION ALL SELECT 2, (SELECT count(*) FROM h1), (SELECT count(*) FROM h2 WHERE id NOT IN (SELECT id FROM h1)), (SELECT count(*) FROM h1 WHERE id NOT IN (SELECT id FROM h2)))
+SELECT CAST(pass AS BIGINT) AS pass, offered, ephemeral, expired, offered - ephemeral - expired - single AS duplicate, CAST(known AS BIGINT) AS known, single - known - stored AS refused, stored, CAST(removed AS BIGINT) AS removed FROM n JOIN k USING (pass)""",
     "log_delete_by_filter": f"WITH {LOG} SELECT kind, count(*) AS n FROM log WHERE NOT (kind = 30382 AND pubkey = 'u7') GROUP BY 1",
     "ledger_snapshots": f"WITH {LEDGER} SELECT CASE WHEN content_synced_at > 30000 THEN 5 ELSE content_synced_at END AS content_synced_at, count(*) AS n, CAST(sum(outbox_checked_at) AS BIGINT) AS checked FROM ledger GROUP BY 1",
-    "generated_load": "SELECT CAST(5000 AS BIGINT) AS n, CAST(5000 AS BIGINT) AS ids, CAST(40 AS BIGINT) AS authors, CAST(1700004999 AS BIGINT) AS newest",
+    "generated_load": "SELECT count(*) AS n, count(*) AS ids, count(DISTINCT o_custkey) AS authors, 1700000000 + max(o_orderkey) AS newest FROM orders",
     "cursor_advance": f"WITH {RUNS}, {CURSORS}, n AS (SELECT relay, scope, max(ended_at) AS new FROM runs WHERE completed GROUP BY 1, 2) SELECT relay, scope, coalesce(new, last_synced_at) AS last_synced_at FROM cursors FULL JOIN n USING (relay, scope)",
-    "cursor_since": f"WITH {CURSORS} SELECT p_partkey, coalesce(last_synced_at - 30, CASE WHEN p_size % 2 = 0 THEN p_size END) AS since, last_synced_at IS NULL AS first FROM part LEFT JOIN cursors ON relay = p_partkey % 70",
+    "cursor_since": f"WITH {CURSORS} SELECT p_partkey, coalesce(last_synced_at - 30, CASE WHEN p_size % 2 = 0 THEN p_size END) AS since, last_synced_at IS NULL AS first FROM part LEFT JOIN cursors ON relay = p_partkey % 70 AND scope = {SCOPE}[p_partkey // 70 % 3 + 1]",
     "capability_memory": """WITH r AS (SELECT l_suppkey % 97 AS relay, l_orderkey * 10 + l_linenumber AS ended_at, l_orderkey + l_linenumber + l_partkey AS n FROM lineitem),
 o AS (SELECT relay, bool_or(n % 4001 = 0) AS bad FROM r GROUP BY 1), t AS (SELECT relay, n % 5 = 1 AS told FROM r WHERE n % 4001 <> 0 AND n % 5 IN (1, 2) QUALIFY row_number() OVER (PARTITION BY relay ORDER BY ended_at, n % 5 = 1) = 1),
 k AS (SELECT s_suppkey AS relay, CASE WHEN s_suppkey % 10 = 0 THEN s_acctbal > 4000 END AS capable FROM supplier WHERE s_suppkey % 5 = 0)
@@ -92,17 +112,18 @@ SELECT e.relay, dead_until, dead_until IS NULL AS alive FROM (SELECT DISTINCT us
     "readings_rate": "SELECT round((arg_max(o_orderkey * 2 + o_custkey % 2, o_orderkey) - arg_min(o_orderkey * 2 + o_custkey % 2, o_orderkey)) / (max(o_orderkey) - min(o_orderkey)), 9) AS rate FROM orders",
     "pass_totals": "WITH b AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS received, count(DISTINCT user_id) AS stored FROM events GROUP BY 1) SELECT *, CAST(sum(received) OVER (ORDER BY day) AS BIGINT) AS so_far FROM b",
     "completed_authors": "WITH d AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') SELECT false AS new, count(*) AS n FROM d UNION ALL SELECT true, count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT o_custkey FROM d)",
-    "low_yield_discards": "WITH o AS (SELECT o_custkey AS relay, o_orderkey AS batch, o_totalprice < 180000 AS low FROM orders WHERE o_custkey % 4 <> 0), i AS (SELECT *, row_number() OVER (PARTITION BY relay ORDER BY batch) - row_number() OVER (PARTITION BY relay, low ORDER BY batch) AS island FROM o), s AS (SELECT relay, island, count(*) AS streak FROM i WHERE low GROUP BY 1, 2 HAVING count(*) >= 2) SELECT relay, max(streak) AS streak FROM s GROUP BY 1",
+    "low_yield_discards": "WITH o AS (SELECT o_custkey AS relay, o_orderkey AS batch, o_totalprice < 180000 AND o_orderkey % 9 <> 0 AS low FROM orders WHERE o_custkey % 4 <> 0), i AS (SELECT *, row_number() OVER (PARTITION BY relay ORDER BY batch) - row_number() OVER (PARTITION BY relay, low ORDER BY batch) AS island FROM o), s AS (SELECT relay, island, count(*) AS streak FROM i WHERE low GROUP BY 1, 2 HAVING count(*) >= 2) SELECT relay, max(streak) AS streak FROM s GROUP BY 1",
     "yield_per_author": "SELECT l_suppkey AS relay, count(*) * 7 // count(DISTINCT l_partkey) AS yield FROM lineitem GROUP BY 1",
     "slice_outcomes": "WITH s AS (SELECT o_orderkey % 8, count(*) AS a, count(DISTINCT o_custkey) AS b FROM orders GROUP BY 1) SELECT CAST(sum(a) AS BIGINT) AS downloaded, CAST(sum(b) AS BIGINT) AS stored, count(*) AS slices FROM s",
     "work_position": "WITH d AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) || '/' || count(*) OVER (PARTITION BY l_suppkey) AS position FROM d",
     "settled_downloads": """WITH r AS (SELECT l_orderkey AS n, l_linenumber AS k, l_linenumber = 1 OR l_orderkey % 3 = 2 AS paged FROM lineitem), s AS (SELECT *, NOT paged AND k <> 2 AND (n % 7 > n % 5 OR (n % 5 = 0 AND n % 2 = 0)) AS repaired FROM r)
 SELECT CASE WHEN paged THEN 'pages' WHEN repaired THEN 'repaired by pages' ELSE 'reconciled' END AS transport, CASE WHEN paged OR repaired THEN n % 11 <> 0 ELSE n % 13 <> 0 END AS completed, count(*) AS n FROM s GROUP BY 1, 2""",
-    "full_listings": "SELECT relay, CASE WHEN relay % 3 <> 0 AND relay % 5 <> 0 THEN (SELECT count(DISTINCT o_orderkey % 1000) FROM orders WHERE o_custkey % 30 = relay) END AS ids FROM range(35) r(relay)",
+    "full_listings": """WITH c AS (SELECT relay, relay % 3 <> 0 AND relay % 5 <> 0 AS good FROM (SELECT DISTINCT c_custkey % 35 AS relay FROM customer))
+SELECT DISTINCT relay, o_orderkey % 1000 AS id FROM orders JOIN c ON relay = o_custkey % 30 WHERE good UNION ALL SELECT relay, NULL FROM c WHERE NOT good""",
     "relay_author_counts": f"WITH {RELAYS} SELECT relay, count(*) AS authors FROM l GROUP BY 1",
-    "observers_by_scores": f"WITH {EDGES} SELECT observer, count(*) AS n FROM edges JOIN lineitem ON l_suppkey = service GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
-    "routing_without_discarded": f"WITH {RELAYS}, t AS (SELECT relay FROM l QUALIFY row_number() OVER (PARTITION BY author ORDER BY relay) <= 4 UNION ALL SELECT 'f0' FROM customer, range(2) WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) SELECT relay, count(*) AS n FROM t WHERE relay NOT IN ('r2', 'r5') GROUP BY 1",
-    "least_loaded_relays": f"WITH {RELAYS}, o AS (SELECT * FROM l WHERE author % 3 = 0), c AS (SELECT relay, count(*) AS load FROM o GROUP BY 1) SELECT author, relay FROM o JOIN c USING (relay) QUALIFY row_number() OVER (PARTITION BY author ORDER BY load, relay) = 1",
+    "observers_by_scores": f"WITH {EDGES} SELECT observer, count(*) AS n FROM edges JOIN lineitem ON l_suppkey = service GROUP BY 1",
+    "routing_without_discarded": f"WITH {RELAYS}, t AS (SELECT relay FROM l QUALIFY row_number() OVER (PARTITION BY author ORDER BY relay) <= 4 UNION ALL SELECT 'f0' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) SELECT 'wss://' || relay || '.example' AS relay, count(*) AS n FROM t WHERE relay NOT IN ('r2', 'r5') GROUP BY 1",
+    "least_loaded_relays": f"WITH {RELAYS}, c AS (SELECT relay, count(*) AS load FROM l GROUP BY 1) SELECT author, relay FROM l JOIN c USING (relay) QUALIFY row_number() OVER (PARTITION BY author ORDER BY load, relay) = 1",
     "identity_sources": """WITH m AS (SELECT c_custkey AS a, 'profile' AS what FROM customer UNION ALL SELECT c_custkey, 'relay list' FROM customer WHERE c_custkey % 2 = 0),
 s AS (SELECT what, CASE WHEN what = 'profile' AND a IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') THEN 'aggregator' WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = a AND (o_orderkey % 2 = 0) = (what = 'profile')) THEN 'popular' END AS source FROM m)
 SELECT what, source, count(*) AS n FROM s GROUP BY 1, 2""",
@@ -113,7 +134,7 @@ SELECT relay, bool_or(t = 'i') AS sweep, count(*) FILTER (t = 'o') AS outboxes,
     "format_durations": """WITH o AS (SELECT o_orderkey, o_orderkey * 977 AS n, o_orderkey * 977 // 100 AS s FROM orders)
 SELECT o_orderkey, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || (s % 3600 // 60) || 'm' WHEN s >= 60 THEN (s // 60) || 'm' ELSE s || 's' END AS age,
        CASE WHEN n < 3600 THEN (n // 60) || 'm' WHEN n < 86400 THEN (n // 3600) || 'h ' || (n % 3600 // 60) || 'm' ELSE (n // 86400) || 'd ' || (n % 86400 // 3600) || 'h' END AS eta,
-       format('{:,}', n) AS num, CAST(CASE WHEN o_orderkey % 103 > 0 THEN o_orderkey % 97 * 100 // (o_orderkey % 103) ELSE 0 END AS INT) AS pct FROM o""",
+       format('{:,}', n) AS num, CAST(CASE WHEN o_orderkey % 103 > 0 THEN trunc((o_orderkey % 97)::DOUBLE / (o_orderkey % 103) * 100) ELSE 0 END AS INT) AS pct FROM o""",
     "key_resolution": "SELECT p_partkey, CASE WHEN p_partkey % 4 IN (0, 3) THEN sha256(CAST(p_partkey AS VARCHAR)) END AS key FROM part",
     "log_line_classes": "SELECT ['phase', 'gauge', 'failure', 'warning', 'done', 'progress', 'tag', 'note', 'failure', 'tag'][o_orderkey % 10 + 1] AS what, count(*) AS n FROM orders GROUP BY 1",
     "status_lines": f"""SELECT o_orderkey, '  ~ relays ' || (o_orderkey % 10) || '/10 | recv ' || {COMPACT.format("(o_orderkey * 100)")} || CASE WHEN o_orderkey % 2 = 1 THEN ' (1.5k/s)' ELSE '' END || ' new ' || {COMPACT.format("(o_orderkey * 10)")} ||

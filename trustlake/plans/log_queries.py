@@ -86,10 +86,12 @@ def log_observers(spark, d):
 
 @query
 def log_absence_deletions(spark, d):
-    """Scores that a service's only hinted relay no longer serves; relay r2 was listed in part, so it proves nothing."""
-    events = current(spark, d)
+    """Scores that a service's only hinted relay no longer serves; relay r2 was listed in part, so it proves nothing, and some services lost too many."""
+    events = S.saver(spark)(current(spark, d))
     held = trust.scores(events).select("id", "service")
-    served = held.select("id", F.explode(F.array(*[F.lit(f"wss://r{i}.example") for i in range(3)])).alias("relay")).where("cast(id as long) % 7 <> 0")
+    n = F.col("id").cast("long")
+    lost = F.col("service").isin("u3", "u5", "u8") & (F.floor(n / 100) % 2 == 0)
+    served = held.where((n % 7 != 0) & ~lost).select("id", F.explode(F.array(*[F.lit(f"wss://r{i}.example") for i in range(3)])).alias("relay"))
     listings = spark.createDataFrame([("wss://r0.example", True, False), ("wss://r1.example", True, False), ("wss://r2.example", False, False)], "relay string, complete boolean, capped boolean")
     homes = trust.single_relay_services(trust.provider_edges(events))
     return store.absence_deletions(held, served, homes, listings, S.saver(spark)).select("id", "service", "relay")
@@ -171,11 +173,21 @@ def log_insert_rules(spark, d):
     return store.current_events(held.events(), NOW).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+@query
+def log_insert_fates(spark, d):
+    """The history of two passes over a log, most of it and then all: what was offered, what became of it, what it replaced."""
+    log, home = S.event_log(spark, d), S.shared_home(spark, "events")
+    held, history = stores.EventStore(spark, home), stores.PassHistory(spark, f"{home}-passes")
+    for number, part in ((1, log.where(F.col("id").cast("long") % 3 != 0)), (2, log)):
+        history.append(number, NOW, [held.insert_reported(part, NOW)])
+    return history.read().select("pass", "offered", "ephemeral", "expired", "duplicate", "known", "refused", "stored", "removed")
+
+
 @query
 def log_delete_by_filter(spark, d):
     held = stores.EventStore(spark, S.shared_home(spark, "events"))
-    held.table.swap(S.event_log(spark, d).dropDuplicates(["id"]))
-    held.delete((F.col("kind") == SCORE) & (F.col("pubkey") == "u7"))
+    held.load(S.event_log(spark, d).dropDuplicates(["id"]))
+    held.delete(F.col("kind") == SCORE, authors=["u7"])
     return held.events().groupBy("kind").agg(F.count("*").alias("n"))
 
 
@@ -191,8 +203,10 @@ def ledger_snapshots(spark, d):
 
 @query
 def generated_load(spark, d):
-    e = stores.generated_events(spark, 5000, authors=40)
-    return e.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count_distinct("pubkey").alias("authors"), F.max("created_at").alias("newest"))
+    """An event for each order, in a store."""
+    held = stores.EventStore(spark, S.shared_home(spark, "events"))
+    held.load(stores.generated_events(table(spark, d, "orders"), "o_orderkey", "o_custkey"))
+    return held.events().agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count_distinct("pubkey").alias("authors"), F.max("created_at").alias("newest"))
 
 
 def runs(spark, d):
@@ -200,9 +214,13 @@ def runs(spark, d):
     return o.select((F.col("o_custkey") % 50).alias("relay"), F.col("o_orderpriority").alias("scope"), F.col("o_orderkey").cast("long").alias("ended_at"), (F.col("o_orderstatus") != "P").alias("completed"))
 
 
+def scope_of(n):
+    return F.element_at(F.array(*map(F.lit, ("1-URGENT", "2-HIGH", "5-LOW"))), (F.floor(n) % 3 + 1).cast("int"))
+
+
 def cursors(spark, d):
-    c = table(spark, d, "customer")
-    return c.groupBy((F.col("c_custkey") % 60).alias("relay")).agg(F.max(F.col("c_custkey").cast("long")).alias("last_synced_at")).select("relay", F.lit("1-URGENT").alias("scope"), "last_synced_at")
+    c = table(spark, d, "customer").select((F.col("c_custkey") % 60).alias("relay"), scope_of(F.col("c_custkey") / 60).alias("scope"), F.col("c_custkey").cast("long").alias("at"))
+    return c.groupBy("relay", "scope").agg(F.max("at").alias("last_synced_at"))
 
 
 @query
@@ -212,7 +230,7 @@ def cursor_advance(spark, d):
 
 @query
 def cursor_since(spark, d):
-    filters = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 70).alias("relay"), F.lit("1-URGENT").alias("scope"), F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("long")).alias("since"))
+    filters = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 70).alias("relay"), scope_of(F.col("p_partkey") / 70).alias("scope"), F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("long")).alias("since"))
     return state.scoped(filters, cursors(spark, d), 30).select("p_partkey", "since", "first")
 
 
@@ -269,7 +287,7 @@ def completed_authors(spark, d):
 @query
 def low_yield_discards(spark, d):
     o = table(spark, d, "orders")
-    batches = o.select(F.col("o_custkey").alias("relay"), F.col("o_orderkey").alias("batch"), F.floor(F.col("o_totalprice") / 1000).cast("long").alias("downloaded"), F.lit(60).cast("long").alias("authors"))
+    batches = o.select(F.col("o_custkey").alias("relay"), F.col("o_orderkey").alias("batch"), F.floor(F.col("o_totalprice") / 1000).cast("long").alias("downloaded"), F.when(F.col("o_orderkey") % 9 == 0, 0).otherwise(60).cast("long").alias("authors"))
     return state.low_yield_relays(batches, table(spark, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("relay")))
 
 
@@ -304,8 +322,10 @@ def settled_downloads(spark, d):
 
 @query
 def full_listings(spark, d):
+    """The ids of the listings that are complete and without a limit."""
     ids = table(spark, d, "orders").select((F.col("o_custkey") % 30).alias("relay"), (F.col("o_orderkey") % 1000).alias("id"))
-    complete = spark.range(35).select(F.col("id").alias("relay"), (F.col("id") % 3 != 0).alias("complete"), (F.col("id") % 5 == 0).alias("capped"))
+    relays = table(spark, d, "customer").select((F.col("c_custkey") % 35).alias("relay")).distinct()
+    complete = relays.select("relay", (F.col("relay") % 3 != 0).alias("complete"), (F.col("relay") % 5 == 0).alias("capped"))
     return state.full_listing(ids, complete)
 
 
@@ -322,20 +342,20 @@ def relay_author_counts(spark, d):
 @query
 def observers_by_scores(spark, d):
     by = S.edges(spark, d).join(S.scores(spark, d), "service").groupBy("observer").agg(F.count("*").alias("n"))
-    return by.orderBy(F.desc("n"), "observer").limit(10)
+    return by.orderBy(F.desc("n"), "observer")
 
 
 @query
 def routing_without_discarded(spark, d):
-    lists = author_relays(spark, d).select(F.col("author").cast("string").alias("author"), F.posexplode("relays").alias("pos", "relay"))
+    lists = author_relays(spark, d).select(F.col("author").cast("string").alias("author"), F.posexplode(F.transform("relays", lambda r: F.concat(F.lit("wss://"), r, F.lit(".example")))).alias("pos", "relay"))
     authors = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("author"))
-    routes = trust.routed(authors, lists, ["f0", "f0", "f0"], discarded=spark.createDataFrame([("r2",), ("r5",)], "relay string"))
+    routes = trust.routed(authors, lists, ["wss://f0.example"], discarded=spark.createDataFrame([("wss://r2.example",), ("wss://r5.example",)], "relay string"))
     return routes.groupBy("relay").agg(F.count("*").alias("n"))
 
 
 @query
 def least_loaded_relays(spark, d):
-    lists = author_relays(spark, d).where("author % 3 = 0").select("author", F.explode("relays").alias("relay"))
+    lists = author_relays(spark, d).select("author", F.explode("relays").alias("relay"))
     return discovery.least_loaded(lists)
 
 

@@ -34,12 +34,12 @@ ORACLE = {
     "stale_ids_absence_delete": "SELECT service, count(*) AS n FROM (SELECT l_suppkey AS service, max(l_quantity) AS best FROM lineitem GROUP BY l_orderkey, l_linenumber, l_suppkey, l_partkey) WHERE best <= 5 GROUP BY 1",
     "need_have_diff": "SELECT CASE WHEN o_orderstatus = 'P' THEN 'need' ELSE 'have' END AS side, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders WHERE (o_orderstatus <> 'P') <> (o_orderpriority <> '5-LOW') GROUP BY 1",
     "missing_identity": "WITH r AS (SELECT o_custkey AS author FROM orders UNION SELECT c_custkey FROM customer) SELECT author, 'profile' AS missing FROM r WHERE author NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT author, 'relay list' FROM r WHERE author NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",
-    "content_routing": f"WITH l AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS author, 'r' || CAST(o_orderkey % 7 AS VARCHAR) AS relay FROM orders WHERE o_orderpriority = '1-URGENT'), k AS (SELECT author, relay FROM l QUALIFY row_number() OVER (PARTITION BY author ORDER BY relay) <= 4), c AS (SELECT CAST(c_custkey AS VARCHAR) AS author FROM customer) SELECT k.author, relay FROM k JOIN c USING (author) UNION ALL SELECT author, 'fallback' || CAST(({HASH.format('author')} % 8 + i) % 8 AS VARCHAR) FROM c, (VALUES (0), (1)) v(i) WHERE author NOT IN (SELECT author FROM l)",
+    "content_routing": f"WITH l AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS author, 'wss://r' || (o_orderkey % 7) || '.example' AS relay FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 5 <> 0), k AS (SELECT author, relay FROM l QUALIFY row_number() OVER (PARTITION BY author ORDER BY relay) <= 4), c AS (SELECT CAST(c_custkey AS VARCHAR) AS author FROM customer) SELECT k.author, relay FROM k JOIN c USING (author) UNION ALL SELECT author, 'wss://fallback' || CAST(({HASH.format('author')} % 8 + i) % 8 AS VARCHAR) || '.example' FROM c, (VALUES (0), (1)) v(i) WHERE author NOT IN (SELECT author FROM l)",
     "fallback_hash_spread": f"SELECT page_id, CAST({HASH.format('url')} % 8 AS BIGINT) AS slot FROM pages",
     "popular_relays_top15": "SELECT c_nationkey AS relay, count(DISTINCT c_custkey) AS authors FROM customer WHERE c_nationkey NOT IN (0, 1) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15",
     "author_batches_500": "WITH a AS (SELECT DISTINCT l_suppkey % 10 AS relay, l_partkey AS author FROM lineitem), n AS (SELECT *, (row_number() OVER (PARTITION BY relay ORDER BY author) - 1) // 500 AS batch FROM a) SELECT relay, batch, count(*) AS n, min(author) AS first, max(author) AS last FROM n GROUP BY 1, 2",
     "refresh_slice": f"WITH {LEDGER} SELECT pubkey, content_synced_at FROM ledger WHERE content_synced_at BETWEEN 1 AND 20000 ORDER BY 2, 1 LIMIT 40",
-    "ttl_backlog_ranked": f"WITH {LEDGER} SELECT p_partkey AS subject, coalesce((SELECT max(l_quantity) FROM lineitem WHERE l_partkey = p_partkey), 0.0) AS rank FROM part WHERE p_partkey NOT IN (SELECT pubkey FROM ledger WHERE content_synced_at >= 30000) ORDER BY 2 DESC, 1 LIMIT 200",
+    "ttl_backlog_ranked": f"WITH {LEDGER} SELECT p_partkey AS subject, coalesce((SELECT max(l_quantity) FROM lineitem WHERE l_partkey = p_partkey), 0.0) AS rank FROM part WHERE p_partkey NOT IN (SELECT pubkey FROM ledger WHERE content_synced_at >= 30000)",
     "ledger_upsert": f"WITH {LEDGER} SELECT pubkey, CASE WHEN content_synced_at > 30000 THEN 5 ELSE content_synced_at END AS content_synced_at, outbox_checked_at FROM ledger",
     "synced_rate_eta": "WITH s AS (SELECT event_id, user_id, epoch_us(ts) / 1e6 AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS c, ts FROM events), r AS (SELECT event_id, t - first_value(t) OVER w AS span, c - first_value(c) OVER w AS more FROM s WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)), q AS (SELECT event_id, CASE WHEN span > 0 THEN round(more / span, 9) END AS rate FROM r) SELECT event_id, rate, CAST(floor(1000 / nullif(rate, 0)) AS BIGINT) AS eta FROM q",
     "tick_rates": "WITH b AS (SELECT date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n FROM events GROUP BY 1) SELECT day, n, n - lag(n) OVER (ORDER BY day) AS delta FROM b",

@@ -159,9 +159,9 @@ def missing_identity(spark, d):
 @query
 def content_routing(spark, d):
     authors = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("author"))
-    lists = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").cast("string").alias("author"), F.concat(F.lit("r"), F.col("o_orderkey") % 7).alias("relay")).distinct()
+    lists = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").cast("string").alias("author"), F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("ws://localhost:"), F.col("o_orderkey") % 7)).otherwise(F.concat(F.lit("wss://r"), F.col("o_orderkey") % 7, F.lit(".example"))).alias("relay")).distinct()
     lists = lists.withColumn("pos", F.row_number().over(Window.partitionBy("author").orderBy("relay")) - 1)
-    return trust.routed(authors, lists, [f"fallback{i}" for i in range(8)])
+    return trust.routed(authors, lists, [f"wss://fallback{i}.example" for i in range(8)])
 
 
 @query
@@ -193,7 +193,7 @@ def ttl_backlog_ranked(spark, d):
     fresh = S.ledger(spark, d).where("content_synced_at >= 30000").select(F.col("pubkey").alias("subject"))
     rank = S.scores(spark, d).groupBy("subject").agg(F.max("rank").alias("rank"))
     due = table(spark, d, "part").select(F.col("p_partkey").alias("subject")).join(fresh, "subject", "left_anti").join(rank, "subject", "left")
-    return due.withColumn("rank", F.coalesce("rank", F.lit(0.0))).orderBy(F.desc("rank"), "subject").limit(200)
+    return due.withColumn("rank", F.coalesce("rank", F.lit(0.0))).orderBy(F.desc("rank"), "subject")
 
 
 @query

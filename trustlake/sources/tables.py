@@ -39,7 +39,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Kinds follow the event's number, and tags and contents its ``k``: profiles, notes (some with subject, hashtags and
     places, some that expire), follows, deletions by id and by address, erasures, relay lists, trust lists, index relay
-    lists, ephemeral events, lists by address, and scores, some without a rank or a subject.
+    lists, ephemeral events, lists by address, and scores, some without a rank or a subject. Some profiles and deletions
+    had expired when they came.
     """
     k, n = F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("event_id")
     at = F.unix_date(F.to_date("ts")).cast("long") * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
@@ -56,9 +57,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.when(k % 4 == 0, c("ws://localhost:", k)).otherwise(c("wss://r", k % 7, ".example"))
     third = F.when(k % 2 == 0, F.lit("ws://192.168.1.1")).otherwise(c("wss://w", k % 3, ".example"))
     rank = F.when(k % 10 != 0, F.array(tag("rank", k.cast("string")))).otherwise(F.array().cast("array<array<string>>"))
+    lapsed = F.when(n % 96 == 0, F.array(tag("expiration", "1"))).when(n % 80 == 4, F.array(tag("expiration", "1"))).otherwise(F.array().cast("array<array<string>>"))
     tags = {
+        0: lapsed,
         2: F.array(tag("subject", c("subject w", k % 4)), tag("t", c("tag", k % 6)), tag("location", c("place ", k % 3)), tag("g", c("u4pr", k % 5))),
-        4: F.array(tag("e", named(n - k % 40))),
+        4: F.concat(F.array(tag("e", named(n - k % 40))), lapsed),
         5: F.array(tag("a", c("30000:u", (u + F.when(k % 3 == 0, 1).otherwise(0)) % 20, ":", k % 5))),
         7: F.array(tag("r", first), tag("r", c("wss://read", k % 5, ".example"), "read"), tag("r", third, "write")),
         8: F.array(tag("30382:rank", c("u", k % 20), c("wss://r", k % 3, ".example")), tag("30382:followers", c("u", (k + 1) % 20), "wss://f.example"), tag("30382:rank", c("u", (k + 3) % 20))),
