@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from trustlake.llm.common import map_arrow, text_or_empty, written
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Words have so many code points and occurrences at least; one in ``ERASED`` keeps of a document loses a code point.
 LEAST_LENGTH, LEAST_COUNT, ERASED = 5, 3, 97
 #: A trie takes groups of at most so many words and letters; larger groups are split by longer prefixes.
 MOST_WORDS, MOST_LETTERS = 10_000, 1 << 18
 #: Characters of text whose words are listed at a time, and different words that are counted before they are handed on.
 BLOCK, KEPT = 1 << 20, 200_000
+#: Pairs handed on at a time.
+PAIRS = 20_000
 
 
 def text_blocks(text: str) -> Iterator[str]:
@@ -35,9 +36,9 @@ def text_blocks(text: str) -> Iterator[str]:
         at = end
 
 
-def erased(key: str, word: str) -> str:
-    """The word, or the word without one code point where the hash of key and word says so."""
-    h = zlib.crc32(f"{key}:{word}".encode())
+def erased(begun: int, word: str) -> str:
+    """The word, or the word without one code point where its hash, gone on from that of what stands before it, says so."""
+    h = zlib.crc32(word.encode(), begun)
     if h % ERASED:
         return word
     at = h % len(word)
@@ -53,9 +54,11 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         counts = Counter()
         for k, t in zip(part.column(0).to_pylist(), part.column(1)):
-            for block in text_blocks(t.as_py()):
-                for word, n in Counter(RUN.findall(block.translate(LOWER))).items():
-                    word = erased(k, word)
+            begun = zlib.crc32(f"{k}:".encode())
+            # bytes have lower case for A to Z only
+            for block in text_blocks(t.as_py().lower().decode()):
+                for word, n in Counter(RUN.findall(block)).items():
+                    word = erased(begun, word)
                     if len(word) >= LEAST_LENGTH:
                         counts[word] += n
                 if len(counts) > KEPT:
@@ -63,7 +66,7 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                     counts = Counter()
         yield flushed(counts)
 
-    rows = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), text_or_empty(text).alias("t"))
+    rows = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.encode(text_or_empty(text), "utf-8").alias("t"))
     found = map_arrow(rows, run, "word string, n long", "t")
     return found.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
@@ -141,15 +144,16 @@ def keyed(words: DataFrame) -> DataFrame:
 
 
 def joined(groups: DataFrame) -> DataFrame:
-    """a, b of near words in groups (word, group, rest) of bounded size, each handled by one trie."""
+    """word, near of near words, in both orders, in groups (word, group, rest) of bounded size, each handled by one trie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, rests, now = [], [], None
 
         def pairs() -> Iterator[pa.RecordBatch]:
             found = list(near_pairs(rests)) if len(rests) > 1 else []
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([words[i] for i, _ in found], pa.string()), pa.array([words[j] for _, j in found], pa.string())], names=["a", "b"])
+            for at in range(0, len(found), PAIRS):
+                one, two = ([words[p[k]] for p in found[at : at + PAIRS]] for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(one + two, pa.string()), pa.array(two + one, pa.string())], names=["word", "near"])
 
         for batch in batches:
             for group, word, rest in zip(*(batch.column(c).to_pylist() for c in ("group", "word", "rest"))):
@@ -161,7 +165,7 @@ def joined(groups: DataFrame) -> DataFrame:
         yield from pairs()
 
     together = groups.select("group", "word", "rest").repartition("group").sortWithinPartitions("group")
-    return together.mapInArrow(run, "a string, b string")
+    return together.mapInArrow(run, "word string, near string")
 
 
 def near_words(vocabulary: DataFrame, most_words: int = MOST_WORDS, most_letters: int = MOST_LETTERS) -> DataFrame:
@@ -186,8 +190,7 @@ def near_words(vocabulary: DataFrame, most_words: int = MOST_WORDS, most_letters
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near")).union(pairs.select("b", "a"))
-    return both.distinct()
+    return pairs.distinct()
 
 
 def struct_of_largest(n: Column, word: Column) -> Column:
