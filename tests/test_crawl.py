@@ -103,15 +103,80 @@ def test_state_file_and_settings(spark, tmp_path, monkeypatch):
     assert stores.setting(spark, "A", f"file://{tmp_path}/env") == "own"
 
 
-def test_verification(spark):
-    # the first vector of the signature scheme's published test data
-    key, message = "F9308A019258C31049344F85F89D5229B531C845836F99B08601F113BCE036F9", bytes(32)
-    sig = "E907831F80848D1069A5371B402410364BDF1C5F8307B0084C55F1CE2DCA821525F66A4A85EA8B71E482A74F382D2CE5EBEEE8FDB2172F477DF4900D310536C0"
-    holds = lambda m, s: verify.signature_holds(m, bytes.fromhex(key), bytes.fromhex(s))
-    assert holds(message, sig) and not holds(b"\1" + message[1:], sig) and not holds(message, "00" + sig[2:])
-    good = hashlib.sha256(verify.canonical("p", 1, 1, [["t", "é"]], 'say "x"')).hexdigest()
-    e = log(spark, [(good, "p", 1, 1, [["t", "é"]], 'say "x"'), ("bad", "p", 1, 1, [], "")])
-    assert ids(verify.only_verified(e, signed=False)) == [good] and ids(verify.only_verified(e)) == []
+#: Vectors of the signature scheme's published test data: key, message, signature, whether it holds.
+VECTORS = [
+    ("F9308A019258C31049344F85F89D5229B531C845836F99B08601F113BCE036F9", "00" * 32, "E907831F80848D1069A5371B402410364BDF1C5F8307B0084C55F1CE2DCA821525F66A4A85EA8B71E482A74F382D2CE5EBEEE8FDB2172F477DF4900D310536C0", True),
+    ("DFF1D77F2A671C5F36183726DB2341BE58FEAE1DA2DECED843240F7B502BA659", "243F6A8885A308D313198A2E03707344A4093822299F31D0082EFA98EC4E6C89", "6896BD60EEAE296DB48A229FF71DFE071BDE413E6D43F917DC8DCF8C78DE33418906D11AC976ABCCB20B091292BFF4EA897EFCB639EA871CFA95F6DE339E4B0A", True),
+    ("DFF1D77F2A671C5F36183726DB2341BE58FEAE1DA2DECED843240F7B502BA659", "243F6A8885A308D313198A2E03707344A4093822299F31D0082EFA98EC4E6C88", "6896BD60EEAE296DB48A229FF71DFE071BDE413E6D43F917DC8DCF8C78DE33418906D11AC976ABCCB20B091292BFF4EA897EFCB639EA871CFA95F6DE339E4B0A", False),
+]
+
+
+def sign(secret: int, message: bytes) -> tuple[bytes, bytes]:
+    """A signature with a nonce from the message, for tests."""
+    affine = lambda p: (p[0] * pow(p[2], -2, verify.P) % verify.P, p[1] * pow(p[2], -3, verify.P) % verify.P)
+    x, y = affine(verify.times_generator(secret))
+    d = secret if y % 2 == 0 else verify.N - secret
+    k = verify.tagged("nonce", message + secret.to_bytes(32, "big")) % verify.N
+    rx, ry = affine(verify.times_generator(k))
+    k = k if ry % 2 == 0 else verify.N - k
+    key, r = x.to_bytes(32, "big"), rx.to_bytes(32, "big")
+    e = verify.tagged("BIP0340/challenge", r + key + message) % verify.N
+    return key, r + ((k + e * d) % verify.N).to_bytes(32, "big")
+
+
+def test_signatures_in_batches():
+    rows = [tuple(bytes.fromhex(x) for x in (m, k, s)) for k, m, s, _ in VECTORS]
+    assert verify.signatures_hold(rows) == [v[3] for v in VECTORS] and verify.signatures_hold([]) == []
+    many = []
+    for i in range(300):
+        message = hashlib.sha256(str(i).encode()).digest()
+        many.append((message, *sign(1000 + i % 7, message)))
+    bad = dict.fromkeys((17, 200, 299))
+    for i in bad:
+        many[i] = (many[i][0], many[i][1], many[i][2][:63] + bytes([many[i][2][63] ^ 1]))
+    many += [(b"", b"", b""), (many[0][0], b"\xff" * 32, many[0][2]), (many[0][0], many[0][1], b"\xff" * 64)]
+    assert verify.signatures_hold(many) == [i not in bad for i in range(300)] + [False] * 3
+
+
+def test_a_signature_costs_little():
+    import time
+
+    many = [(m := hashlib.sha256(str(i).encode()).digest(), *sign(5 + i, m)) for i in range(1000)]
+    many[500] = (many[500][0], many[500][1], many[501][2])
+    verify.generator_table()
+    verify.with_even_y.cache_clear()
+    began = time.process_time()
+    assert sum(verify.signatures_hold(many)) == 999
+    assert (time.process_time() - began) / len(many) < 0.006  # with one bad signature to find among a thousand
+    began = time.process_time()
+    assert all(verify.signatures_hold(many[:500]))
+    assert (time.process_time() - began) / 500 < 0.002
+
+
+def test_canonical_forms_and_ids(spark):
+    import json
+
+    texts = ['say "x"', "a\\b\n\r\t\b\f", "\x00\x01\x0b\x1f\x7f", "é 漢 \U0001f600", "", "</script>"]
+    rows = [(i, f"p{i}", 7, 1, [["t", t], [], [t, "", t]], t) for i, t in enumerate(texts)]
+    form = lambda p, at, k, tags, c: json.dumps([0, p, at, k, tags, c], ensure_ascii=False, separators=(",", ":"))
+    good = [(hashlib.sha256(form(*r[1:]).encode()).hexdigest(), *r[1:]) for r in rows]
+    bad = [("0" * 64, *rows[0][1:]), (None, *rows[1][1:]), (good[0][0], None, *rows[0][2:]), (good[0][0], "p0", 7, 1, None, texts[0]), (good[0][0], "p0", 7, 1, [None], texts[0])]
+    e = log(spark, good + bad)
+    assert ids(verify.only_verified(e, signatures=False)) == sorted(r[0] for r in good)
+    assert ids(verify.only_verified(e)) == []
+    null_in_tag = hashlib.sha256(form("p", 1, 1, [["t", None]], "").encode()).hexdigest()
+    assert ids(verify.only_verified(log(spark, [(null_in_tag, "p", 1, 1, [["t", None]], "")]), signatures=False)) == [null_in_tag]
+
+
+def test_signed_events(spark):
+    rows = []
+    for i in range(6):
+        key, _ = sign(i + 1, b"")
+        said = f'[0,"{key.hex()}",{i},1,[],""]'
+        digest = hashlib.sha256(said.encode()).digest()
+        rows.append((digest.hex(), key.hex(), i, 1, [], "", (sign(i + 1 if i != 3 else 9, digest)[1]).hex() if i < 5 else None))
+    found = verify.only_verified(spark.createDataFrame(rows, EVENTS))
+    assert sorted(r["created_at"] for r in found.collect()) == [0, 1, 2, 4]
 
 
 def test_stream_into_store(spark, tmp_path):

@@ -151,11 +151,6 @@ def since_with_slack(cursor: Column, since: Column, slack: int = 3600) -> Column
     return F.coalesce(cursor - slack, since)
 
 
-def hex_key(text: Column) -> Column:
-    """A key of 64 hexadecimal digits in lower case, null for anything else."""
-    return F.when(F.trim(text).rlike("^[0-9a-fA-F]{64}$"), F.lower(F.trim(text)))
-
-
 def search_extension(query: Column, name: str) -> Column:
     """The value of ``name:value`` in a query, null without one."""
     return F.nullif(F.regexp_extract(query, rf"(?:^|\s){name}:(\S+)", 1), F.lit(""))

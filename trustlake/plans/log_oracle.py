@@ -55,6 +55,32 @@ CURSORS = f"cursors AS (SELECT c_custkey % 60 AS relay, {SCOPE}[c_custkey // 60
 RELAYS = "l AS (SELECT DISTINCT o_custkey AS author, 'r' || (o_orderkey % 7) AS relay FROM orders)"
 #: A number in short form, rounded half up to a tenth.
 COMPACT = "CASE WHEN {0} >= 10000000 THEN ({0} // 1000000) || 'M' WHEN {0} >= 1000000 THEN (({0} * 10 + 500000) // 1000000 // 10) || '.' || (({0} * 10 + 500000) // 1000000 % 10) || 'M' WHEN {0} >= 100000 THEN ({0} // 1000) || 'k' WHEN {0} >= 1000 THEN (({0} * 10 + 500) // 1000 // 10) || '.' || (({0} * 10 + 500) // 1000 % 10) || 'k' ELSE CAST({0} AS VARCHAR) END"
+#: The customers' places.
+PLACES = """places AS (
+  SELECT c_custkey, CASE c_custkey % 50 WHEN 0 THEN 90.0 WHEN 1 THEN -90.0 ELSE (c_custkey * 7919 % 180001 - 90000) / 1000.0 END::DOUBLE AS lat,
+         CASE c_custkey % 40 WHEN 0 THEN 180.0 WHEN 1 THEN -180.0 ELSE (c_custkey * 104729 % 360001 - 180000) / 1000.0 END::DOUBLE AS lon FROM customer)"""
+
+
+def bisected(points: str, bits: int, name: str = "cells") -> str:
+    """SQL of the cells of points (id, lat, lon): the ranges are halved once for each bit, by turns; points may repeat an id."""
+    return f"""{name}_cut AS (
+  SELECT id, lat, lon, -180.0::DOUBLE AS a, 180.0::DOUBLE AS b, -90.0::DOUBLE AS c, 90.0::DOUBLE AS d, 0 AS step, '' AS word, 0 AS v FROM {points}
+  UNION ALL
+  SELECT id, lat, lon, CASE WHEN even AND up THEN (a + b) / 2 ELSE a END, CASE WHEN even AND NOT up THEN (a + b) / 2 ELSE b END,
+         CASE WHEN NOT even AND up THEN (c + d) / 2 ELSE c END, CASE WHEN NOT even AND NOT up THEN (c + d) / 2 ELSE d END,
+         step + 1, CASE WHEN step % 5 = 4 THEN word || '0123456789bcdefghjkmnpqrstuvwxyz'[v * 2 + up::INT + 1] ELSE word END, CASE WHEN step % 5 = 4 THEN 0 ELSE v * 2 + up::INT END
+  FROM (SELECT *, step % 2 = 0 AS even, CASE WHEN step % 2 = 0 THEN lon >= (a + b) / 2 ELSE lat >= (c + d) / 2 END AS up FROM {name}_cut WHERE step < {bits})),
+{name} AS (SELECT id, word AS code, a, b, c, d FROM {name}_cut WHERE step = {bits})"""
+
+
+def around(precision: int) -> str:
+    """SQL of the cells round the places: the middles of the neighbours, over the date line and the poles, are looked up."""
+    return f"""points{precision} AS (SELECT c_custkey AS id, lat, lon FROM places), {bisected(f'points{precision}', 5 * precision, f'own{precision}')},
+moved{precision} AS (SELECT id, (c + d) / 2 + y * (d - c) AS lat, (a + b) / 2 + x * (b - a) AS lon FROM own{precision}, (VALUES (-1), (0), (1)) h(x), (VALUES (-1), (0), (1)) v(y)),
+turned{precision} AS (SELECT id, CASE WHEN lat > 90 THEN 180 - lat WHEN lat < -90 THEN -180 - lat ELSE lat END AS lat, CASE WHEN abs(lat) > 90 THEN lon + 180 ELSE lon END AS lon FROM moved{precision}),
+there{precision} AS (SELECT id, lat, lon - 360 * floor((lon + 180) / 360) AS lon FROM turned{precision}), {bisected(f'there{precision}', 5 * precision, f'all{precision}')},
+near{precision} AS (SELECT id AS c_custkey, array_to_string(list_sort(list_distinct(list(code))), ' ') AS near{precision} FROM all{precision} GROUP BY 1)"""
+
 
 ORACLE = {
     "log_current_events": f"WITH {CUR} SELECT id, pubkey, kind, created_at FROM cur",
@@ -135,15 +161,24 @@ SELECT relay, bool_or(t = 'i') AS sweep, count(*) FILTER (t = 'o') AS outboxes,
 SELECT o_orderkey, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || (s % 3600 // 60) || 'm' WHEN s >= 60 THEN (s // 60) || 'm' ELSE s || 's' END AS age,
        CASE WHEN n < 3600 THEN (n // 60) || 'm' WHEN n < 86400 THEN (n // 3600) || 'h ' || (n % 3600 // 60) || 'm' ELSE (n // 86400) || 'd ' || (n % 86400 // 3600) || 'h' END AS eta,
        format('{:,}', n) AS num, CAST(CASE WHEN o_orderkey % 103 > 0 THEN trunc((o_orderkey % 97)::DOUBLE / (o_orderkey % 103) * 100) ELSE 0 END AS INT) AS pct FROM o""",
-    "key_resolution": "SELECT p_partkey, CASE WHEN p_partkey % 4 IN (0, 3) THEN sha256(CAST(p_partkey AS VARCHAR)) END AS key FROM part",
+    "key_resolution": "SELECT p_partkey, CASE WHEN p_partkey % 10 IN (0, 3, 4, 5) THEN sha256(CAST(p_partkey AS VARCHAR)) END AS key FROM part",
+    "place_cells": f"WITH RECURSIVE {PLACES}, points AS (SELECT c_custkey AS id, lat, lon FROM places), {bisected('points', 60)} SELECT id AS c_custkey, {', '.join(f'code[1:{p}] AS p{p}' for p in range(1, 13))} FROM cells",
+    "place_cells_near": f"""WITH RECURSIVE {PLACES}, {around(2)}, {around(5)}
+SELECT c_custkey, near2, near5 FROM near2 JOIN near5 USING (c_custkey)""",
     "log_line_classes": "SELECT ['phase', 'gauge', 'failure', 'warning', 'done', 'progress', 'tag', 'note', 'failure', 'tag'][o_orderkey % 10 + 1] AS what, count(*) AS n FROM orders GROUP BY 1",
     "status_lines": f"""SELECT o_orderkey, '  ~ relays ' || (o_orderkey % 10) || '/10 | recv ' || {COMPACT.format("(o_orderkey * 100)")} || CASE WHEN o_orderkey % 2 = 1 THEN ' (1.5k/s)' ELSE '' END || ' new ' || {COMPACT.format("(o_orderkey * 10)")} ||
   CASE WHEN o_orderkey % 60 = 0 THEN '' ELSE printf(' | vrf %.1fx wait %.1fx ins %d%%', o_orderkey % 3 / 2, o_orderkey % 5 / 2, o_orderkey % 4 * 25) END AS line FROM orders""",
     "capability_counts": "SELECT count(*) FILTER (s_nationkey % 3 = 1) AS can, count(*) FILTER (s_nationkey % 3 = 2) AS cannot, count(*) FILTER (s_nationkey % 3 = 0) AS unknown FROM supplier",
     "ledger_counts": f"WITH {LEDGER} SELECT count(*) AS n, count(*) FILTER (content_synced_at > 0) AS synced, count(*) FILTER (outbox_checked_at > 0) AS checked FROM ledger",
     "verified_ids": "SELECT 'order ' || o_orderpriority AS content, count(*) AS n FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1",
-    "stream_streaks": """WITH e AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad, lag(ts) OVER w AS before, lag(event_type) OVER w = 'error' AS was FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-s AS (SELECT *, sum(CASE WHEN bad AND was AND ts - before <= INTERVAL 3 DAY THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM e),
-l AS (SELECT user_id, island, bad FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
-SELECT l.user_id, CASE WHEN l.bad THEN count(*) ELSE 0 END AS errors, l.bad AND count(*) >= 2 AS dead FROM l JOIN s USING (user_id, island) GROUP BY l.user_id, l.bad""",
+    "stream_streaks": """WITH s AS (SELECT user_id, event_type, count(*) FILTER (event_type <> 'error') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events),
+l AS (SELECT user_id, max(island) AS island FROM s GROUP BY 1)
+SELECT user_id, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type = 'error') >= 2 AS dead FROM l JOIN s USING (user_id, island) GROUP BY 1""",
+    "stream_ttl_dead": """WITH e AS (SELECT user_id, date_trunc('millisecond', ts) AS ts, event_id, event_type = 'error' AS bad FROM events),
+p AS (SELECT *, lag(ts) OVER w AS before, lag(bad) OVER w AS was FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(CASE WHEN bad AND was AND ts - before < INTERVAL 2 DAY THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM p),
+l AS (SELECT user_id, island FROM s QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, count(*) AS errors, max(ts) + INTERVAL 2 DAY AS dead_until FROM l JOIN s USING (user_id, island) WHERE bad GROUP BY 1
+HAVING count(*) >= 2 AND max(ts) + INTERVAL 2 DAY > (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""",
+    "stream_late_windows": "SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS start, event_type, count(*) AS n, true AS no_more_in_time FROM events GROUP BY 1, 2",
 }

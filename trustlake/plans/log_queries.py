@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trustlake.functions import columns as C
-from trustlake.functions import verify
+from trustlake.functions import keys, verify
+from trustlake.functions import places as P
 from trustlake.operators import discovery, search, state, store, trust
 from trustlake.plans.queries import query
 from trustlake.schema import NOTE, SCORE
@@ -397,9 +398,38 @@ def format_durations(spark, d):
 
 @query
 def key_resolution(spark, d):
-    key = F.sha2(F.col("p_partkey").cast("string"), 256)
-    text = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("  "), F.upper(key), F.lit(" "))).when(F.col("p_partkey") % 4 == 1, F.substring(key, 1, 63)).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("g"), F.substring(key, 1, 63))).otherwise(key)
-    return table(spark, d, "part").select("p_partkey", C.hex_key(text).alias("key"))
+    """Keys in the forms people write: hexadecimal, as checked words, with spaces, in capitals; cut, damaged and mixed ones are none."""
+    rows = table(spark, d, "part").select("p_partkey", F.sha2(F.col("p_partkey").cast("string"), 256).alias("key"))
+    rows = rows.withColumn("word", keys.key_word(F.col("key")))
+    key, word, n = F.col("key"), F.col("word"), F.col("p_partkey") % 10
+    at = (F.col("p_partkey") % 50 + 10).cast("int")
+    damaged = F.concat(F.substring(word, 1, 62), F.when(F.substring(word, -1, 1) == "q", "p").otherwise("q"))
+    swapped = F.concat(F.substring(word, F.lit(1), at - 1), F.when(F.substring(word, at, F.lit(1)) == "z", "x").otherwise("z"), F.substring(word, at + 1, F.lit(80)))
+    forms = [F.concat(F.lit("  "), F.upper(key), F.lit(" ")), F.substring(key, 1, 63), F.concat(F.lit("g"), F.substring(key, 1, 63)), key, word, F.concat(F.lit(" "), F.upper(word)), damaged, swapped, F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 80)), F.concat(word, F.lit("q"))]
+    text = F.element_at(F.array(*forms), (n + 1).cast("int"))
+    return rows.select("p_partkey", text.alias("text")).select("p_partkey", keys.resolved_key(F.col("text")).alias("key"))
+
+
+def places(spark, d):
+    """Customers at places on the whole earth, poles and date line among them."""
+    n = F.col("c_custkey").cast("long")
+    lat = F.when(n % 50 == 0, 90.0).when(n % 50 == 1, -90.0).otherwise((n * 7919 % 180_001 - 90_000) / 1000.0)
+    lon = F.when(n % 40 == 0, 180.0).when(n % 40 == 1, -180.0).otherwise((n * 104_729 % 360_001 - 180_000) / 1000.0)
+    return table(spark, d, "customer").select("c_custkey", lat.alias("lat"), lon.alias("lon"))
+
+
+@query
+def place_cells(spark, d):
+    """The cells of all precisions."""
+    names = [P.cell(F.col("lat"), F.col("lon"), p).alias(f"p{p}") for p in range(1, 13)]
+    return places(spark, d).select("c_custkey", *names)
+
+
+@query
+def place_cells_near(spark, d):
+    """A place's cell and those around it, at a coarse and a finer precision."""
+    near = lambda p: F.array_join(F.array_sort(P.cells_near(F.col("lat"), F.col("lon"), p)), " ")
+    return places(spark, d).select("c_custkey", near(2).alias("near2"), near(5).alias("near5"))
 
 
 LINES = ("=== phase 1 ===", "~ relays 4/9 | recv 3", "! host sync failed: x", "! host slow", "DONE - all", "[42/127] host  10040=1", "[state] saved", "a plain note", "  ! event dropped", "  [sync 2] +5")
@@ -436,4 +466,4 @@ def verified_ids(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").cast("long").alias("created_at"), F.sha2(F.col("o_custkey").cast("string"), 256).alias("pubkey"), F.concat(F.lit("order "), F.col("o_orderpriority")).alias("content"))
     said = F.concat(F.lit('[0,"'), "pubkey", F.lit('",'), F.col("created_at") - (F.col("created_at") % 3 == 0).cast("int"), F.lit(',1,[],"'), "content", F.lit('"]'))
     e = o.select(F.sha2(said, 256).alias("id"), "pubkey", "created_at", F.lit(1).alias("kind"), F.array().cast("array<array<string>>").alias("tags"), "content", F.lit("").alias("sig"))
-    return verify.only_verified(e, signed=False).groupBy("content").agg(F.count("*").alias("n"))
+    return verify.only_verified(e, signatures=False).groupBy("content").agg(F.count("*").alias("n"))

@@ -74,5 +74,4 @@ ORACLE = {
     "download_labels": "WITH b AS (SELECT user_id AS u, event_type, min(ts) AS a, max(ts) AS b FROM events GROUP BY 1, 2) SELECT u AS user_id, event_type, 'r' || (u % 5) || '.example k' || u || ' author' || lpad(CAST(u AS VARCHAR), 6, '0')[1:2] || CASE WHEN u % 3 = 0 AND u % 2 = 1 THEN '' ELSE ' ' || CASE WHEN u % 3 <> 0 THEN strftime(a, '%m-%d') ELSE chr(8230) END || '..' || CASE WHEN u % 2 = 0 THEN strftime(b, '%m-%d') ELSE chr(8230) END END AS label FROM b",
     "stream_dedup": "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1",
     "stream_tumbling_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
-    "stream_ttl_dead": "SELECT user_id, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type = 'error') >= 3 AS dead FROM events GROUP BY 1",
 }

@@ -440,11 +440,38 @@ def stream_tumbling_counts(spark, d):
     return streams.drained(streams.tumbling_counts(streams.event_stream(spark, d)), "complete")
 
 
+#: Slices of time that a stream reads one by one, so that state lives through several batches.
+SLICES = 5
+
+
+def sliced(spark, d, late=None):
+    rows = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    path = streams.in_slices(spark, rows, "ts", SLICES, late)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path), rows.schema
+
+
 @query
 def stream_ttl_dead(spark, d):
-    return streams.drained(streams.timeouts(streams.event_stream(spark, d)))
+    """Users with three errors in a row, in a stream of several batches, and how long they count as dead; the marks that have lapsed are gone."""
+    changes = streams.drained(streams.error_marks(sliced(spark, d)[0], 2, 2 * 86400.0))
+    return streams.latest(changes).where("dead_until is not null").select("user_id", "errors", F.col("dead_until").cast("timestamp_ntz").alias("dead_until"))
 
 
 @query
 def stream_streaks(spark, d):
-    return streams.drained(streams.streaks(streams.event_stream(spark, d), dead_after=2, ttl=3 * 86400.0))
+    """Each user's errors in a row at the end of a stream of several batches."""
+    return streams.latest(streams.drained(streams.error_marks(sliced(spark, d)[0], 2, 10_000 * 86400.0))).select("user_id", "errors", (F.col("errors") >= 2).alias("dead"))
+
+
+@query
+def stream_late_windows(spark, d):
+    """Events by day and type from a stream in which some come two batches late: counted in time, late, and after a backfill."""
+    home = S.shared_home(spark, "windows")
+    stream, schema = sliced(spark, d, F.col("event_id") % 7 == 0)
+    held = streams.LateWindows(spark, home, "ts", 86_400_000, 3_600_000, ["event_type"])
+    held_query = stream.writeStream.foreachBatch(held.put).trigger(availableNow=True).option("checkpointLocation", f"{home}-checkpoint").start()
+    held_query.awaitTermination()
+    in_time = S.saver(spark)(held.windows().select("start_ms", "event_type", F.col("n").alias("in_time")))
+    held.backfill(schema)
+    both = held.windows().join(in_time, ["start_ms", "event_type"], "left")
+    return both.select((F.col("start_ms") / 1000).cast("long").alias("start"), "event_type", "n", (F.coalesce("in_time", F.lit(0).cast("long")) <= F.col("n")).alias("no_more_in_time"))

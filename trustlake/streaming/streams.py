@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trustlake.operators.filters import EventFilter
 from trustlake.operators.store import need_have
+from trustlake.sources.commits import Commits
 from trustlake.sources.stores import EventStore
 from trustlake.sources.tables import shared_home
 
@@ -38,29 +40,147 @@ def tumbling_counts(stream: DataFrame, size: str = "1 day", slack: str = "1 hour
     return by.select(F.col("window.start").cast("timestamp_ntz").alias("day"), "event_type", "n")
 
 
-def timeouts(stream: DataFrame, dead_after: int = 3) -> DataFrame:
-    """user_id, errors, dead: errors so far of each key; a key is dead from ``dead_after`` errors on."""
+CHANGES = "user_id long, errors long, dead_until timestamp, at timestamp"
 
-    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = (state.get[0] if state.exists else 0) + sum(int((b["event_type"] == "error").sum()) for b in batches)
-        state.update((n,))
-        yield pd.DataFrame({"user_id": [key[0]], "errors": [n], "dead": [n >= dead_after]})
 
-    return stream.groupBy("user_id").applyInPandasWithState(count, "user_id long, errors long, dead boolean", "n long", "append", GroupStateTimeout.NoTimeout)
+class ErrorMarks(StatefulProcessor):
+    """Errors in a row of each key, in event time, and the mark that enough of them set.
 
+    Anything else ends a row of errors, and so does a pause of ``ttl_ms``. From ``dead_after`` errors on a key is dead
+    until ``ttl_ms`` after the last one; a timer then lets the mark lapse and the state go, whether events come or not.
+    Each batch gives one row for a key that changed, a lapse one with no errors and no mark.
+    """
+
+    def __init__(self, dead_after: int, ttl_ms: int):
+        self.dead_after, self.ttl_ms = dead_after, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "errors long, last_ms long")
+
+    def _row(self, key: tuple, errors: int, last_ms: int) -> pd.DataFrame:
+        dead = pd.Timestamp(last_ms + self.ttl_ms, unit="ms") if errors >= self.dead_after else pd.NaT
+        return pd.DataFrame({"user_id": [key[0]], "errors": [errors], "dead_until": [dead], "at": [pd.Timestamp(last_ms, unit="ms")]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before = errors, last = self.run.get() if self.run.exists() else (0, 0)
+        events = pd.concat([b[["ms", "event_id", "event_type"]] for b in rows]).sort_values(["ms", "event_id"])
+        for at, kind in zip(events["ms"], events["event_type"]):
+            errors, last = ((errors if errors and at - last < self.ttl_ms else 0) + 1, at) if kind == "error" else (0, at)
+        if before[0]:
+            self.handle.deleteTimer(int(before[1]) + self.ttl_ms)
+        if errors:
+            self.run.update((int(errors), int(last)))
+            self.handle.registerTimer(int(last) + self.ttl_ms)
+        else:
+            self.run.clear()
+        yield self._row(key, int(errors), int(last))
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        errors, last = self.run.get() if self.run.exists() else (0, 0)
+        if errors and last + self.ttl_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.run.clear()
+            yield self._row(key, 0, int(last) + self.ttl_ms)
+
+    def close(self) -> None:
+        pass
 
-def streaks(stream: DataFrame, dead_after: int = 3, ttl: float = 6 * 3600.0) -> DataFrame:
-    """user_id, errors, dead: errors in a row of each key, in event time. Anything else ends a row of errors, and so does a pause beyond ``ttl`` seconds."""
 
-    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, last = state.get if state.exists else (0, 0.0)
-        rows = pd.concat([b[["ts", "event_id", "event_type"]] for b in batches]).sort_values(["ts", "event_id"])
-        for at, kind in zip(rows["ts"].map(lambda t: t.timestamp()), rows["event_type"]):
-            n, last = ((n if n and at - last <= ttl else 0) + 1, at) if kind == "error" else (0, at)
-        state.update((n, last))
-        yield pd.DataFrame({"user_id": [key[0]], "errors": [n], "dead": [n >= dead_after]})
+#: The state store that keyed state with timers needs: on disk, with the memory of its cache only.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-    return stream.groupBy("user_id").applyInPandasWithState(count, "user_id long, errors long, dead boolean", "n long, last double", "append", GroupStateTimeout.NoTimeout)
+
+def error_marks(stream: DataFrame, dead_after: int = 3, ttl: float = 6 * 3600.0, slack: str = "1 hour") -> DataFrame:
+    """Changes (``CHANGES``) of each user's errors in a row and dead mark, from a stream with user_id, event_id, event_type and ts.
+
+    State ends with a row of errors or when its mark lapses, at the latest ``ttl`` seconds after the watermark has
+    passed its last event. The query has to run with ``STATE_STORE``, as ``drained`` sees to; ``latest`` gives one row a key.
+    """
+    rows = stream.withWatermark("ts", slack).select("user_id", "event_id", "event_type", "ts", F.unix_millis("ts").alias("ms"))
+    return rows.groupBy("user_id").transformWithStateInPandas(ErrorMarks(dead_after, int(ttl * 1000)), CHANGES, "Append", "EventTime")
+
+
+def latest(changes: DataFrame, key: str = "user_id", at: str = "at") -> DataFrame:
+    """The last change of each key; of one time the one with fewer errors, as it is a lapse."""
+    others = [c for c in changes.columns if c != key]
+    by = changes.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(at, -F.col("errors"))).alias("last"))
+    return by.select(key, *[f"last.{c}" for c in others])
+
+
+def in_slices(spark: SparkSession, rows: DataFrame, at: str, slices: int, late: Column | None = None) -> str:
+    """A folder of Parquet files, one for each slice of time in order (rows for which ``late`` holds come two slices after theirs), for streams that read a file at a time."""
+    home = shared_home(spark, "slices")
+    ends = rows.agg(F.min(F.unix_micros(at)).alias("low"), F.max(F.unix_micros(at)).alias("high"))
+    place = F.least(F.lit(slices - 1), F.floor((F.unix_micros(at) - F.col("low")) * slices / F.greatest(F.lit(1), F.col("high") - F.col("low"))).cast("int"))
+    place = place if late is None else F.when(late, F.least(F.lit(slices), place + 2)).otherwise(place)
+    placed = rows.join(F.broadcast(ends)).withColumn("slice", place).drop("low", "high")
+    placed.repartition("slice").write.partitionBy("slice").parquet(f"{home}/parts")
+    for i in range(slices + (late is not None)):
+        # a file source takes files in the order of their times
+        part = spark.read.schema(rows.schema).parquet(f"{home}/parts/slice={i}*")
+        part.coalesce(1).write.mode("append").parquet(f"{home}/in")
+    return f"{home}/in"
+
+
+class LateWindows:
+    """Counts by tumbling window that late rows do not fall out of.
+
+    Each batch splits its rows by the watermark, which is the greatest time of earlier batches less the slack: rows of
+    windows that are still open are counted, others go to a table of late rows as they are. A backfill counts these and
+    adds them to their windows, which are the only ones it touches. Folders are named by batch, and a batch or backfill
+    that comes again replaces its own; the watermark of each batch is committed, and a retried batch finds its own again.
+    """
+
+    def __init__(self, spark: SparkSession, home: str, at: str, size_ms: int, slack_ms: int, keys: list[str]):
+        self.spark, self.home, self.at, self.size, self.slack, self.keys = spark, home.rstrip("/"), at, size_ms, slack_ms, keys
+        self.commits = Commits(spark, home)
+
+    def _window(self) -> Column:
+        ms = F.unix_millis(self.at)
+        return (ms - F.pmod(ms, F.lit(self.size))).alias("start_ms")
+
+    def put(self, batch: DataFrame, number: int) -> None:
+        """What ``foreachBatch`` calls."""
+        while self.commits.latest()[0] < number:
+            last, document = self.commits.latest()
+            self.commits.commit(last + 1, {"watermark": document.get("next"), "next": document.get("next")})
+        document = self.commits.at(number)
+        mark = document["watermark"]
+        batch = batch.withColumn("start_ms", self._window()).persist()
+        closed = F.lit(False) if mark is None else F.col("start_ms") + self.size <= mark
+        try:
+            batch.where(closed).drop("start_ms").write.mode("overwrite").parquet(f"{self.home}/data/late/batch={number}")
+            counts = batch.where(~closed).groupBy("start_ms", *self.keys).agg(F.count("*").alias("n"))
+            counts.write.mode("overwrite").parquet(f"{self.home}/data/counts/part=b{number}")
+            newest = batch.agg(F.max(F.unix_millis(self.at))).first()[0]
+        finally:
+            batch.unpersist()
+        following = mark if newest is None else max(newest - self.slack, mark if mark is not None else newest - self.slack)
+        if self.commits.latest()[0] == number:
+            self.commits.commit(number + 1, {"watermark": following, "next": following})
+
+    def windows(self) -> DataFrame:
+        """start_ms, the keys and n of every window so far."""
+        kinds = ", ".join(f"`{k}` string" for k in self.keys)
+        parts = self.spark.read.schema(f"start_ms long, {kinds}, n long, part string").parquet(f"{self.home}/data/counts")
+        return parts.groupBy("start_ms", *self.keys).agg(F.sum("n").alias("n"))
+
+    def late(self, schema: T.StructType) -> DataFrame:
+        """The late rows that no backfill has taken yet, with the batch they came in."""
+        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{self.home}/data/late")
+        done = [int(n.removeprefix("part=f")) for n in self.commits.names("data/counts") if n.startswith("part=f")]
+        return rows.where(~F.col("batch").isin(*done)) if done else rows
+
+    def backfill(self, schema: T.StructType) -> int:
+        """Counts the late rows into their windows and returns how many windows those are."""
+        batches = [r["batch"] for r in self.late(schema).select("batch").distinct().collect()]
+        touched = 0
+        for b in batches:
+            rows = self.spark.read.schema(schema).parquet(f"{self.home}/data/late/batch={b}")
+            counts = rows.withColumn("start_ms", self._window()).groupBy("start_ms", *self.keys).agg(F.count("*").alias("n"))
+            counts.write.mode("overwrite").parquet(f"{self.home}/data/counts/part=f{b}")
+            touched += self.spark.read.parquet(f"{self.home}/data/counts/part=f{b}").select("start_ms").distinct().count()
+        return touched
 
 
 class Gauges(StreamingQueryListener):
@@ -87,6 +207,8 @@ class Gauges(StreamingQueryListener):
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """All that a stream gives now, as a table below ``spark.checkpoint.dir``, where its checkpoint and state stand too."""
     spark = stream.sparkSession
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
     home, paths = shared_home(spark, "stream"), {}
 
     def save(batch: DataFrame, number: int) -> None:
