@@ -49,6 +49,7 @@ trusted AS ({trusted})
 SELECT id, author, round(score * (1 + coalesce(trust, 0.0)), 6) AS score FROM ranked LEFT JOIN trusted USING (author) WHERE coalesce(trust, 0.0) >= {floor}"""
 
 
+ALL_TIERS = {"primary": 3.0, "secondary": 2.0, "body": 1.0, "location": 0.5}
 RUNS = "runs AS (SELECT o_custkey % 50 AS relay, o_orderpriority AS scope, o_orderkey AS ended_at, o_orderstatus <> 'P' AS completed FROM orders)"
 SCOPE = "['1-URGENT', '2-HIGH', '5-LOW']"
 CURSORS = f"cursors AS (SELECT c_custkey % 60 AS relay, {SCOPE}[c_custkey // 60 % 3 + 1] AS scope, max(c_custkey) AS last_synced_at FROM customer GROUP BY 1, 2)"
@@ -105,7 +106,12 @@ refused AS (SELECT service FROM scope GROUP BY 1 HAVING count(*) FILTER (gone) >
 SELECT id, service, relay FROM scope WHERE gone AND service NOT IN (SELECT service FROM refused)""",
     "log_text_tiers": f"WITH {TIERS} SELECT * FROM tiers WHERE \"primary\" <> '' OR secondary <> '' OR body <> '' OR location <> ''",
     "log_search_tiers": "WITH " + bm25({"primary": 3.0, "secondary": 2.0, "body": 1.0, "location": 0.5}, "w = t", ["w3", "place"], f"SELECT subject AS author, sum(CASE observer WHEN 'u1' THEN 1.0 ELSE 0.5 END * rank) / 100.0 AS trust FROM ({REPUTATION}) WHERE observer IN ('u1', 'u2') GROUP BY 1", "0.2"),
-    "log_search_unknown_observer": "SELECT CAST(0 AS BIGINT) AS n",
+    "log_search_unknown_observer": "WITH " + bm25(ALL_TIERS, "w = t", ["w3", "place"], "SELECT 'x' AS author, 0.0 AS trust", "0.0").replace("SELECT id, author, round", ", hits AS (SELECT id, author, round", 1) + f") SELECT who, CASE WHEN EXISTS (SELECT 1 FROM ({REPUTATION}) WHERE observer = who) THEN (SELECT count(*) FROM hits) ELSE 0 END AS n FROM (VALUES ('u1'), ('u2'), ('nobody')) v(who)",
+    "log_search_newest": "WITH " + bm25(ALL_TIERS, "w = t", ["w3", "place"], f"SELECT subject AS author, rank / 100.0 AS trust FROM ({REPUTATION}) WHERE observer = 'u1'", "-1").replace("SELECT id, author, round", ", hits AS (SELECT id, round", 1) + ") SELECT id, created_at, score FROM hits JOIN cur USING (id) ORDER BY created_at DESC, id LIMIT 20",
+    "log_search_top": "WITH " + bm25(ALL_TIERS, "w = t", ["w3", "place"], f"SELECT subject AS author, sum(CASE observer WHEN 'u1' THEN 1.0 ELSE 0.5 END * rank) / 100.0 AS trust FROM ({REPUTATION}) WHERE observer IN ('u1', 'u2') GROUP BY 1", "0.0") + " ORDER BY score DESC, id LIMIT 15",
+    "log_standing": f"""WITH {LISTS}, e AS (SELECT DISTINCT observer, service FROM edges),
+now AS (SELECT * FROM e WHERE observer <> 'u1' AND (observer[-1:] IN ('0', '2', '4', '6', '8') OR service[-1:] <> '3'))
+SELECT observer, subject, max(rank) AS rank FROM now JOIN scores USING (service) WHERE rank IS NOT NULL AND subject <> 'u7' GROUP BY 1, 2""",
     "log_search_fuzzy": "WITH " + bm25({"body": 1.0, "location": 1.0}, "levenshtein(w, t) <= 1", ["plase", "noted"], "SELECT 'u1' AS author, 0.5 AS trust", "0.0"),
     "search_extensions": "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_size END AS least, split_part(lower(p_type), ' ', 1) AS sort, p_size % 3 = 0 AS spam FROM part",
     "content_kinds": "SELECT unnest([0, 1, 5, 11, 20, 21, 22, 40, 41, 54, 62, 1063, 1313, 1337, 1618, 1621, 2003, 9041, 9802, 10003, 10154, 15128, 30000, 30001, 30002, 30003, 30004, 30005, 30006, 30009, 30015, 30023, 30030, 30063, 30267, 30311, 30312, 30313, 30402, 30617, 30818, 31337, 31922, 31923, 31924, 31990, 32267, 34139, 34550, 35128, 36787, 39000, 39089, 39092, 39701]) AS kind",
@@ -150,6 +156,8 @@ SELECT DISTINCT relay, o_orderkey % 1000 AS id FROM orders JOIN c ON relay = o_c
     "observers_by_scores": f"WITH {EDGES} SELECT observer, count(*) AS n FROM edges JOIN lineitem ON l_suppkey = service GROUP BY 1",
     "routing_without_discarded": f"WITH {RELAYS}, t AS (SELECT relay FROM l QUALIFY row_number() OVER (PARTITION BY author ORDER BY relay) <= 4 UNION ALL SELECT 'f0' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) SELECT 'wss://' || relay || '.example' AS relay, count(*) AS n FROM t WHERE relay NOT IN ('r2', 'r5') GROUP BY 1",
     "least_loaded_relays": f"WITH {RELAYS}, c AS (SELECT relay, count(*) AS load FROM l GROUP BY 1) SELECT author, relay FROM l JOIN c USING (relay) QUALIFY row_number() OVER (PARTITION BY author ORDER BY load, relay) = 1",
+    "balanced_relays": "SELECT CAST(count(DISTINCT o_custkey) AS BIGINT) AS authors, CAST(count(DISTINCT o_custkey) AS BIGINT) AS own, true AS even FROM orders",
+    "need_have_ranges": "WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus <> 'P' AS here, (o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT') AND NOT (o_orderpriority = '5-LOW' AND o_orderkey % 100 = 0) AS there FROM orders) SELECT id, CASE WHEN here THEN 'have' ELSE 'need' END AS side FROM o WHERE here <> there",
     "identity_sources": """WITH m AS (SELECT c_custkey AS a, 'profile' AS what FROM customer UNION ALL SELECT c_custkey, 'relay list' FROM customer WHERE c_custkey % 2 = 0),
 s AS (SELECT what, CASE WHEN what = 'profile' AND a IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') THEN 'aggregator' WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = a AND (o_orderkey % 2 = 0) = (what = 'profile')) THEN 'popular' END AS source FROM m)
 SELECT what, source, count(*) AS n FROM s GROUP BY 1, 2""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trustlake.functions import columns as C
 from trustlake.functions import keys, verify
 from trustlake.functions import places as P
-from trustlake.operators import discovery, search, state, store, trust
+from trustlake.operators import assignment, discovery, index, ranges, search, standing, state, store, trust
 from trustlake.plans.queries import query
 from trustlake.schema import NOTE, SCORE
 from trustlake.sources import stores
@@ -106,26 +106,72 @@ def log_text_tiers(spark, d):
 TERMS, TIERS = ["w3", "place"], {"primary": 3.0, "secondary": 2.0, "body": 1.0, "location": 0.5}
 
 
+def indexed(spark, d):
+    """The current events once, their texts in an index, and the reputation of the lists and scores among them."""
+    events = S.saver(spark)(current(spark, d))
+    texts = search.text_tiers(events).join(events.select("id", "created_at"), "id")
+    held = index.TextIndex(spark, S.shared_home(spark, "index"), S.saver(spark), buckets=16)
+    held.build(texts, list(TIERS))
+    return held, S.saver(spark)(trust.reputation(trust.provider_edges(events), trust.scores(events)))
+
+
 @query
 def log_search_tiers(spark, d):
     """A search with extensions: trust of an observer's services, a least rank, all four tiers."""
-    asked = spark.range(1).select(F.lit("w3 place filter:rank:20 sort:rank").alias("q"))
-    least = asked.select(C.least_rank(F.col("q")).alias("least")).first()["least"]
-    rep = trust.reputation(stored_edges(spark, d), trust.scores(current(spark, d)))
+    held, rep = indexed(spark, d)
     trusted = search.trust_of(spark.createDataFrame([("u1", 1.0), ("u2", 0.5)], "observer string, weight double"), rep)
-    return search.searched(search.text_tiers(current(spark, d)), TERMS, trusted, least / 100, S.saver(spark), TIERS)
+    return held.asked("w3 place filter:rank:20 sort:rank", TIERS, trusted).select("id", "author", "score")
+
+
+@query
+def log_search_newest(spark, d):
+    """The twenty newest hits, spam included, as ``sort:`` asks."""
+    held, rep = indexed(spark, d)
+    trusted = search.trust_of(spark.createDataFrame([("u1", 1.0)], "observer string, weight double"), rep)
+    return held.asked("w3 place include:spam sort:new", TIERS, trusted, limit=20).select("id", "created_at", "score")
+
+
+@query
+def log_search_top(spark, d):
+    """The fifteen best hits, found by bounds of blocks."""
+    held, rep = indexed(spark, d)
+    trusted = search.trust_of(spark.createDataFrame([("u1", 1.0), ("u2", 0.5)], "observer string, weight double"), rep)
+    return held.asked("w3 place", TIERS, trusted, limit=15).select("id", "author", "score")
 
 
 @query
 def log_search_unknown_observer(spark, d):
-    return search.searched(search.text_tiers(current(spark, d)), TERMS, None, 0.0, S.saver(spark), TIERS).agg(F.count("*").alias("n"))
+    """How many hits each of three searchers gets: one who has named services, one whose services rank nobody, and one who is not known at all."""
+    held, rep = indexed(spark, d)
+    counts = []
+    for who in ("u1", "u2", "nobody"):
+        mine = rep.where(F.col("observer") == who)
+        known = not mine.isEmpty()
+        trusted = search.trust_of(spark.createDataFrame([(who, 1.0)], "observer string, weight double"), rep) if known else None
+        counts.append(held.search(TERMS, TIERS, trusted).agg(F.lit(who).alias("who"), F.count("*").alias("n")))
+    return counts[0].union(counts[1]).union(counts[2])
 
 
 @query
 def log_search_fuzzy(spark, d):
     """Words within one edit of a longer term count as it; spam included."""
+    held, _ = indexed(spark, d)
     trusted = spark.createDataFrame([("u1", 0.5)], "author string, trust double")
-    return search.searched(search.text_tiers(current(spark, d)), ["plase", "noted"], trusted, 0.3, S.saver(spark), {"body": 1.0, "location": 1.0}, spam=True, fuzzy=True)
+    return held.search(["plase", "noted"], {"body": 1.0, "location": 1.0}, trusted, 0.3, spam=True, fuzzy=True).select("id", "author", "score")
+
+
+@query
+def log_standing(spark, d):
+    """Reputation kept up to date over three batches of the log's lists and scores, the last of which takes some away."""
+    events = S.saver(spark)(current(spark, d))
+    edges, scored = trust.provider_edges(events).select("observer", "service").distinct(), trust.scores(events).select("service", "subject", "rank")
+    held = standing.Standing(spark, S.shared_home(spark, "standing"), S.saver(spark), buckets=8)
+    even = F.substring("observer", -1, 1).isin("0", "2", "4", "6", "8")
+    first = F.pmod(F.crc32(F.concat("service", F.lit(":"), "subject")), F.lit(2)) == 0
+    held.apply(edges.select("observer"), edges.where(F.substring("service", -1, 1) != "3"), scored.where(first))
+    held.apply(edges.where(even).select("observer"), edges.where(even), scored.where(~first))
+    held.apply(edges.where("observer = 'u1'").select("observer"), edges.limit(0), scored.where("subject = 'u7'").withColumn("rank", F.lit(None).cast("int")))
+    return held.reputation()
 
 
 @query
@@ -360,6 +406,27 @@ def least_loaded_relays(spark, d):
     return discovery.least_loaded(lists)
 
 
+@query
+def balanced_relays(spark, d):
+    """Authors dealt evenly over their own relays: all have one, and no relay has twice the mean."""
+    lists = author_relays(spark, d).select("author", F.explode("relays").alias("relay"))
+    found = assignment.balanced(lists, S.saver(spark)).join(lists.withColumn("own", F.lit(True)), ["author", "relay"], "left")
+    loads = found.groupBy("relay").agg(F.count("*").alias("load"), F.count("own").alias("own"))
+    return loads.agg(F.sum("load").alias("authors"), F.sum("own").alias("own"), (F.max("load") < 2 * F.ceil(F.sum("load") / F.count("*"))).alias("even"))
+
+
+@query
+def need_have_ranges(spark, d):
+    """What two stores of orders lack of each other, told by fingerprints of ranges that are kept while ids come and go."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus", "o_orderpriority")
+    local, remote = (ranges.RangeTree(spark, S.shared_home(spark, "tree"), S.saver(spark), buckets=32) for _ in range(2))
+    local.add(o)
+    local.remove(o.where("o_orderstatus = 'P'"))
+    remote.add(o.where("o_orderstatus <> 'P' or o_orderpriority = '1-URGENT'"))
+    remote.remove(o.where("o_orderpriority = '5-LOW' and cast(id as long) % 100 = 0"))
+    return local.need_have(remote)
+
+
 @query
 def identity_sources(spark, d):
     o, c = table(spark, d, "orders"), table(spark, d, "customer").select(F.col("c_custkey").alias("author"))
