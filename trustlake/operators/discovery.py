@@ -20,13 +20,17 @@ def observers(house: str, enrolled: DataFrame, events: DataFrame, swept: DataFra
     return out.where("observer is not null").distinct().withColumn("house", F.col("observer") == house)
 
 
+def index_relays_of(authors: DataFrame, events: DataFrame, seeds: list[str]) -> DataFrame:
+    """author, pos, relay of each author's newest index relay list, or the seeds where it is missing or empty."""
+    lists = newest(events.where(F.col("kind") == INDEXER), ["pubkey"]).select(F.col("pubkey").alias("author"), F.array_distinct(tag_values(F.col("tags"), "relay")).alias("own"))
+    both = authors.select("author").distinct().join(lists, "author", "left")
+    return both.select("author", F.posexplode(F.when(F.size("own") > 0, F.col("own")).otherwise(F.array(*map(F.lit, seeds)))).alias("pos", "relay"))
+
+
 def index_relays(events: DataFrame, author: str, seeds: list[str]) -> DataFrame:
-    """pos, relay of the newest index relay list of an author, or the seeds where it is missing or empty."""
-    spark = events.sparkSession
-    lists = newest(events.where((F.col("kind") == INDEXER) & (F.col("pubkey") == author)), ["pubkey"])
-    own = lists.select(F.posexplode(F.array_distinct(tag_values(F.col("tags"), "relay"))).alias("pos", "relay"))
-    seeded = spark.range(1).select(F.posexplode(F.array(*map(F.lit, seeds))).alias("pos", "relay"))
-    return own.union(seeded.join(own.select(F.lit(True).alias("any")).limit(1), how="left_anti"))
+    """pos, relay of one author's index relays, as ``index_relays_of`` has them."""
+    one = events.sparkSession.range(1).select(F.lit(author).alias("author"))
+    return index_relays_of(one, events.where(F.col("pubkey") == author), seeds).select("pos", "relay")
 
 
 def united(*relays: DataFrame) -> DataFrame:
@@ -99,9 +103,12 @@ def crawl(replicas: DataFrame, house: str, seeds: list[str], home: str, connecte
     where = outboxes(known, swept, seeded)
     own = replicas.join(where.select("relay", F.col("observer").alias("pubkey")), ["relay", "pubkey"], "left_semi").drop("relay")
     lists = stored_events(own.unionByName(swept).dropDuplicates(["id"])).where(F.col("kind") == TRUST_LIST)
+    # the pass goes over its lists and scores again and again, so it keeps them with its other files
+    kept = lambda df, name: df.write.parquet(f"{home}/{name}") or spark.read.schema(df.schema).parquet(f"{home}/{name}")
+    lists = kept(lists, "lists")
     edges = trust.provider_edges(lists)
     homes = provider_relays(lists)
-    scored = trust.scores(replicas.join(homes.select("relay", F.col("service").alias("pubkey")), ["relay", "pubkey"], "left_semi").drop("relay").dropDuplicates(["id"]))
+    scored = kept(trust.scores(replicas.join(homes.select("relay", F.col("service").alias("pubkey")), ["relay", "pubkey"], "left_semi").drop("relay").dropDuplicates(["id"])), "scores")
     reached = trust.frontier(edges, scored, spark.range(1).select(F.lit(house).alias("observer")), home)
     active = reached.select("observer") if connected_only else known.select("observer")
     return {"observers": active, "edges": edges.join(active, "observer", "left_semi"), "scores": scored, "reached": reached}

@@ -21,13 +21,15 @@ SECONDARY = {
     "artist": [36787],
     "album": [36787],
 }
+#: Kinds that are searched by their content alone.
+OTHERS = [1301, 30817, 31890, 33401, 34235, 34236]
 BODILESS = [31337, 39000, 40, 41, 31990, 15128, 35128, 30000, 39089, 10003, 30001, 30003, 30004, 30005, 30006, 30063, 30267, 30002, 39092, 39701, 30015]
 PROFILE_FIELDS = (("name", "display_name"), ("about", "nip05", "lud16", "website"))
 
 
 def content_kinds() -> list[int]:
-    """Kinds that are fetched for a scored author: those searched by more than their content, deletions and erasures; ascending."""
-    return sorted({0, *PRIMARY, *TITLED, *(k for kinds in SECONDARY.values() for k in kinds), 5, 62})
+    """Kinds that are fetched for a scored author: those that are searched, deletions and erasures; ascending."""
+    return sorted({0, *PRIMARY, *TITLED, *(k for kinds in SECONDARY.values() for k in kinds), *OTHERS, 5, 62})
 
 
 def text_tiers(events: DataFrame) -> DataFrame:

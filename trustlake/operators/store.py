@@ -61,9 +61,12 @@ def stored_events(events: DataFrame, ephemeral: tuple[int, int] = EPHEMERAL) ->
     names, plumbing = events.columns, F.col("kind").isin(DELETION, VANISH)
     event = F.struct(*names)
     asked = events.where(F.col("kind") == DELETION)
-    by_id = asked.select(F.explode(tag_values(F.col("tags"), "e")).alias("id"), "pubkey")
-    rows = events.where(~F.col("kind").between(*ephemeral)).select("id", "pubkey", event.alias("event"), F.lit(False).alias("named"))
-    rows = rows.unionByName(by_id.select("id", "pubkey", F.lit(None).cast(events.select(event.alias("event")).schema["event"].dataType).alias("event"), F.lit(True).alias("named")))
+    whole = events.select(event.alias("event"))
+    none = F.lit(None).cast(whole.schema["event"].dataType)
+    # an event stands for itself, and a deletion for each id that it names too
+    own = F.array(F.struct(F.col("id").alias("id"), event.alias("event"), F.lit(False).alias("named")))
+    ids = F.when(F.col("kind") == DELETION, F.transform(tag_values(F.col("tags"), "e"), lambda i: F.struct(i.alias("id"), none.alias("event"), F.lit(True).alias("named"))))
+    rows = events.where(~F.col("kind").between(*ephemeral)).select("pubkey", F.explode(F.when(F.col("kind") == DELETION, F.concat(own, ids)).otherwise(own)).alias("s")).select("s.id", "pubkey", "s.event", "s.named")
     once = rows.groupBy("id", "pubkey").agg(F.first("event", ignorenulls=True).alias("event"), F.bool_or("named").alias("named")).where("event is not null").select("event.*", "named")
     once = once.where(plumbing | ~F.col("named")).drop("named").join(erasures(events), "pubkey", "left")
     once = slotted(once.where(F.col("erased_until").isNull() | (F.col("created_at") > F.col("erased_until")) | (F.col("kind") == VANISH)).select(*names))

@@ -92,8 +92,8 @@ ORACLE = {
     "log_outboxes": f"""WITH {LISTS}, o AS (SELECT 'u0' AS observer UNION SELECT 'u99' UNION SELECT pubkey FROM lists),
 own AS (SELECT pubkey AS observer, 'wss://r' || (k % 7) || '.example' AS relay FROM cur WHERE kind = 10002 AND k % 4 <> 0 UNION SELECT pubkey, 'wss://w' || (k % 3) || '.example' FROM cur WHERE kind = 10002 AND k % 2 <> 0)
 SELECT observer, relay, true AS own FROM o JOIN own USING (observer) UNION ALL SELECT observer, relay, false FROM o, (VALUES ('wss://i9.example'), ('wss://i5.example')) s(relay) WHERE observer NOT IN (SELECT observer FROM own)""",
-    "log_index_relays": f"""WITH {CUR}, a(author) AS (VALUES ('u0'), ('u1'), ('u2'), ('u77')), n AS (SELECT author, k FROM a LEFT JOIN cur ON pubkey = author AND kind = 10086)
-SELECT author, 'wss://i9.example' AS relay FROM n UNION ALL SELECT author, CASE WHEN k % 3 <> 0 THEN 'wss://i' || (k % 4) || '.example' ELSE 'wss://i5.example' END FROM n""",
+    "log_index_relays": f"""WITH {CUR}, a AS (SELECT 'u' || i AS author FROM range(20) r(i) UNION ALL SELECT 'u77'), n AS (SELECT author, k FROM a LEFT JOIN cur ON pubkey = author AND kind = 10086)
+SELECT author, 0 AS pos, CASE WHEN k % 3 <> 0 THEN 'wss://i' || (k % 4) || '.example' ELSE 'wss://i9.example' END AS relay FROM n UNION ALL SELECT author, 1, CASE WHEN k % 3 <> 0 THEN 'wss://i9.example' ELSE 'wss://i5.example' END FROM n""",
     "log_index_and_seeds": f"""WITH {CUR}, n AS (SELECT max(k) AS k FROM cur WHERE pubkey = 'u1' AND kind = 10086),
 r AS (SELECT 'wss://i' || (k % 4) || '.example' AS relay, 0 AS list, 0 AS pos FROM n WHERE k % 3 <> 0 UNION ALL SELECT 'wss://i9.example', 0, CASE WHEN k % 3 <> 0 THEN 1 ELSE 0 END FROM n UNION ALL SELECT 'wss://i5.example', 0, 1 FROM n WHERE k IS NULL OR k % 3 = 0 UNION ALL VALUES ('wss://i9.example', 1, 0), ('wss://i5.example', 1, 1))
 SELECT relay, CAST(list AS INT) AS list, CAST(pos AS BIGINT) AS pos FROM r QUALIFY row_number() OVER (PARTITION BY relay ORDER BY list, pos) = 1""",
@@ -114,7 +114,17 @@ now AS (SELECT * FROM e WHERE observer <> 'u1' AND (observer[-1:] IN ('0', '2',
 SELECT observer, subject, max(rank) AS rank FROM now JOIN scores USING (service) WHERE rank IS NOT NULL AND subject <> 'u7' GROUP BY 1, 2""",
     "log_search_fuzzy": "WITH " + bm25({"body": 1.0, "location": 1.0}, "levenshtein(w, t) <= 1", ["plase", "noted"], "SELECT 'u1' AS author, 0.5 AS trust", "0.0"),
     "search_extensions": "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_size END AS least, split_part(lower(p_type), ' ', 1) AS sort, p_size % 3 = 0 AS spam FROM part",
-    "content_kinds": "SELECT unnest([0, 1, 5, 11, 20, 21, 22, 40, 41, 54, 62, 1063, 1313, 1337, 1618, 1621, 2003, 9041, 9802, 10003, 10154, 15128, 30000, 30001, 30002, 30003, 30004, 30005, 30006, 30009, 30015, 30023, 30030, 30063, 30267, 30311, 30312, 30313, 30402, 30617, 30818, 31337, 31922, 31923, 31924, 31990, 32267, 34139, 34550, 35128, 36787, 39000, 39089, 39092, 39701]) AS kind",
+    "content_kinds": f"WITH {LOG} SELECT kind, count(*) AS n FROM log WHERE kind IN (0, 1, 5, 62, 30000) GROUP BY 1",
+    "log_crawl": f"""WITH RECURSIVE {LOG}, live AS (SELECT * FROM log WHERE kind NOT IN (5, 62)),
+lists AS (SELECT * FROM live WHERE kind = 10040 QUALIFY row_number() OVER (PARTITION BY pubkey ORDER BY created_at DESC, id) = 1),
+edges AS (SELECT pubkey AS observer, 'u' || (k % 20) AS service, 'wss://r' || (k % 3) || '.example' AS relay, created_at FROM lists UNION ALL SELECT pubkey, 'u' || ((k + 3) % 20), NULL, created_at FROM lists),
+homes AS (SELECT service, relay FROM edges WHERE relay IS NOT NULL QUALIFY row_number() OVER (PARTITION BY service ORDER BY created_at DESC, relay) = 1),
+scores AS (
+  SELECT pubkey AS service, d AS subject FROM live l JOIN homes h ON h.service = l.pubkey AND h.relay = 'wss://r' || (event_id % 3) || '.example' WHERE kind = 30382 AND d <> ''
+  QUALIFY row_number() OVER (PARTITION BY pubkey, d ORDER BY created_at DESC, id) = 1),
+walk AS (SELECT 'u0' AS observer, 0 AS depth UNION SELECT subject, depth + 1 FROM walk JOIN edges USING (observer) JOIN scores USING (service) WHERE depth < 30 AND subject IN (SELECT observer FROM edges)),
+reached AS (SELECT observer, min(depth) AS depth FROM walk GROUP BY 1)
+SELECT 'observers' AS what, (SELECT count(*) FROM reached) AS n UNION ALL SELECT 'edges', (SELECT count(*) FROM edges WHERE observer IN (SELECT observer FROM reached)) UNION ALL SELECT 'scores', (SELECT count(*) FROM scores) UNION ALL SELECT 'deep', (SELECT count(*) FROM reached WHERE depth > 1)""",
     "log_geohash_cells": f"WITH {LOG} SELECT id FROM log WHERE m = 2 AND k % 5 IN (1, 4)",
     "log_tag_index": f"WITH {LOG}, t AS (SELECT kind, unnest(CASE WHEN m = 2 THEN ['t', 'g'] WHEN m = 4 THEN ['e'] WHEN m = 5 THEN ['a'] WHEN m = 7 THEN ['r', 'r', 'r'] WHEN m IN (11, 12, 13, 15) THEN ['d'] ELSE [] END) AS letter FROM log) SELECT kind, letter, count(*) AS n FROM t GROUP BY 1, 2",
     "log_profiles": f"WITH {CUR} SELECT pubkey, 'name w' || (k % 7) AS name, CASE WHEN k % 2 = 0 THEN 'shown ' || (k % 3) END AS display_name FROM cur WHERE kind = 0",

@@ -9,7 +9,7 @@ from trustlake.functions import keys, verify
 from trustlake.functions import places as P
 from trustlake.operators import assignment, discovery, index, ranges, search, standing, state, store, trust
 from trustlake.plans.queries import query
-from trustlake.schema import NOTE, SCORE
+from trustlake.schema import DELETION, NOTE, RELAY_LIST, SCORE, TRUST_LIST, VANISH
 from trustlake.sources import stores
 from trustlake.sources import tables as S
 from trustlake.sources.tables import NOW, table
@@ -62,10 +62,9 @@ def log_outboxes(spark, d):
 
 @query
 def log_index_relays(spark, d):
-    """The index relays of each author, in order: their newest list, or the seeds."""
-    e = current(spark, d)
-    out = [discovery.index_relays(e, f"u{i}", SEEDS).select(F.lit(f"u{i}").alias("author"), "relay") for i in (0, 1, 2, 77)]
-    return out[0].union(out[1]).union(out[2]).union(out[3])
+    """The index relays of some authors, one without any event among them: their newest list, or the seeds."""
+    authors = spark.createDataFrame([(f"u{i}",) for i in (*range(20), 77)], "author string")
+    return discovery.index_relays_of(authors, current(spark, d), SEEDS).select("author", "pos", "relay")
 
 
 @query
@@ -80,6 +79,17 @@ def log_provider_relays(spark, d):
     return discovery.provider_relays(current(spark, d))
 
 
+@query
+def log_crawl(spark, d):
+    """A whole pass over three replicas of the log: who is reached, and how many edges and scores come of it."""
+    n = F.col("id").cast("long")
+    relay = F.when(F.col("kind").isin(RELAY_LIST, TRUST_LIST), F.lit("idx")).when(F.col("kind") == SCORE, F.concat(F.lit("wss://r"), n % 3, F.lit(".example"))).otherwise("wss://else.example")
+    replicas = S.saver(spark)(S.event_log(spark, d).where((F.col("kind") != DELETION) & (F.col("kind") != VANISH)).withColumn("relay", relay))
+    found = discovery.crawl(replicas, "u0", ["idx"], S.shared_home(spark, "crawl"))
+    part = lambda name, df: df.agg(F.lit(name).alias("what"), F.count("*").alias("n"))
+    return part("observers", found["observers"]).union(part("edges", found["edges"])).union(part("scores", found["scores"])).union(part("deep", found["reached"].where("depth > 1")))
+
+
 @query
 def log_observers(spark, d):
     return discovery.observers("u0", spark.createDataFrame([("u99",), ("u3",)], "observer string"), current(spark, d))
@@ -183,7 +193,8 @@ def search_extensions(spark, d):
 
 @query
 def content_kinds(spark, d):
-    return spark.createDataFrame([(k,) for k in search.content_kinds()], "kind int")
+    """How many of the log's events are of kinds that are fetched for scored authors."""
+    return S.event_log(spark, d).where(F.col("kind").isin(*search.content_kinds())).groupBy("kind").agg(F.count_distinct("id").alias("n"))
 
 
 @query

@@ -216,32 +216,35 @@ class EventStore:
         fate = F.when(~holds | F.col("id").isNull() | F.col("pubkey").isNull(), "unverified").when(F.col("kind").between(*EPHEMERAL), "ephemeral").when(~visible(expires, now), "expired")
         offered = batch.select(*EVENTS.names, expires.alias("expires_at"), fate.alias("fate"))
         offered = offered.observe(told, F.count(F.lit(1)).alias("offered"), *[F.count_if(F.col("fate") == f).alias(f) for f in FATES[:3]])
-        offered.where("fate is null").drop("fate").write.parquet(f"{self.home}/{staged}")
-        new = self.spark.read.schema(T.StructType(ROWS.fields[:-1])).parquet(f"{self.home}/{staged}").dropDuplicates(["id"]).withColumn("part", F.lit(""))
+        offered.where("fate is null").drop("fate").write.parquet(f"{self.home}/{staged}/offered")
+        new = self.spark.read.schema(T.StructType(ROWS.fields[:-1])).parquet(f"{self.home}/{staged}/offered").dropDuplicates(["id"]).withColumn("part", F.lit(""))
         ranges, judged = self._ranges(new), []
 
         def work(document: dict, part: str) -> tuple[DataFrame, Callable[[dict], bool]]:
             met = self._met(document, ranges)
             self.touched["read"] = [s["path"] for s in met]
             old = self._live(met).join(new.select("pubkey").distinct(), "pubkey", "left_semi").select(*ROWS.names)
-            fresh = new.join(old.select("id"), "id", "left_anti").select(*ROWS.names)
-            kept = stored_events(old.unionByName(fresh).drop("expires_at")).select("id", "pubkey", "part", F.lit(True).alias("kept"))
             held = old.select("id", F.lit(True).alias("held")).distinct()
-            every = new.join(held, "id", "left").unionByName(old.withColumn("held", F.lit(None).cast("boolean")))
+            both = new.join(held, "id", "left").select(*ROWS.names, "held").unionByName(old.withColumn("held", F.lit(None).cast("boolean")))
+            # what the rules look at is put together once, as they go over it several times
+            folder = f"{self.home}/{staged}/judged-{part}"
+            both.write.parquet(folder)
+            every = self.spark.read.schema(both.schema).parquet(folder)
+            kept = stored_events(every.where("held is null").drop("expires_at", "held")).select("id", "pubkey", "part", F.lit(True).alias("kept"))
             every = every.join(kept, ["id", "pubkey", "part"], "left")
             is_new = F.col("part") == ""
             fate = F.when(is_new & F.col("held").isNotNull(), "known").when(is_new, F.when(F.col("kept"), "stored").otherwise("refused")).when(F.col("kept").isNull(), "removed")
             seen = Observation()
-            judged.append((seen, fresh))
+            judged.append((seen, both))
             every = every.withColumn("fate", fate).observe(seen, *[F.count_if(F.col("fate") == f).alias(f) for f in ("known", "refused", "stored", "removed")])
             rows = every.where(F.col("fate").isin("stored", "removed"))
             return rows.select(*EVENTS.names, "expires_at", F.when(is_new, part).otherwise(F.col("part")).alias("part"), F.when(is_new, "rows").otherwise("dead").alias("what")), lambda s: False
 
         try:
             written, _ = self._change(work)
-            seen, fresh = judged[-1]
+            seen, both = judged[-1]
             # a plan that turns out empty is cut short, and what was observed in it is lost: then all there is was refused or known
-            left = seen.get if written else {"stored": 0, "removed": 0, "refused": (n := fresh.count()), "known": new.count() - n}
+            left = seen.get if written else {"stored": 0, "removed": 0, **{k: v or 0 for k, v in both.where("part = ''").agg(F.count_if(F.col("held").isNull()).alias("refused"), F.count_if("held").alias("known")).first().asDict().items()}}
             out = dict.fromkeys(("offered", *FATES), 0) | observed(told) | left
         finally:
             self.commits.delete(staged)
