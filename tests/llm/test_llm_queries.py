@@ -26,7 +26,8 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     want = con.sql(queries.ORACLE[name])
     got = queries.QUERIES[name](spark, DIR)
     assert sorted(got.columns) == sorted(want.columns)
