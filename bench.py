@@ -13,7 +13,7 @@ from trustlake.plans import QUERIES  # noqa: E402
 
 HEADLINE = ["observer_coverage", "orphan_scores", "scores_per_observer", "supersede_addressable", "supersede_replaceable", "kind_histogram_top_other", "need_have_diff", "stale_ids_absence_delete", "content_routing", "url_collapse", "idle_gap_sessions", "search_bm25_trust", "observer_frontier"]
 #: Over the event log, and with state.
-LOG = ["log_current_events", "log_insert_rules", "log_search_tiers", "log_index_relays", "log_absence_deletions", "verified_ids", "observer_dot_product", "work_position", "ledger_snapshots", "stream_ttl_dead", "log_standing", "need_have_ranges"]
+LOG = ["log_current_events", "log_insert_rules", "log_search_tiers", "log_index_relays", "log_absence_deletions", "verified_ids", "observer_dot_product", "work_position", "ledger_snapshots", "stream_ttl_dead"]
 
 
 def main() -> None:
