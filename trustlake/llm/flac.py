@@ -131,7 +131,11 @@ def encode_frames(flat: np.ndarray, number: np.ndarray, start: np.ndarray, lengt
     code = folded.ravel()[at_coded].astype(np.int64)
     total = np.bincount(own, code, 4 * len(x))
     count = np.bincount(own, minlength=4 * len(x))
-    k = np.clip(np.ceil(np.log2(np.maximum(total, 1) / np.maximum(count, 1) / 1.4)), 0, 14).astype(np.int64)
+    # the parameter of fewest bits lies next to the one for the mean
+    mean = np.clip(np.ceil(np.log2(np.maximum(total, 1) / np.maximum(count, 1) / 1.4)), 0, 14).astype(np.int64)
+    near = np.clip(mean + np.array([[-1], [0], [1]]), 0, 14)
+    bits = np.stack([np.bincount(own, code >> k[own], 4 * len(x)) + (k + 1) * count for k in near])
+    k = near[bits.argmin(0), np.arange(4 * len(x))]
     rice = k[own]
     width = np.where(valid & ~same[:, None], np.int32(8), np.int32(0))
     warm = np.flatnonzero(width.ravel() * (column < order[:, None]).ravel())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustlake.llm import flac, forest, line_dedup, mixing, ngram_join, sentencepiece_codec, simhash, spelling, substring_dedup, suffix_dedup, token_files, toxicity, vector_codes
-from trustlake.llm.common import table
+from trustlake.llm.common import table, written
 
 
 def tokenizer_path(name: str) -> str:
@@ -66,8 +66,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text as a FLAC stream, read back and described."""
-    return flac.media_digests(flac.media_column(table(spark, sf_dir, "documents")))
+    """Every document's text as a FLAC stream, stored, read back and described."""
+    return flac.media_digests(written(flac.media_column(table(spark, sf_dir, "documents")), "media"))
 
 
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
