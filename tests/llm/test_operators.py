@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from trustlake.llm import flac, forest, line_dedup, mixing, ngram_join, queries, sentencepiece_codec, substring_dedup, suffix_dedup, token_files, toxicity
 from trustlake.llm.components import components
+from trustlake.llm.shared_windows import Stretch, marked
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -493,3 +494,21 @@ def test_pipeline(spark):
             assert all(r["parity"] for r in rows)
         docs = spark.createDataFrame(rows, out.schema)
     assert rows
+
+
+def test_equal_seed_hashes_of_different_words(monkeypatch):
+    """Windows whose seeds share a hash are told apart by their words."""
+    monkeypatch.setattr(substring_dedup, "span_hash", lambda sums, a, b: np.zeros(len(a), np.uint64))
+    words = [list(range(20)), list(range(100, 120)), [*range(50, 55), *range(100, 115)], list(range(3, 18))]
+    rows = Stretch(*(np.array(c) for c in ([7] * 4, range(4), [True] * 4, [8, 8, 8, 3])), [np.array(w, np.uint64).tobytes() for w in words])
+    assert substring_dedup.factors(13)(rows) == [(2, 5, 3), (3, 0, 3)]
+
+
+@pytest.mark.parametrize("earlier", [False, True])
+def test_stretches_that_share_one_of_two_hashes(spark, earlier):
+    """Stretches are equal as wholes only where both hashes are; such of one hash alone are compared."""
+    rows = [(1, 5, 6, 1), (1, 5, 7, 2), (1, 5, 6, 3), (2, 5, 6, 4), (3, 5, 6, 5), (3, 5, 6, 6), (4, 5, 6, 7), (4, 8, 6, 8)]
+    placed = spark.createDataFrame([(g, a, b, d, 0, 0, 1, 0) for g, a, b, d in rows], "gram long, stretch long, other long, doc long, salt long, start int, windows int, owner int")
+    got = {r["doc"]: (r["whole"], r["told"]) for r in marked(placed, earlier).collect()}
+    assert {d for d, (whole, _) in got.items() if whole} == ({3, 6} if earlier else {1, 3, 5, 6})
+    assert {d for d, (_, told) in got.items() if told} == {1, 2, 7, 8} and 4 not in got

@@ -23,6 +23,8 @@ from trustlake.llm.common import BYTE_VALUE, joined_bytes, mix, running, slices,
 
 #: Low bits of a packed minimum that hold the position.
 POSITION = np.uint64((1 << 34) - 1)
+#: Tells the symbols' second values from their first.
+OTHER = np.uint64(0x2545F4914F6CDD1D)
 #: Bytes of text that are hashed at a time.
 PIECE = 1 << 20
 #: Symbols of a text of its own that are taken at a time.
@@ -73,7 +75,7 @@ def symbols_of(flat: np.ndarray, offsets: np.ndarray, unit: str) -> tuple[np.nda
 def owners(values: np.ndarray, offsets: np.ndarray, w: Windows) -> dict[str, np.ndarray]:
     """The stretches of consecutive windows with one owner: text, first window, windows, owner's offset, hashes."""
     m = len(values) - w.n + 1
-    none = {c: np.zeros(0, np.int64) for c in ("text", "start", "windows", "owner", "gram", "stretch")}
+    none = {c: np.zeros(0, np.int64) for c in ("text", "start", "windows", "owner", "gram", "stretch", "other")}
     if m <= 0:
         return none
     sums = running(values)
@@ -91,9 +93,12 @@ def owners(values: np.ndarray, offsets: np.ndarray, w: Windows) -> dict[str, np.
     last[:-1] &= first[1:] | ~inside[1:]
     stops = p[last] + w.n
     own = owner[starts]
-    stretch = mix(span_hash(sums, starts, stops) + (own - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    place = (own - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    stretch = mix(span_hash(sums, starts, stops) + place)
+    # other values of the symbols, so the two hashes together have 128 bits
+    other = mix(span_hash(running(mix(values ^ OTHER)), starts, stops) + place)
     text = np.searchsorted(offsets, starts, "right") - 1
-    return {"text": text, "start": starts - offsets[text], "windows": stops - starts - w.n + 1, "owner": own - starts, "gram": grams[own].view(np.int64), "stretch": stretch.view(np.int64)}
+    return {"text": text, "start": starts - offsets[text], "windows": stops - starts - w.n + 1, "owner": own - starts, "gram": grams[own].view(np.int64), "stretch": stretch.view(np.int64), "other": other.view(np.int64)}
 
 
 def stretches_of(flat: np.ndarray, offsets: np.ndarray, w: Windows) -> Iterator[dict[str, np.ndarray]]:
@@ -141,7 +146,7 @@ def unpacked(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def stretches(docs: DataFrame, w: Windows) -> DataFrame:
-    """gram, stretch, doc, salt, start, windows, owner of every stretch of every document."""
+    """gram, stretch and other (two hashes of it), doc, salt, start, windows, owner of every stretch of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,11 +154,11 @@ def stretches(docs: DataFrame, w: Windows) -> DataFrame:
                 for o in stretches_of(*joined_bytes(part.column("text")), w):
                     rows = pa.array(o["text"])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(o["gram"]), pa.array(o["stretch"]), part.column("doc").take(rows), part.column("salt").take(rows), *(pa.array(o[c].astype(np.int32)) for c in ("start", "windows", "owner"))],
-                        ["gram", "stretch", "doc", "salt", "start", "windows", "owner"],
+                        [pa.array(o["gram"]), pa.array(o["stretch"]), pa.array(o["other"]), part.column("doc").take(rows), part.column("salt").take(rows), *(pa.array(o[c].astype(np.int32)) for c in ("start", "windows", "owner"))],
+                        ["gram", "stretch", "other", "doc", "salt", "start", "windows", "owner"],
                     )
 
-    return identified(docs).select("doc", "salt", "text").mapInArrow(run, "gram long, stretch long, doc long, salt long, start int, windows int, owner int")
+    return identified(docs).select("doc", "salt", "text").mapInArrow(run, "gram long, stretch long, other long, doc long, salt long, start int, windows int, owner int")
 
 
 def cut_out(rows: DataFrame, docs: DataFrame, w: Windows) -> DataFrame:
@@ -246,10 +251,11 @@ def compared(rows: DataFrame, w: Windows, compare: Callable[[Stretch], list[tupl
 
 def marked(placed: DataFrame, earlier: bool) -> DataFrame:
     """``placed`` with whole (the stretch as a whole is shared), told (it is compared), wanted (the comparison's result for it is used), hot."""
-    gram, both = Window.partitionBy("gram"), Window.partitionBy("gram", "stretch")
-    rows = placed.withColumn("low", F.min("stretch").over(gram)).withColumn("high", F.max("stretch").over(gram)).withColumn("rows", F.count("*").over(gram))
+    gram, both = Window.partitionBy("gram"), Window.partitionBy("gram", "stretch", "other")
+    ends = {f"{end}_{c}": f(c).over(gram) for c in ("stretch", "other") for end, f in (("low", F.min), ("high", F.max))}
+    rows = placed.withColumns({**ends, "rows": F.count("*").over(gram)})
     # a k-gram that stands alone is neither shared nor compared
-    rows = rows.where("rows > 1").withColumn("mixed", F.col("low") != F.col("high")).withColumn("hot", F.col("rows") > HOT)
+    rows = rows.where("rows > 1").withColumn("mixed", (F.col("low_stretch") != F.col("high_stretch")) | (F.col("low_other") != F.col("high_other"))).withColumn("hot", F.col("rows") > HOT)
     if earlier:
         return rows.withColumn("whole", F.min("doc").over(both) < F.col("doc")).withColumn("told", F.col("mixed") & ~F.col("whole")).withColumn("wanted", F.lit(True))
     rows = rows.withColumn("alike", F.count("*").over(both)).withColumn("nth", F.row_number().over(both.orderBy("doc", "salt", "start")))

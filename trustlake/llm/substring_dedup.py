@@ -22,7 +22,7 @@ def factors(length: int):
         seeds = span_hash(running(words), at, at + length).tolist()
         flat, begin = words.tolist(), base.tolist()
         out: list[tuple[int, int, int]] = []
-        index: dict[int, tuple[int, int, int]] = {}
+        index: dict[int | tuple[int, ...], tuple[int, int, int]] = {}
         block, seed = None, 0
         for row, (key, doc, count) in enumerate(zip(rows.key.tolist(), rows.doc.tolist(), windows.tolist())):
             if key != block:
@@ -31,6 +31,8 @@ def factors(length: int):
             end = own + count + length - 1
             while i < count:
                 found = index.get(seeds[seed + i])
+                if found is not None and flat[found[1] : found[1] + length] != flat[own + i : own + i + length]:
+                    found = index.get(tuple(flat[own + i : own + i + length]))
                 if found is None or found[0] >= doc:
                     i += 1
                     continue
@@ -43,7 +45,10 @@ def factors(length: int):
                 out.append((row, i, n - length + 1))
                 i += n - length + 1
             for j in range(count):
-                index.setdefault(seeds[seed + j], (doc, own + j, end))
+                held = index.setdefault(seeds[seed + j], (doc, own + j, end))
+                if held[1] != own + j and flat[held[1] : held[1] + length] != flat[own + j : own + j + length]:
+                    # words of another window with its hash stand under themselves
+                    index.setdefault(tuple(flat[own + j : own + j + length]), (doc, own + j, end))
             seed += count
         return out
 
