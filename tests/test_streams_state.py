@@ -75,6 +75,22 @@ def test_published_keys(spark):
         assert r["back"] == (r["w"].strip().lower() if r["k"] else None)
 
 
+def test_published_profiles(spark):
+    """The profile that the format's text gives as its example, and records in other orders, cut off or without a key."""
+    known = "nprofile1qqsrhuxx8l9ex335q7he0f09aej04zpazpl0ne2cgukyawd24mayt8gpp4mhxue69uhhytnc9e3k7mgpz4mhxue69uhkg6nzv9ejuumpv34kytnrdaksjlyr9p"
+    key = "3bf0c63fcb93463407af97a5e5ee64fa883d107ef9e558472c4eb9aaaefa459d"
+    hint = "010d7773733a2f2f722e782e636f6d"
+    whole = f"0020{key}{hint}01157773733a2f2f646a6261732e7361646b622e636f6d"
+    rows = [(whole, key), (f"0020{key}", key), (f"{hint}0020{key}", key), (f"0503ffffff0100{hint}0020{key}", key), (f"{hint}{hint}{hint}", None), (f"001f{key[2:]}{hint}", None)]
+    rows += [(f"{hint}{hint}0120{key[:40]}", None), (f"{hint}{hint}0020{key[:62]}", None), (f"0020{key}0020{'ab' * 32}", key), ("00", None), (None, None)]
+    df = spark.createDataFrame(rows, "records string, want string").withColumn("word", keys.profile_word(F.col("records")))
+    got = df.select("records", "want", "word", keys.resolved_key(F.upper("word")).alias("got"), keys.resolved_key(F.concat(F.lit(" "), "word")).alias("lower")).collect()
+    assert next(r["word"] for r in got if r["records"] == whole) == known
+    assert all(r["got"] == r["lower"] == r["want"] for r in got)
+    bad = spark.createDataFrame([(w,) for w in (known[:-1], known + "q", known[:-1] + "q", "N" + known[1:], known.replace("nprofile", "nprofila"), known[:20] + known[21:], "nprofile1")], "w string")
+    assert {r[0] for r in bad.select(keys.resolved_key(F.col("w"))).collect()} == {None}
+
+
 def test_published_cells(spark):
     rows = [(57.64911, 10.40744, "u4pruydqqvj"), (42.6, -5.6, "ezs42e44yx9"), (90.0, 180.0, "z" * 11), (-90.0, -180.0, "0" * 11), (91.0, 0.0, None), (None, 0.0, None)]
     df = spark.createDataFrame(rows, "lat double, lon double, want string")

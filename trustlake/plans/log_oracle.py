@@ -179,7 +179,7 @@ SELECT relay, bool_or(t = 'i') AS sweep, count(*) FILTER (t = 'o') AS outboxes,
 SELECT o_orderkey, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || (s % 3600 // 60) || 'm' WHEN s >= 60 THEN (s // 60) || 'm' ELSE s || 's' END AS age,
        CASE WHEN n < 3600 THEN (n // 60) || 'm' WHEN n < 86400 THEN (n // 3600) || 'h ' || (n % 3600 // 60) || 'm' ELSE (n // 86400) || 'd ' || (n % 86400 // 3600) || 'h' END AS eta,
        format('{:,}', n) AS num, CAST(CASE WHEN o_orderkey % 103 > 0 THEN trunc((o_orderkey % 97)::DOUBLE / (o_orderkey % 103) * 100) ELSE 0 END AS INT) AS pct FROM o""",
-    "key_resolution": "SELECT p_partkey, CASE WHEN p_partkey % 10 IN (0, 3, 4, 5) THEN sha256(CAST(p_partkey AS VARCHAR)) END AS key FROM part",
+    "key_resolution": "SELECT p_partkey, CASE WHEN p_partkey % 14 IN (0, 3, 4, 5, 10, 11) THEN sha256(CAST(p_partkey AS VARCHAR)) END AS key FROM part",
     "place_cells": f"WITH RECURSIVE {PLACES}, points AS (SELECT c_custkey AS id, lat, lon FROM places), {bisected('points', 60)} SELECT id AS c_custkey, {', '.join(f'code[1:{p}] AS p{p}' for p in range(1, 13))} FROM cells",
     "place_cells_near": f"""WITH RECURSIVE {PLACES}, {around(2)}, {around(5)}
 SELECT c_custkey, near2, near5 FROM near2 JOIN near5 USING (c_custkey)""",

@@ -476,15 +476,19 @@ def format_durations(spark, d):
 
 @query
 def key_resolution(spark, d):
-    """Keys in the forms people write: hexadecimal, as checked words, with spaces, in capitals; cut, damaged and mixed ones are none."""
+    """Keys in the forms people write: hexadecimal, as checked words, in profiles with hints, with spaces, in capitals; cut, damaged and mixed ones are none."""
     rows = table(spark, d, "part").select("p_partkey", F.sha2(F.col("p_partkey").cast("string"), 256).alias("key"))
     rows = rows.withColumn("word", keys.key_word(F.col("key")))
-    key, word, n = F.col("key"), F.col("word"), F.col("p_partkey") % 10
+    hint = F.concat(F.lit("0106"), F.substring(F.col("key"), 1, 12))
+    key, word, n = F.col("key"), F.col("word"), F.col("p_partkey") % 14
+    record = F.concat(F.lit("0020"), key)
+    records = F.element_at(F.array(F.concat(record, hint), F.concat(hint, record, hint), F.concat(hint, hint, hint, hint, hint), F.substring(F.concat(hint, record), 1, 82)), (n - 9).cast("int"))
+    profile = keys.profile_word(records)
     at = (F.col("p_partkey") % 50 + 10).cast("int")
     damaged = F.concat(F.substring(word, 1, 62), F.when(F.substring(word, -1, 1) == "q", "p").otherwise("q"))
     swapped = F.concat(F.substring(word, F.lit(1), at - 1), F.when(F.substring(word, at, F.lit(1)) == "z", "x").otherwise("z"), F.substring(word, at + 1, F.lit(80)))
     forms = [F.concat(F.lit("  "), F.upper(key), F.lit(" ")), F.substring(key, 1, 63), F.concat(F.lit("g"), F.substring(key, 1, 63)), key, word, F.concat(F.lit(" "), F.upper(word)), damaged, swapped, F.concat(F.upper(F.substring(word, 1, 1)), F.substring(word, 2, 80)), F.concat(word, F.lit("q"))]
-    text = F.element_at(F.array(*forms), (n + 1).cast("int"))
+    text = F.when(n < 10, F.get(F.array(*forms), n.cast("int"))).otherwise(profile)
     return rows.select("p_partkey", text.alias("text")).select("p_partkey", keys.resolved_key(F.col("text")).alias("key"))
 
 
