@@ -111,26 +111,13 @@ VECTORS = [
 ]
 
 
-def sign(secret: int, message: bytes) -> tuple[bytes, bytes]:
-    """A signature with a nonce from the message, for tests."""
-    affine = lambda p: (p[0] * pow(p[2], -2, verify.P) % verify.P, p[1] * pow(p[2], -3, verify.P) % verify.P)
-    x, y = affine(verify.times_generator(secret))
-    d = secret if y % 2 == 0 else verify.N - secret
-    k = verify.tagged("nonce", message + secret.to_bytes(32, "big")) % verify.N
-    rx, ry = affine(verify.times_generator(k))
-    k = k if ry % 2 == 0 else verify.N - k
-    key, r = x.to_bytes(32, "big"), rx.to_bytes(32, "big")
-    e = verify.tagged("BIP0340/challenge", r + key + message) % verify.N
-    return key, r + ((k + e * d) % verify.N).to_bytes(32, "big")
-
-
 def test_signatures_in_batches():
     rows = [tuple(bytes.fromhex(x) for x in (m, k, s)) for k, m, s, _ in VECTORS]
     assert verify.signatures_hold(rows) == [v[3] for v in VECTORS] and verify.signatures_hold([]) == []
     many = []
     for i in range(300):
         message = hashlib.sha256(str(i).encode()).digest()
-        many.append((message, *sign(1000 + i % 7, message)))
+        many.append((message, *verify.signature(1000 + i % 7, message)))
     bad = dict.fromkeys((17, 200, 299))
     for i in bad:
         many[i] = (many[i][0], many[i][1], many[i][2][:63] + bytes([many[i][2][63] ^ 1]))
@@ -141,7 +128,7 @@ def test_signatures_in_batches():
 def test_a_signature_costs_little():
     import time
 
-    many = [(m := hashlib.sha256(str(i).encode()).digest(), *sign(5 + i, m)) for i in range(1000)]
+    many = [(m := hashlib.sha256(str(i).encode()).digest(), *verify.signature(5 + i, m)) for i in range(1000)]
     many[500] = (many[500][0], many[500][1], many[501][2])
     verify.generator_table()
     verify.with_even_y.cache_clear()
@@ -171,10 +158,10 @@ def test_canonical_forms_and_ids(spark):
 def test_signed_events(spark):
     rows = []
     for i in range(6):
-        key, _ = sign(i + 1, b"")
+        key, _ = verify.signature(i + 1, b"")
         said = f'[0,"{key.hex()}",{i},1,[],""]'
         digest = hashlib.sha256(said.encode()).digest()
-        rows.append((digest.hex(), key.hex(), i, 1, [], "", (sign(i + 1 if i != 3 else 9, digest)[1]).hex() if i < 5 else None))
+        rows.append((digest.hex(), key.hex(), i, 1, [], "", (verify.signature(i + 1 if i != 3 else 9, digest)[1]).hex() if i < 5 else None))
     found = verify.only_verified(spark.createDataFrame(rows, EVENTS))
     assert sorted(r["created_at"] for r in found.collect()) == [0, 1, 2, 4]
 
@@ -190,7 +177,7 @@ def test_stream_into_store(spark, tmp_path):
     totals = streams.into_store(stream(), held, f"file://{tmp_path}/home", 100, hooks=(lambda b: seen.append(b.count()),))
     assert totals == {"received": 7, "stored": 6} and sum(seen) == 7 and held.events().count() == 6
     assert streams.into_store(stream(), held, f"file://{tmp_path}/home", 100) == {"received": 0, "stored": 0}
-    assert streams.drained(streams.enrolled_only(stream(), spark, f"{tmp_path}/enrolled")).select("pubkey").distinct().count() == 1
+    assert streams.drained(stream(), each=streams.enrolled(f"{tmp_path}/enrolled")).select("pubkey").distinct().count() == 1
     calls = []
     done = streams.passes(lambda n: {"n": n} if n != 1 else 1 / 0, 3, lambda: calls.append("wait"), calls.append)
     assert done == [{"n": 0}, {"n": 2}] and calls == ["wait", "! pass 1 failed: division by zero", "wait"]

@@ -41,3 +41,26 @@ def test_pages_reconciling_and_gauges(spark, tmp_path):
     store = EventStore(spark, f"file://{tmp_path}/events")
     store.insert(rows.where("created_at < 3"), 100)
     assert streams.reconciled(store, rows, 100) == 5 and streams.reconciled(store, rows, 100) == 0 and store.events().count() == 8
+
+
+def test_enrolment_reaches_the_next_batch_of_a_store(spark, tmp_path):
+    from trustlake.schema import EVENTS
+    from trustlake.sources.stores import EventStore
+
+    for i in range(3):
+        spark.createDataFrame([(f"e{i}{who}", who, i, 1, [], "", "") for who in "ab"], EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    enrol = lambda who: spark.createDataFrame([(who,)], "pubkey string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/enrolled")
+    enrol("a")
+    enrol("a")
+    seen = []
+
+    def after_the_second(batch):
+        seen.append(batch.count())
+        if len(seen) == 2:
+            enrol("b")
+
+    store = EventStore(spark, f"file://{tmp_path}/events")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    totals = streams.into_store(stream, store, f"file://{tmp_path}/home", 100, hooks=(after_the_second,), each=streams.enrolled(f"{tmp_path}/enrolled"))
+    assert seen == [1, 1, 2] and totals == {"received": 4, "stored": 4}
+    assert sorted(r["id"] for r in store.events().collect()) == ["e0a", "e1a", "e2a", "e2b"]

@@ -9,6 +9,35 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced as a whole: written beside and then renamed over the old one in one step."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(beside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    beside, target = fs.makeQualified(beside), fs.makeQualified(target)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(beside.toUri(), conf).rename(beside, target, options)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, whatever its name; Spark's readers pass over names that begin with a dot."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode(errors="replace")
+    finally:
+        stream.close()
+
+
 class CommitConflict(Exception):
     """Another writer has committed what a change was worked out without."""
 

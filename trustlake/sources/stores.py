@@ -18,32 +18,10 @@ from trustlake.functions.columns import first_tag
 from trustlake.operators.filters import visible
 from trustlake.operators.store import EPHEMERAL, ledger_merge, refresh_slice, stored_events
 from trustlake.schema import EVENTS, LEDGER
-from trustlake.sources.commits import CommitConflict, Commits
+from trustlake.sources.commits import CommitConflict, Commits, get_text, put_text
 from trustlake.sources.tables import dotenv
 
 
-def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, replaced as a whole: written beside and then renamed over the old one in one step."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
-    out = fs.create(beside)
-    out.write(bytearray(text.encode()))
-    out.close()
-    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
-    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
-    beside, target = fs.makeQualified(beside), fs.makeQualified(target)
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(beside.toUri(), conf).rename(beside, target, options)
-
-
-def get_text(spark: SparkSession, path: str) -> str | None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        return None
-    return "\n".join(r["value"] for r in spark.read.text(path).collect())
-
-
 class Snapshots:
     """A table of which each version is a folder of Parquet files, named by a numbered commit.
 
@@ -389,6 +367,7 @@ class StateFile:
             state = json.loads(get_text(self.spark, self.path) or "{}")
         except json.JSONDecodeError:
             state = {}
+        state = state if isinstance(state, dict) else {}
         state["dead_until"] = {r: t for r, t in state.get("dead_until", {}).items() if t > now_ms}
         return state
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustlake.schema import DELETION, FOLLOWS, INDEXER, NOTE, PROFILE, RELAY_LIST, SCORE, TRUST_LIST, VANISH
+from trustlake.sources.commits import get_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,9 +113,26 @@ def insert_missing(store: DataFrame, seed: DataFrame, keys: list[str]) -> DataFr
 
 
 def dotenv(spark: SparkSession, path: str) -> DataFrame:
-    """key, value of a settings file: blank lines, comments and lines without ``=`` are skipped, quotes taken off."""
-    line = F.regexp_replace(F.trim("value"), r"^export\s+", "")
-    rows = spark.read.text(path).select(line.alias("line")).where("line <> '' and not startswith(line, '#') and contains(line, '=')")
-    value = F.trim(F.substring_index("line", "=", 1))
-    rest = F.trim(F.expr("substring(line, instr(line, '=') + 1)"))
-    return rows.select(value.alias("key"), F.regexp_replace(rest, r"^(['\"])(.*)\1$", "$2").alias("value"))
+    """key, value of a settings file: blank lines, comments and lines without ``=`` or key are skipped, quotes at both ends taken off; of a repeated key the last line counts."""
+    bare = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    if path.rstrip("/").rsplit("/", 1)[-1].startswith((".", "_")):
+        # Spark's readers pass over such names
+        found = spark.createDataFrame([(path, get_text(spark, path) or "")], "file string, value string")
+    else:
+        found = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    texts = found.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("pos", "raw"))
+    lines = texts.select("file", "pos", bare(F.regexp_replace(bare("raw"), "^export ", "")).alias("line")).where("line <> '' and not startswith(line, '#') and contains(line, '=')")
+    value = F.regexp_replace(bare(F.expr("substring(line, instr(line, '=') + 1)")), r"^['\"]+|['\"]+$", "")
+    rows = lines.select(bare(F.substring_index("line", "=", 1)).alias("key"), value.alias("value"), F.struct("file", "pos").alias("place")).where("key <> ''")
+    return rows.groupBy("key").agg(F.max_by("value", "place").alias("value"))
+
+
+def settled(defaults: DataFrame, *sources: DataFrame) -> DataFrame:
+    """key, value of every key with a default (key, value): from the first of ``sources`` that has the key, else the default."""
+    out = defaults.select("key", F.col("value").alias("held"))
+    for i, rows in enumerate(sources):
+        out = out.join(rows.select("key", F.col("value").alias(f"from{i}"), F.lit(True).alias(f"has{i}")), "key", "left")
+    found = F.col("held")
+    for i in reversed(range(len(sources))):
+        found = F.when(F.col(f"has{i}"), F.col(f"from{i}")).otherwise(found)
+    return out.select("key", found.alias("value"))

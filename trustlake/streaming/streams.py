@@ -117,7 +117,7 @@ def in_slices(spark: SparkSession, rows: DataFrame, at: str, slices: int, late:
     placed.repartition("slice").write.partitionBy("slice").parquet(f"{home}/parts")
     for i in range(slices + (late is not None)):
         # a file source takes files in the order of their times
-        part = spark.read.schema(rows.schema).parquet(f"{home}/parts/slice={i}*")
+        part = spark.read.schema(rows.schema).parquet(f"{home}/parts/slice={i}/*")
         part.coalesce(1).write.mode("append").parquet(f"{home}/in")
     return f"{home}/in"
 
@@ -203,9 +203,16 @@ class Gauges(StreamingQueryListener):
         self.totals["received"] += event.progress.numInputRows
         self.totals["busy_ms"] += event.progress.batchDuration
 
+    def settle(self, spark: SparkSession, seconds: float = 10.0) -> None:
+        """Waits until what has happened so far is counted; Spark tells listeners a little later."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(int(seconds * 1000))
 
-def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """All that a stream gives now, as a table below ``spark.checkpoint.dir``, where its checkpoint and state stand too."""
+
+def drained(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame], DataFrame] = lambda batch: batch, kept: Callable[[int], None] = lambda number: None) -> DataFrame:
+    """All that a stream gives now, as a table below ``spark.checkpoint.dir``, where its checkpoint and state stand too.
+
+    ``each`` is applied to every batch and keeps its columns; ``kept`` hears of each batch that is written.
+    """
     spark = stream.sparkSession
     for name, value in STATE_STORE.items():
         spark.conf.set(name, value)
@@ -214,7 +221,8 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     def save(batch: DataFrame, number: int) -> None:
         # a batch that is tried again replaces its own folder
         paths[number] = f"{home}/out/{number}"
-        batch.write.mode("overwrite").parquet(paths[number])
+        each(batch).select(*batch.columns).write.mode("overwrite").parquet(paths[number])
+        kept(number)
 
     query = stream.writeStream.foreachBatch(save).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{home}/checkpoint").start()
     query.awaitTermination()
@@ -224,23 +232,25 @@ def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(*([paths[max(paths)]] if mode == "complete" else paths.values()))
 
 
-def into_store(stream: DataFrame, store: EventStore, home: str, now: int, verified=None, hooks: tuple[Callable[[DataFrame], None], ...] = ()) -> dict[str, int]:
+def into_store(stream: DataFrame, store: EventStore, home: str, now: int, verified=None, hooks: tuple[Callable[[DataFrame], None], ...] = (), each: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> dict[str, int]:
     """Drains a stream of events into a store, batch by batch, and returns rows received and stored.
 
     The checkpoint below ``home`` moves only when a batch is stored, so a pass that dies goes on where it was; a batch
-    that comes again changes nothing, as its ids are stored. ``hooks`` see each batch before it is stored.
+    that comes again changes nothing, as its ids are stored. ``each`` is applied to every batch, and
+    ``hooks`` see what it gives before that is stored.
     """
-    totals = {"received": 0, "stored": 0}
+    totals, scratch = {"received": 0, "stored": 0}, Commits(store.spark, home)
 
     def put(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        try:
-            for hook in hooks:
-                hook(batch)
-            totals["received"] += batch.count()
-            totals["stored"] += store.insert(batch, now, verified)
-        finally:
-            batch.unpersist()
+        # hooks and store get the same rows, whatever changes meanwhile and whoever is lost
+        path = f"batches/{number}"
+        each(batch).select(*batch.columns).write.mode("overwrite").parquet(f"{home}/{path}")
+        rows = store.spark.read.schema(batch.schema).parquet(f"{home}/{path}")
+        for hook in hooks:
+            hook(rows)
+        totals["received"] += rows.count()
+        totals["stored"] += store.insert(rows, now, verified)
+        scratch.delete(path)
 
     query = stream.writeStream.foreachBatch(put).trigger(availableNow=True).option("checkpointLocation", f"{home}/checkpoint").start()
     query.awaitTermination()
@@ -253,9 +263,13 @@ def reconciled(store: EventStore, replica: DataFrame, now: int, verified=None) -
     return store.insert(replica.join(lacking, "id", "left_semi"), now, verified)
 
 
-def enrolled_only(stream: DataFrame, spark: SparkSession, enrolment: str) -> DataFrame:
-    """The stream's events of enrolled authors. The enrolment table (pubkey) at this path is read anew for each batch, so who enrols meanwhile takes part from the next one on."""
-    return stream.join(spark.read.schema("pubkey string").parquet(enrolment), "pubkey", "left_semi")
+def enrolled(enrolment: str) -> Callable[[DataFrame], DataFrame]:
+    """Keeps a batch's events of enrolled authors.
+
+    The enrolment table (pubkey) at this path is listed and read for each batch, so who enrols meanwhile takes part from
+    the next one on; a join of the stream itself with the table would go on with the files that stood there at its start.
+    """
+    return lambda batch: batch.join(batch.sparkSession.read.schema("pubkey string").parquet(enrolment).distinct(), "pubkey", "left_semi")
 
 
 def passes(run: Callable[[int], dict], count: int, wait: Callable[[], None], log: Callable[[str], None] = lambda line: None) -> list[dict]:
