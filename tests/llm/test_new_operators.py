@@ -60,6 +60,17 @@ def test_simhash_against_brute_force(spark, docs):
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
+def test_simhash_cells_are_never_broadcast(spark, monkeypatch):
+    """Spark sizes an explode like the table it is made of."""
+    frames, written = [], simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df, name: frames.append(df) or written(df, name))
+    prints = spark.range(100).select((F.col("id") * 8).alias("fp"), F.col("id").alias("first"))
+    links = simhash.near_fingerprints(written(prints, "prints"))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (*frames, links)]
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+    assert {tuple(r) for r in links.collect()} == {(8 * u, 8 * v) for u in range(100) for v in range(u + 1, 100) if (u ^ v).bit_count() <= 2}
+
+
 def test_simhash_text_in_blocks(monkeypatch):
     text = " ".join(random.Random(1).choices(["alpha", "Beta", "γ", "d"], k=900))
     whole = simhash.fingerprint(text.encode()).tobytes()

@@ -92,20 +92,24 @@ def near_fingerprints(prints: DataFrame) -> DataFrame:
     the cells around its own, and those that meet in a cell are verified on their bits. A cell in which more than
     ``MOST`` meet is cut into cells of single bits: what meets in one of those differs in two bits at most, so all are
     linked to the least, without pairs.
+
+    Spark sizes an explode like the table it is made of, 65 times too low here, so the joins are told to sort and
+    never broadcast; few files of fingerprints do not make few tasks of cells.
     """
-    cells = prints.select("fp").distinct().select("fp", F.explode(cells_around(popcounts(F.col("fp")))).alias("cell"))
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = prints.select("fp").repartition(parts, "fp").distinct().select("fp", F.explode(cells_around(popcounts(F.col("fp")))).alias("cell"))
     met = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(cells.join(met, "cell").select("cell", "fp", "n"), "cells")
+    shared = written(cells.join(met.hint("merge"), "cell").select("cell", "fp", "n"), "cells")
     few = shared.where(F.col("n") <= MOST).select("cell", "fp")
     a, b = few.select("cell", F.col("fp").alias("u")), few.select("cell", F.col("fp").alias("v"))
     u, v = F.col("u"), F.col("v")
     # fingerprints of one cell of their own meet in all cells around it and are taken from their own
     once = (popcounts(u) != popcounts(v)) | (F.col("cell") == popcounts(u))
-    pairs = a.join(b, "cell").where((u < v) & (F.bit_count(u.bitwiseXOR(v)) <= 2) & once).select("u", "v")
+    pairs = a.join(b.hint("merge"), "cell").where((u < v) & (F.bit_count(u.bitwiseXOR(v)) <= 2) & once).select("u", "v")
     many = shared.where(F.col("n") > MOST).select("fp").distinct()
     balls = many.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(signed(x)) for x in [0, *(1 << i for i in range(64))]])).alias("cell"))
     least = balls.groupBy("cell").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").select("cell", "v")
-    stars = balls.join(least, "cell").select(F.col("fp").alias("u"), "v").where("u <> v")
+    stars = balls.join(least.hint("merge"), "cell").select(F.col("fp").alias("u"), "v").where("u <> v")
     return pairs.union(stars).distinct()
 
 
