@@ -125,6 +125,30 @@ def test_signatures_in_batches():
     assert verify.signatures_hold(many) == [i not in bad for i in range(300)] + [False] * 3
 
 
+def test_signatures_of_one_key_cost_little():
+    import time
+
+    many = [(m := hashlib.sha256(str(i).encode()).digest(), *verify.signature(1 + i % 5, m)) for i in range(400)]
+    bad = {i: (many[i][0], many[i][1], many[i][2][:32] + many[i - 1][2][32:]) for i in range(20, 400, 40)}
+    rows = [bad.get(i, row) for i, row in enumerate(many)]
+    rows += [(b"", many[0][1], many[0][2]), (many[0][0], many[0][1], b"\xff" * 64), (many[0][0], many[0][1], many[0][2][:32] + bytes(32))]
+    verify.generator_table()
+    began = time.process_time()
+    assert verify.signatures_hold(rows) == [i not in bad for i in range(400)] + [False] * 3
+    assert (time.process_time() - began) / len(rows) < 0.003  # with one bad one in forty
+    one = [many[0], many[1]]
+    assert verify.signatures_hold(one) == [True, True]  # too few for tables
+
+
+def test_signatures_are_checked_in_many_tasks(spark):
+    """However few files the events are in."""
+    rows = [((m := hashlib.sha256(str(i).encode()).digest()).hex(), "", i, 1, [], "", "") for i in range(50)]
+    right = verify.only_verified(spark.createDataFrame(rows, EVENTS).coalesce(1))
+    plan = right._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = lambda name: next(i for i, line in enumerate(plan) if name in line)
+    assert at("ArrowEvalPython") < at("Exchange")
+
+
 def test_a_signature_costs_little():
     import time
 
