@@ -91,6 +91,13 @@ def test_published_profiles(spark):
     assert {r[0] for r in bad.select(keys.resolved_key(F.col("w"))).collect()} == {None}
 
 
+def test_keys_are_resolved_in_many_tasks(spark):
+    """However few files the parts are in."""
+    from trustlake.plans import QUERIES
+
+    assert QUERIES["key_resolution"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_published_cells(spark):
     rows = [(57.64911, 10.40744, "u4pruydqqvj"), (42.6, -5.6, "ezs42e44yx9"), (90.0, 180.0, "z" * 11), (-90.0, -180.0, "0" * 11), (91.0, 0.0, None), (None, 0.0, None)]
     df = spark.createDataFrame(rows, "lat double, lon double, want string")

@@ -477,7 +477,8 @@ def format_durations(spark, d):
 @query
 def key_resolution(spark, d):
     """Keys in the forms people write: hexadecimal, as checked words, in profiles with hints, with spaces, in capitals; cut, damaged and mixed ones are none."""
-    rows = table(spark, d, "part").select("p_partkey", F.sha2(F.col("p_partkey").cast("string"), 256).alias("key"))
+    # words are read byte by byte, which a part's few bytes in a file do not show
+    rows = S.spread(table(spark, d, "part").select("p_partkey")).select("p_partkey", F.sha2(F.col("p_partkey").cast("string"), 256).alias("key"))
     rows = rows.withColumn("word", keys.key_word(F.col("key")))
     hint = F.concat(F.lit("0106"), F.substring(F.col("key"), 1, 12))
     key, word, n = F.col("key"), F.col("word"), F.col("p_partkey") % 14
