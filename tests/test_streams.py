@@ -23,6 +23,20 @@ def test_drained_to_files(spark, tmp_path):
     assert streams.drained(spark.readStream.schema("id long").parquet(f"{tmp_path}/none")).count() == 0
 
 
+def test_slices_of_several_files_are_batches(spark):
+    """Each slice has as many files, one that is empty too, and a stream reads them slice by slice."""
+    second = [*range(0, 30), *range(70, 100)]
+    rows = spark.createDataFrame([(s, s % 7 == 0) for s in second], "s long, late boolean").withColumn("ts", F.timestamp_seconds("s"))
+    path, files = streams.in_slices(spark, rows, "ts", 3, F.col("late"), most=4)
+    assert files == 4 and spark.read.schema(rows.schema).parquet(path).count() == 60
+    assert len([f for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")]) == 4 * files
+    seen = []
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+    stream.writeStream.foreachBatch(lambda b, n: seen.append(sorted(r["s"] for r in b.collect()))).trigger(availableNow=True).option("checkpointLocation", f"{path}-c").start().awaitTermination()
+    on_time, late = [s for s in second if s % 7], [s for s in second if s % 7 == 0]
+    assert seen == [[s for s in on_time if s < 33], [], sorted([s for s in on_time if s > 66] + [s for s in late if s < 33]), [s for s in late if s > 66]]
+
+
 def test_pages_reconciling_and_gauges(spark, tmp_path):
     from trustlake.operators.filters import EventFilter
     from trustlake.schema import EVENTS

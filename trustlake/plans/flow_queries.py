@@ -21,10 +21,10 @@ SINCE, UNTIL = 1_704_672_000, 1_705_881_600
 
 
 def halves(spark, d):
-    """The log as two files of a stream: the even ids, then the odd ones."""
+    """The log as two batches of a stream: the even ids, then the odd ones."""
     log = S.event_log(spark, d).withColumn("at", F.timestamp_micros(F.col("id").cast("long") % 2))
-    path = streams.in_slices(spark, log, "at", 2)
-    return streams.replica_stream(spark, path, EVENTS, EventFilter())
+    path, files = streams.in_slices(spark, log, "at", 2)
+    return streams.replica_stream(spark, path, EVENTS, EventFilter(), files=files)
 
 
 @query
