@@ -45,6 +45,31 @@ def test_marks_lapse_without_events_and_state_goes(spark, tmp_path):
     assert last.count() == 4 and last.where("errors > 0").count() == 0
 
 
+def test_marks_of_many_users_share_calls_and_state(spark, tmp_path):
+    """Users of few groups, one without an id, against a recount by user; a group is one row of state."""
+    import random
+
+    rng, ttl, rows = random.Random(5), 50, []
+    for b in range(3):
+        rows.append([(1000 * b + i, rng.choice([None, *range(40)]), rng.choice(["error", "error", "error", "view"]), 100 * b + rng.randrange(100)) for i in range(300)])
+    want = {}
+    for batch in rows:
+        for i, user, kind, s in sorted(batch, key=lambda r: (r[3], r[0])):
+            errors, last = want.get(user, (0, 0))
+            want[user] = ((errors if errors and s - last < ttl else 0) + 1, s) if kind == "error" else (0, s)
+    stream = stream_of(spark, tmp_path, *[events(spark, b) for b in rows])
+    for name, value in streams.STATE_STORE.items():
+        spark.conf.set(name, value)
+    got = []
+    query = streams.error_marks(stream, 2, float(ttl), "1 day", groups=3).writeStream.foreachBatch(lambda b, n: got.extend(tuple(r) for r in b.collect())).trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/c").start()
+    query.awaitTermination()
+    last = streams.latest(spark.createDataFrame(got, streams.CHANGES)).select("user_id", "errors", F.unix_millis("at").alias("at"), F.unix_millis("dead_until").alias("dead")).collect()
+    assert {r["user_id"]: (r["errors"], r["at"] // 1000 - START) for r in last} == want
+    assert all(r["dead"] == (r["at"] + 1000 * ttl if r["errors"] >= 2 else None) for r in last)
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert 0 < max(held) <= 4 * 3  # a value and its timer in its indexes, for three groups and those without an id
+
+
 def test_late_rows_reach_their_windows(spark, tmp_path):
     batches = [events(spark, [(1, 1, "a", 5), (2, 1, "b", 95)]), events(spark, [(3, 1, "a", 500)]), events(spark, [(4, 1, "a", 7), (5, 1, "b", 505), (6, 1, "a", 8)]), events(spark, [(7, 1, "a", 900), (8, 1, "b", 96)])]
     stream = stream_of(spark, tmp_path, *batches)
