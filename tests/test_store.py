@@ -86,3 +86,14 @@ def test_empty_list_matches_nothing(spark):
 def test_dotenv(spark, tmp_path):
     (tmp_path / "env").write_text("# note\nexport A=\"quoted name\"\nB=7\nC='x=y'\nnothing\n")
     assert {(r["key"], r["value"]) for r in tables.dotenv(spark, str(tmp_path / "env")).collect()} == {("A", "quoted name"), ("B", "7"), ("C", "x=y")}
+
+
+def test_need_have_meets_each_side_once(spark):
+    """Repeated and null keys, and as many exchanges as there are sides at most."""
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    got = lambda a, b: sorted(map(tuple, store.need_have(a, b).collect()), key=repr)
+    assert got(rows(1, 1, 2, 3), rows(3, 4, 4)) == [(1, "have"), (2, "have"), (4, "need")]
+    assert got(rows(1, None, None), rows(1, None)) == [(None, "have"), (None, "need")]
+    assert got(rows(), rows(5)) == [(5, "need")] and got(rows(), rows()) == []
+    plan = store.need_have(rows(1), rows(2))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trustlake.functions.columns import first_tag, tag_values
 from trustlake.operators.filters import unexpired
 from trustlake.schema import DELETION, VANISH
+from trustlake.sources.tables import spread
 
 
 #: Kinds of events that are passed on and not stored.
@@ -96,10 +97,16 @@ def swept(stored: DataFrame, now: int) -> DataFrame:
 
 
 def need_have(local: DataFrame, remote: DataFrame, key: str = "id") -> DataFrame:
-    """key and side: ``need`` stands only remotely, ``have`` only locally."""
-    need = remote.select(key).distinct().join(local, key, "left_anti").withColumn("side", F.lit("need"))
-    have = local.select(key).distinct().join(remote, key, "left_anti").withColumn("side", F.lit("have"))
-    return need.union(have)
+    """key and side: ``need`` stands only remotely, ``have`` only locally; a null key is never found on the other side.
+
+    Both sides are dealt out by key once and met in one aggregate, in partitions that are not put together again.
+    """
+    none = F.lit(False)
+    both = local.select(key, F.lit(True).alias("local"), none.alias("remote")).union(remote.select(key, none, F.lit(True)))
+    held = spread(both, key).groupBy(key).agg(F.bool_or("local").alias("local"), F.bool_or("remote").alias("remote"))
+    only = lambda side, other, name: F.when(F.col(side) & (~F.col(other) | F.isnull(key)), F.lit(name))
+    sides = F.array_compact(F.array(only("remote", "local", "need"), only("local", "remote", "have")))
+    return held.select(key, F.explode(sides).alias("side"))
 
 
 class MassDeletion(ValueError):
