@@ -97,3 +97,8 @@ def test_need_have_meets_each_side_once(spark):
     assert got(rows(), rows(5)) == [(5, "need")] and got(rows(), rows()) == []
     plan = store.need_have(rows(1), rows(2))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_the_log_is_made_in_many_tasks(spark):
+    """However few files the events are in."""
+    assert tables.event_log(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism

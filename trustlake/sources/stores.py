@@ -195,13 +195,15 @@ class EventStore:
         offered = batch.select(*EVENTS.names, expires.alias("expires_at"), fate.alias("fate"))
         offered = offered.observe(told, F.count(F.lit(1)).alias("offered"), *[F.count_if(F.col("fate") == f).alias(f) for f in FATES[:3]])
         offered.where("fate is null").drop("fate").write.parquet(f"{self.home}/{staged}/offered")
-        new = self.spark.read.schema(T.StructType(ROWS.fields[:-1])).parquet(f"{self.home}/{staged}/offered").dropDuplicates(["id"]).withColumn("part", F.lit(""))
-        ranges, judged = self._ranges(new), []
+        staying = self.spark.read.schema(T.StructType(ROWS.fields[:-1])).parquet(f"{self.home}/{staged}/offered")
+        new = staying.dropDuplicates(["id"]).withColumn("part", F.lit(""))
+        # authors are the same before copies are put together, which is a sort of all ids
+        ranges, judged = self._ranges(staying), []
 
         def work(document: dict, part: str) -> tuple[DataFrame, Callable[[dict], bool]]:
             met = self._met(document, ranges)
             self.touched["read"] = [s["path"] for s in met]
-            old = self._live(met).join(new.select("pubkey").distinct(), "pubkey", "left_semi").select(*ROWS.names)
+            old = self._live(met).join(staying.select("pubkey").distinct(), "pubkey", "left_semi").select(*ROWS.names)
             held = old.select("id", F.lit(True).alias("held")).distinct()
             both = new.join(held, "id", "left").select(*ROWS.names, "held").unionByName(old.withColumn("held", F.lit(None).cast("boolean")))
             # what the rules look at is put together once, as they go over it several times
